@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ._common import read_table
+from . import langid, toxicity
+from ._common import crc_mod, read_table
 from .exact_dedup import exact_dedup
+from .line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
 from .packing import pack_documents
 from .simhash import near_dedup
 
@@ -20,14 +23,48 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def train_langid(docs: DataFrame) -> langid.Model | None:
+    """Learn from documents whose crc32 of the id is not 2 modulo 4 (a null id counts as training)."""
+    return langid.train(docs.where(F.coalesce(crc_mod(F.col("doc_id"), 4) != 2, F.lit(True))).select("text", "lang"))
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    told = langid.identify(docs, train_langid(docs))
+    held = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
+    return told.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def train_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Grammar:
+    """Learn from labels of documents whose crc32 of the id is not 0 modulo 5."""
+    return toxicity.train(docs, read_table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 5) != 0))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    told = toxicity.toxicity(docs, train_toxicity(spark, docs, sf_dir))
+    held = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    return told.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of a document is its host."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    told = drop_boilerplate(docs)
+    return told.select("doc_id", "n_lines", "n_dropped", F.coalesce("text", F.lit("")).alias("text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
+    "op3_langid": op3_langid,
+    "op5_toxicity": op5_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_line_dedup": op8_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -37,4 +74,17 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, false) AS kept, sha256(text) AS text_sha256
         FROM d JOIN g USING (text)
     """,
+    "op8_line_dedup": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, text,
+                          string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        e AS (SELECT r, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS k FROM d),
+        c AS (SELECT host, trim(line, ' ') AS line, count(DISTINCT r) AS pages FROM e WHERE trim(line, ' ') <> '' GROUP BY ALL),
+        t AS (SELECT host, count(*) AS total FROM d GROUP BY host),
+        b AS (SELECT host, line FROM c JOIN t USING (host) WHERE pages >= {MIN_PAGES} AND pages > {MAX_RATIO} * total),
+        k AS (SELECT r, list(e.line ORDER BY k) AS kept FROM e LEFT JOIN b ON e.host = b.host AND trim(e.line, ' ') = b.line
+              WHERE b.line IS NULL GROUP BY r)
+        SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(len(kept), 0))::BIGINT AS n_dropped,
+               coalesce(array_to_string(kept, chr(10)), '') AS text
+        FROM d LEFT JOIN k USING (r)
+    """,
 }
