@@ -152,7 +152,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     names = ["fa", "fb", "fn"]
     groups = marked.groupBy(*names).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.where("group_size > 1")
+    # a table of its own: a join with an aggregate on the same key could not be split on a hot fingerprint
+    groups = materialise(groups.where("group_size > 1"), "exact-sizes")
     told = marked.join(groups, names, "left").select(
         F.monotonically_increasing_id().alias("rid"),
         "doc_id",

@@ -28,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import materialise, slim
+from ._common import materialise, slim, texts
 
 MAX_TOKENS = 4096
 END_ID = 1
-#: Distinct words whose ids a worker remembers.
+#: Distinct words whose ids a worker remembers in each of two generations.
 CACHE = 300_000
+_BATCH = 128
+_MARK = b"\x02"
 
 
 def default_tokenizer() -> str:
@@ -58,34 +60,62 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        (self.mark,) = self._encode(_MARK.decode())
 
     def _learn(self, words: list[bytes]) -> None:
-        codes = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(words, codes))
+        """Many words in one text, a mark between them that none of them contains."""
+        plain = [w for w in words if _MARK not in w]
+        joined = b" ".join(x for w in plain for x in (w, _MARK)).decode()
+        ids = np.array(self._encode(joined), "<u4")
+        cuts = np.flatnonzero(ids == self.mark).tolist()
+        data, at = ids.tobytes(), 0
+        for w, cut in zip(plain, cuts):
+            self.known[w] = data[4 * at : 4 * cut]
+            at = cut + 1
+        for w in words:
+            if _MARK in w:
+                self.known[w] = np.array(self._encode(w.decode()), "<u4").tobytes()
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _recall(self, words: set[bytes]) -> set[bytes]:
+        """Take over what the older generation knows; what is left is new."""
+        old = self.older
+        met = words.intersection(old)
+        self.known.update((w, old[w]) for w in met)
+        return words - met
 
     def _add(self, words: set[bytes]) -> None:
         new = words.difference(self.known)
         if not new:
             return
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
+        if len(self.known) > CACHE:
+            self.older, self.known = self.known, {}
             new = words
-        stems = {}
-        for w in new:
-            if w[-1:] in (b".", b",") and w[:-1].decode()[-1:].isalpha():
-                stems[w] = w[:-1]
-        plain = (new - stems.keys()) | set(stems.values()) | {b".", b","}
-        self._learn([w for w in plain if w not in self.known])
+        new = self._recall(new)
+        stems = {w: w[:-1] for w in new if w[-1:] in (b".", b",") and w[:-1].decode()[-1:].isalpha()}
+        plain = ((new - stems.keys()) | set(stems.values()) | {b".", b","}).difference(self.known)
+        self._learn(list(self._recall(plain)))
         known = self.known
         known.update((w, known[s] + known[w[-1:]]) for w, s in stems.items())
 
     def encode(self, split_texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as its words."""
-        out = []
-        for words in split_texts:
-            self._add(set(words))
-            out.append(b"".join(map(self.known.__getitem__, words)))
-        return out
+        self._add(set().union(*split_texts))
+        known = self.known.__getitem__
+        return [b"".join(map(known, words)) for words in split_texts]
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One for each worker process, kept with the words it knows from one task to the next."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
 
 
 def tokenise(docs: DataFrame, path: str | None = None, limit: int = MAX_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,11 +126,15 @@ def tokenise(docs: DataFrame, path: str | None = None, limit: int = MAX_TOKENS,
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        tokenizer = WordTokenizer(path)
+        tokenizer = tokenizer_of(path)
         for batch in batches:
             where, piece, start, length, crc = [], [], [], [], []
-            for k, text in enumerate(batch.column(1)):
-                data = tokenizer.encode([(text.as_py() or "").encode().lower().split()])[0] + end
+            coded = (
+                data + end
+                for at in range(0, batch.num_rows, _BATCH)
+                for data in tokenizer.encode([x.encode().lower().split() for x in texts(batch.column(1).slice(at, _BATCH))])
+            )
+            for k, data in enumerate(coded):
                 n = len(data) // 4
                 for p, at in enumerate(range(0, n, limit)):
                     cut = data[4 * at : 4 * (at + limit)]

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import langid, quality, toxicity
 from ._common import crc_mod, read_table
 from .exact_dedup import exact_dedup
+from .hmm_lm import score_documents
+from .html_extract import extract
 from .line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
 from .packing import pack_documents
 from .simhash import near_dedup
@@ -35,6 +37,12 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    rules = quality.learn(quality.labelled_rows(docs, read_table(spark, sf_dir, "labels")))
+    return quality.assess(docs, rules)
+
+
 def train_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Grammar:
     """Learn from labels of documents whose crc32 of the id is not 0 modulo 5."""
     return toxicity.train(docs, read_table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 5) != 0))
@@ -58,13 +66,24 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "n_lines", "n_dropped", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
+def op10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read_table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
     "op3_langid": op3_langid,
+    "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_line_dedup": op8_line_dedup,
+    "op9_html_extract": op9_html_extract,
+    "op10_hmm_lm": op10_hmm_lm,
 }
 
 ORACLE_SQL: dict[str, str] = {
