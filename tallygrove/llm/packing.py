@@ -83,7 +83,7 @@ class WordTokenizer:
     def _recall(self, words: set[bytes]) -> set[bytes]:
         """Take over what the older generation knows; what is left is new."""
         old = self.older
-        met = words.intersection(old)
+        met = {w for w in words if w in old}  # intersection() would walk through all of old
         self.known.update((w, old[w]) for w in met)
         return words - met
 
