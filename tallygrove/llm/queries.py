@@ -14,6 +14,7 @@ from .hmm_lm import score_documents
 from .html_extract import extract
 from .line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
 from .packing import pack_documents
+from .pieces import decode_documents, encode_documents
 from .simhash import near_dedup
 
 
@@ -59,6 +60,22 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode with the N best segmentations, then decode the best one's ids again."""
+    coded = encode_documents(read_table(spark, sf_dir, "documents"))
+    told = coded.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.element_at("crcs", 1).alias("ids_crc32"),
+        F.element_at("scores", 1).alias("score"),
+        F.get("scores", 1).alias("second_score"),
+        F.size("scores").cast("long").alias("n_best"),
+    )
+    back = decode_documents(told, keep=("n_pieces", "ids_crc32", "score", "second_score", "n_best"))
+    return back.withColumn("decoded_sha256", F.sha2(F.col("text").cast("binary"), 256)).drop("text")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source of a document is its host."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -81,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_line_dedup": op8_line_dedup,
     "op9_html_extract": op9_html_extract,
     "op10_hmm_lm": op10_hmm_lm,
