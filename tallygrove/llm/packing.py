@@ -33,9 +33,10 @@ from ._common import materialise, slim, texts
 MAX_TOKENS = 4096
 END_ID = 1
 #: Distinct words whose ids a worker remembers in each of two generations.
-CACHE = 300_000
+CACHE = 450_000
 _BATCH = 128
 _MARK = b"\x02"
+_SIGNS = b".,;:!?#$%&*|"
 
 
 def default_tokenizer() -> str:
@@ -49,8 +50,8 @@ class WordTokenizer:
 
     The vocabulary drops white space and never merges across it, so a text's ids are
     those of its words one after another. Words are cut at ASCII white space; other
-    white space is left to the tokenizer. A full stop or comma after a letter always
-    begins a token of its own, so it is split off before a word is remembered.
+    white space is left to the tokenizer. Signs after a letter always begin a token of
+    their own, so those at a word's end are split off before it is remembered.
     """
 
     def __init__(self, path: str) -> None:
@@ -95,11 +96,11 @@ class WordTokenizer:
             self.older, self.known = self.known, {}
             new = words
         new = self._recall(new)
-        stems = {w: w[:-1] for w in new if w[-1:] in (b".", b",") and w[:-1].decode()[-1:].isalpha()}
-        plain = ((new - stems.keys()) | set(stems.values()) | {b".", b","}).difference(self.known)
+        stems = {w: s for w in new if w[-1] in _SIGNS and (s := w.rstrip(_SIGNS)) and s.decode()[-1].isalpha()}
+        plain = ((new - stems.keys()) | set(stems.values()) | {w[len(s) :] for w, s in stems.items()}).difference(self.known)
         self._learn(list(self._recall(plain)))
         known = self.known
-        known.update((w, known[s] + known[w[-1:]]) for w, s in stems.items())
+        known.update((w, known[s] + known[w[len(s) :]]) for w, s in stems.items())
 
     def encode(self, split_texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as its words."""
