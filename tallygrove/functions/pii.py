@@ -46,11 +46,12 @@ NAME_ROLE = r"(?U)" + _NAME + r"(\s*,\s*)((?iu:vl\.\s*obrta|vlasnik\p{L}*(?:\s+o
 
 def scan(text: Column, detectors: Mapping[str, str] = REGISTRY) -> Column:
     """array<struct<kind, hit>> of all hits, detector by detector."""
-    each = [
-        F.transform(F.regexp_extract_all(text_or_empty(text), F.lit(p), F.lit(0)), lambda h, kind=k: F.struct(F.lit(kind).alias("kind"), h.alias("hit")))
-        for k, p in detectors.items()
-    ]
-    return F.concat(*each)
+
+    def hits(kind: str, pattern: str) -> Column:
+        found = F.regexp_extract_all(text_or_empty(text), F.lit(pattern), F.lit(0))
+        return F.transform(found, lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("hit")))
+
+    return F.concat(*(hits(k, p) for k, p in detectors.items()))
 
 
 def redact(text: Column, detectors: Mapping[str, str] = REGISTRY, mask: str = "[uklonjeno]", roles: bool = True) -> Column:
