@@ -131,14 +131,16 @@ def _pair_group(table: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array([x for x, _ in forest], pa.int64()), "v": pa.array([y for _, y in forest], pa.int64())})
 
 
-def block_pairs(nodes: DataFrame, least_block: int = 4096, most_block: int = 1 << 20) -> DataFrame:
+def block_pairs(nodes: DataFrame, least_block: int = 1 << 14, most_block: int = 1 << 20) -> DataFrame:
     """Each node (fp, pc) once for each pair of blocks that it belongs to: (pair, side, fp).
 
     A block holds nodes of one population count. The 65 counts are all that reaches
-    the driver; they set the number of blocks, so that a pair's rows fit in a task.
+    the driver; they set the number of blocks, so that a pair's rows fit in a task. A
+    block is an eighth of all nodes or most_block, whichever is less: up to 8 * most_block
+    nodes a population count is one block and each node is sent to seven pairs.
     """
     sizes = dict(nodes.groupBy("pc").count().collect())
-    block = min(most_block, max(least_block, sum(sizes.values()) // 32))
+    block = min(most_block, max(least_block, sum(sizes.values()) // 8))
     parts = [0] * RADIUS + [-(-sizes.get(p, 0) // block) for p in range(65)] + [0] * RADIUS
     counts, most = F.array(*map(F.lit, parts)), max(1, *parts)
     mine = F.when(F.col("own") > 1, F.pmod(F.xxhash64("fp"), F.col("own"))).otherwise(0).cast("int")
