@@ -5,7 +5,8 @@ both ends) is boilerplate on a host if at least min_pages of its pages contain i
 they are more than max_ratio of the host's pages. Such lines are dropped from the
 host's pages; all else, blank lines included, stays in place.
 
-Plan: each page gives its distinct lines once (as 128-bit hashes), counted by host and
+Plan: each page gives its distinct lines once (as 64-bit hashes, compared within a host
+only; Spark finds distinct numbers by hashing, but distinct strings pair by pair), counted by host and
 line with partial sums before the shuffle; what exceeds the ratio is few by
 construction, at most (lines per page) / max_ratio for each host, and is kept as one
 array for each host. Pages meet that array in a broadcast join when the arrays' total
@@ -31,9 +32,9 @@ BROADCAST_LINES = 100_000
 
 
 def _key(line: Column) -> Column:
-    """128 bits of the trimmed line; null for a blank one."""
+    """64 bits of the trimmed line; null for a blank one."""
     line = F.trim(line)
-    return F.when(line != "", F.struct(F.xxhash64(line).alias("x"), F.xxhash64(F.lit("line"), line).alias("y")))
+    return F.when(line != "", F.xxhash64(line))
 
 
 def _lines(text: Column) -> Column:
@@ -47,9 +48,9 @@ def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int =
     totals = materialise(pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")), "host-pages")
     keys = F.array_distinct(F.transform(_lines(F.col("text")), _key))
     each = pages.select("host", F.explode(keys).alias("line")).where("line is not null")
-    counts = each.groupBy("host", F.col("line.x").alias("x"), F.col("line.y").alias("y")).agg(F.count(F.lit(1)).alias("pages"))
+    counts = each.groupBy("host", "line").agg(F.count(F.lit(1)).alias("pages"))
     over = counts.where(F.col("pages") >= min_pages).join(totals, "host").where(F.col("pages") > max_ratio * F.col("host_pages"))
-    return over.select("host", F.struct("x", "y").alias("line"), "pages", "host_pages")
+    return over.select("host", "line", "pages", "host_pages")
 
 
 def drop_boilerplate(

@@ -1,7 +1,8 @@
 """Quality rules as a learned decision list, on DataFrame functions alone.
 
 Statistics of whole texts come from array functions: words [^\\x20\\x09-\\x0D]+, their
-code points, symbols, repeated lines, and words in repeated 3-word windows. Windows are
+code points, symbols, repeated lines, and words in repeated 3-word windows. Lines are told
+apart by 64-bit hashes (distinct strings would be compared pair by pair). Windows are
 64-bit hashes sorted inside the row; only rows with a repeat look at positions, so the
 cost is a sort of the row's windows and no word is ever shuffled.
 
@@ -46,7 +47,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "doc_id",
         F.char_length(F.regexp_replace("text", _SPACE, "")).cast("long").alias("word_chars"),
         (F.char_length("text") - F.char_length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        (F.size(lines) - F.size(F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x))))).cast("long").alias("n_dup_lines"),
         words.alias("words"),
     )
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
