@@ -163,10 +163,14 @@ def longest_mention(texts: DataFrame, names: DataFrame, most_words: int = 4) ->
     Instead of testing each name in each text, the texts' runs of up to most_words words
     meet the names in an equi-join. texts: text_id, text; names: name.
     """
+    # a column of its own: inside the lambda it would be split anew for each element
     words = F.split(F.trim(F.regexp_replace(fold(F.col("text")), "[^a-z0-9]+", " ")), " ")
-    runs = F.array_distinct(
-        F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most_words)), lambda n: F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_join(F.slice(words, i, n), " "))))
-    )
+    texts = texts.select("text_id", words.alias("w"))
+
+    def of_length(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.array_join(F.slice("w", i, F.lit(n)), " "))
+
+    runs = F.concat(*(of_length(n) for n in range(1, most_words + 1)))  # array_distinct would compare all pairs of strings
     each = texts.select("text_id", F.explode(runs).alias("k"))
     known = names.select(F.trim(F.regexp_replace(fold(F.col("name")), "[^a-z0-9]+", " ")).alias("k"), "name").where("k <> ''")
     met = each.join(known, "k")
