@@ -10,7 +10,7 @@ so a batch of texts is scored by one product of its presence matrix with a matri
 BUCKETS rows and a column for each language.
 
 Training is the only bounded part: at most PER_LANG labelled documents of each
-language, the ones with the least hash of their text. Prediction reads whole texts.
+language, distinct texts, the ones with the least hash of their text. Prediction reads whole texts.
 
 Defined results: `und` with score 0 where the text is null, empty or without a
 letter, or where no labelled document exists; ties go to the first language in
@@ -123,7 +123,9 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     shares = shares.orderBy(F.desc("count"), "lang").limit(512)  # a model has at most so many languages
     ranked = known.join(F.broadcast(shares.select("lang", "share")), "lang").withColumn("order", F.xxhash64("text"))
     ranked = ranked.where(F.pmod("order", F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    first = Window.partitionBy("lang").orderBy("order", "text")
+    # a text that repeats very often counts once, so it cannot fill the sample
+    ranked = ranked.groupBy("lang", "order").agg(F.min("text").alias("text"))
+    first = Window.partitionBy("lang").orderBy("order")
     chosen = ranked.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_lang)
     got = chosen.select("lang", "place", presence_udf()("text").alias("bits")).collect()
     got.sort(key=lambda r: (r["place"], r["lang"]))

@@ -130,7 +130,8 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     # about 2 * per_class rows of each label at most: a checked bound for the broadcast
     thin = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
     rows = docs.where("text is not null").join(F.broadcast(thin), "doc_id").select("text", "toxic", F.xxhash64("text").alias("order"))
-    first = Window.partitionBy("toxic").orderBy("order", "text")
+    rows = rows.groupBy("toxic", "order").agg(F.min("text").alias("text"))
+    first = Window.partitionBy("toxic").orderBy("order")
     return rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_class).drop("order")
 
 
