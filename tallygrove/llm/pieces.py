@@ -31,9 +31,9 @@ from ._common import slim
 
 MARK = "▁"
 N_BEST = 4
-_KNOWN = 250_000
+_KNOWN = 350_000
 _LONGEST_KNOWN = 48
-#: score and ids of a chunk's best path, loss of the second-best, place for its N best
+#: score and ids (little-endian 32-bit) of a chunk's best path, loss of the second-best, place for its N best
 Entry = list
 Path = tuple[float, tuple[int, ...]]
 
@@ -59,9 +59,14 @@ class Pieces:
         for value, i in bytes_at.items():
             self.surface[i] = bytes([value])
             self.scores[i] = self.byte_score
-        # each beginning of a piece: the piece's score, or None; scores are never positive
-        self.found: dict[str, float | None] = {p[:n]: None for p in self.ids for n in range(1, len(p) + 1)}
-        self.found.update((p, self.scores[i]) for p, i in self.ids.items())
+        # a tree of characters: each node is its children and, if a piece ends there, the piece's score
+        self.tree: dict = {}
+        for p, i in self.ids.items():
+            children = self.tree
+            for c in p[:-1]:
+                children = children.setdefault(c, [{}, None])[0]
+            children.setdefault(p[-1], [{}, None])[1] = self.scores[i]
+        self.coded = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
         self.pairs = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1) if p[k + 1] in ".,"}
         self.split = re.compile(rf"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
         self.known: dict[str, Entry] = {}
@@ -87,10 +92,7 @@ class Pieces:
         for a in range(len(chunk)):
             single = False
             for b in range(a + 1, min(len(chunk), a + self.longest) + 1):
-                part = chunk[a:b]
-                if part not in self.found:
-                    break
-                i = get(part)
+                i = get(chunk[a:b])
                 if i is not None:
                     into[b].append((a, scores[i], (i,)))
                     single = single or b == a + 1
@@ -101,27 +103,31 @@ class Pieces:
 
     def best(self, chunk: str) -> Entry:
         """Forward Viterbi: the best path, and the loss of the second-best by keeping two scores at each position."""
-        n, low, longest, get = len(chunk), float("-inf"), self.longest, self.found.get
+        n, low = len(chunk), float("-inf")
         one, two, come = [low] * (n + 1), [low] * (n + 1), [0] * (n + 1)
         one[0] = 0.0
         for a in range(n):
             x, y = one[a], two[a]
-            single = False
-            for b in range(a + 1, min(n, a + longest) + 1):
-                s = get(chunk[a:b], 1)
-                if s == 1:  # no piece begins like this
+            children = self.tree
+            b = a
+            while b < n:
+                node = children.get(chunk[b])
+                b += 1
+                if node is None:  # no piece begins like this
                     break
+                children, s = node
                 if s is None:
                     continue
-                if b == a + 1:
-                    single = True
-                if x + s > one[b]:
-                    two[b] = max(one[b], y + s)
-                    one[b] = x + s
+                t = x + s
+                if t > one[b]:
+                    s += y
+                    two[b] = one[b] if one[b] > s else s
+                    one[b] = t
                     come[b] = a
-                elif x + s > two[b]:
-                    two[b] = x + s
-            if not single:
+                elif t > two[b]:
+                    two[b] = t
+            node = self.tree.get(chunk[a])
+            if node is None or node[1] is None:
                 s, b = self.byte_score * len(chunk[a].encode()), a + 1
                 if x + s > one[b]:
                     two[b] = max(one[b], y + s)
@@ -129,14 +135,14 @@ class Pieces:
                     come[b] = a
                 elif x + s > two[b]:
                     two[b] = x + s
-        ids: list[int] = []
+        ids: list[bytes] = []
         b = n
         while b:
             a = come[b]
-            i = self.ids.get(chunk[a:b])
-            ids += [i] if i is not None else [self.bytes_at[x] for x in reversed(chunk[a].encode())]
+            own = self.coded.get(chunk[a:b])
+            ids.append(own if own is not None else b"".join(self.bytes_at[v].to_bytes(4, "little") for v in chunk[a].encode()))
             b = a
-        return [one[n], tuple(ids[::-1]), one[n] - two[n], None]
+        return [one[n], b"".join(reversed(ids)), one[n] - two[n], None]
 
     def search(self, chunk: str) -> list[Path]:
         """The N best (score, ids), best first, by A-star from the end with Viterbi scores ahead."""
@@ -172,29 +178,30 @@ class Pieces:
         stem, stop = self.entry(chunk[:-1]), self.entry(chunk[-1])
         return [stem[0] + stop[0], stem[1] + stop[1], min(stem[2], stop[2]), None]
 
-    def encode(self, text: str) -> list[tuple[float, list[int]]]:
-        """The N best segmentations of a whole text."""
+    def encode(self, text: str) -> list[tuple[float, bytes]]:
+        """The N best segmentations of a whole text: score, and ids as little-endian 32-bit numbers."""
         if not text:
-            return [(0.0, [])]
+            return [(0.0, b"")]
         chunks = self.split.findall(MARK + text.replace(" ", MARK))
-        entries = [self.entry(c) for c in chunks]
-        first = [i for e in entries for i in e[1]]
-        total = sum(e[0] for e in entries)
+        get, entry = self.known.get, self.entry
+        entries = [get(c) or entry(c) for c in chunks]
+        first = [e[1] for e in entries]
+        total = sum([e[0] for e in entries])
         # the N least losses so far, each with the chunks that do not take their best
         few: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
         losses = [e[2] for e in entries]
         for k in heapq.nsmallest(self.n_best - 1, range(len(losses)), key=losses.__getitem__):
-            entry = entries[k]
-            if entry[3] is None:
-                entry[3] = self.search(chunks[k])
-            top = entry[3][0][0]
-            more = ((loss + top - p[0], took + ((k, j),)) for loss, took in few for j, p in enumerate(entry[3][1:], 1))
+            if entries[k][3] is None:
+                entries[k][3] = self.search(chunks[k])
+            paths = entries[k][3]
+            more = ((loss + paths[0][0] - p[0], took + ((k, j),)) for loss, took in few for j, p in enumerate(paths[1:], 1))
             few = sorted([*few, *more])[: self.n_best]
         out = []
         for loss, took in few:
-            choice = dict(took)
-            ids = [i for k, e in enumerate(entries) for i in (e[3][choice[k]][1] if k in choice else e[1])] if choice else first
-            out.append((total - loss, ids))
+            parts = list(first)
+            for k, j in took:
+                parts[k] = np.array(entries[k][3][j][1], "<u4").tobytes()
+            out.append((total - loss, b"".join(parts)))
         return out
 
     def decode(self, ids) -> str:
@@ -227,9 +234,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, n_best: int = N_B
                 ids, scores, crcs = [], [], []
                 for text in part.column(1):
                     paths = model.encode(text.as_py() or "")
-                    ids.append(np.array(paths[0][1], np.int32))
+                    ids.append(np.frombuffer(paths[0][1], "<i4"))
                     scores.append([s for s, _ in paths])
-                    crcs.append([zlib.crc32(np.array(p, "<u4").tobytes()) for _, p in paths])
+                    crcs.append([zlib.crc32(p) for _, p in paths])
                 arrays = [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.list_(pa.float64())), pa.array(crcs, pa.list_(pa.int64()))]
                 yield pa.record_batch(arrays, ["doc_id", "ids", "scores", "crcs"])
 
