@@ -234,10 +234,12 @@ def encode_documents(docs: DataFrame, path: str | None = None, n_best: int = N_B
                 ids, scores, crcs = [], [], []
                 for text in part.column(1):
                     paths = model.encode(text.as_py() or "")
-                    ids.append(np.frombuffer(paths[0][1], "<i4"))
+                    ids.append(paths[0][1])
                     scores.append([s for s, _ in paths])
                     crcs.append([zlib.crc32(p) for _, p in paths])
-                arrays = [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.list_(pa.float64())), pa.array(crcs, pa.list_(pa.int64()))]
+                ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+                arrays = [part.column(0), lists, pa.array(scores, pa.list_(pa.float64())), pa.array(crcs, pa.list_(pa.int64()))]
                 yield pa.record_batch(arrays, ["doc_id", "ids", "scores", "crcs"])
 
     return rows.mapInArrow(run, f"doc_id {id_type}, ids array<int>, scores array<double>, crcs array<bigint>")
@@ -253,7 +255,7 @@ def decode_documents(coded: DataFrame, path: str | None = None, id_col: str = "d
     def run(batches):
         model = model_of(path, N_BEST)
         for batch in batches:
-            texts = [model.decode(x.as_py() or ()) for x in batch.column(1)]
+            texts = [model.decode(x.values.to_numpy().tolist() if x.is_valid else ()) for x in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string()), *batch.columns[2:]], ["doc_id", "text", *keep])
 
     return rows.mapInArrow(run, ", ".join(kinds))
