@@ -7,11 +7,10 @@ and the end has its own; a word given its shared symbol has the add-one probabil
 (c + 1) / (N_s + V_s + 1) of its count among that symbol's words. Log10 of a text's
 probability is the scaled forward recursion's sum plus those words' terms.
 
-Training: a start by Baum-Welch on a bounded sample of encoded documents
-(START_DOCS), then ROUNDS of Baum-Welch over all training documents. Each task runs
-forward and backward over its documents and gives its expected counts once; they are
-added by (kind, state, symbol) in a shuffle, and at most a table of the model's size
-reaches the driver.
+Training: ROUNDS of Baum-Welch, each over all training documents, whatever their length.
+Each task runs forward and backward over its documents and gives its expected counts
+once; they are added by (kind, place) in a shuffle, and at most a table of the model's
+size reaches the driver.
 
 Counts of words: at most DICTIONARY words, the most frequent, are broadcast, by a
 threshold on the count that a histogram of counts gives. All other words of each
@@ -39,10 +38,7 @@ STATES = 8
 SUFFIXES = 256
 WORDS = 4096
 DICTIONARY = 200_000
-START_DOCS = 2000
-START_LENGTH = 3000
-START_ROUNDS = 12
-ROUNDS = 2
+ROUNDS = 14
 _CELLS = 1 << 18
 _FLUSH = 250_000
 
@@ -182,10 +178,10 @@ class Expected:
             self.emit[:, k] += np.bincount(flat[mask], weights=gamma[:, k], minlength=len(self.emit))
 
     def rows(self):
-        """(kind, state, symbol, value) of what is not zero; kind 0 start, 1 move, 2 emit."""
+        """(kind, places, values of each state) of what is not zero; kind 0 start, 1 move, 2 emit."""
         for kind, table in enumerate((self.start[None, :], self.move, self.emit)):
-            a, b = np.nonzero(table)
-            yield np.full(len(a), kind), b, a, table[a, b]
+            places = np.flatnonzero(table.any(axis=1))
+            yield np.full(len(places), kind), places, table[places]
 
 
 def _sequences(column: pa.Array) -> list[np.ndarray]:
@@ -194,20 +190,20 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
 
 def baum_welch(encoded: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected counts over all encoded sequences, added across partitions."""
+    names = [f"v{k}" for k in range(STATES)]
 
     def run(batches):
         total = Expected(model.symbols)
         for b in batches:
             for _, grid in batches_of(_sequences(b.column(0)), model.symbols):
                 total.add(model, grid)
-        for kind, state, symbol, value in total.rows():
-            yield pa.record_batch([pa.array(kind, pa.int32()), pa.array(state, pa.int32()), pa.array(symbol, pa.int32()), pa.array(value)], ["kind", "state", "symbol", "value"])
+        for kind, place, values in total.rows():
+            yield pa.record_batch([pa.array(kind, pa.int32()), pa.array(place, pa.int32()), *map(pa.array, values.T.copy())], ["kind", "place", *names])
 
-    parts = encoded.select("symbols").mapInArrow(run, "kind int, state int, symbol int, value double")
+    parts = encoded.select("symbols").mapInArrow(run, f"kind int, place int, {', '.join(f'{x} double' for x in names)}")
     out = Expected(model.symbols)
-    for r in parts.groupBy("kind", "state", "symbol").agg(F.sum("value").alias("value")).collect():
-        table = (out.start[None, :], out.move, out.emit)[r["kind"]]
-        table[r["symbol"], r["state"]] = r["value"]
+    for r in parts.groupBy("kind", "place").agg(*(F.sum(x).alias(x) for x in names)).collect():
+        (out.start[None, :], out.move, out.emit)[r["kind"]][r["place"]] = r[2:]
     return out.start, out.move, out.emit
 
 
@@ -275,13 +271,6 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     model = Model.first(share)
     learn = encoded.where("not held_out")
-    sample = learn.where(F.col("n_tokens") <= START_LENGTH).orderBy(F.xxhash64("symbols"), "rid").limit(START_DOCS).select("symbols").collect()
-    sequences = [np.frombuffer(bytes(r["symbols"]), "<u2") for r in sample]
-    for _ in range(START_ROUNDS if sequences else 0):
-        total = Expected(model.symbols)
-        for _, grid in batches_of(sequences, model.symbols):
-            total.add(model, grid)
-        model = Model.of_counts(total.start, total.move, total.emit, share)
     for _ in range(rounds if n_docs else 0):
         model = Model.of_counts(*baum_welch(learn, model), share)
 

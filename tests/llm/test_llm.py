@@ -305,6 +305,25 @@ def test_hmm_scores(spark, docs, empty, monkeypatch):
     assert hmm_lm.score_documents(empty, held).collect() == []
 
 
+def test_hmm_rounds_see_every_document(spark, monkeypatch):
+    """No round on a sample of the driver's; long documents and rare ones beside copies count in each."""
+    rows = [(i, "same text here") for i in range(30)] + [(i, f"w{i} " * 3100) for i in range(30, 33)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    seen = []
+    whole = hmm_lm.baum_welch
+
+    def spy(encoded, model):
+        out = whole(encoded, model)
+        seen.append((out[0].sum(), out[2].sum()))
+        return out
+
+    monkeypatch.setattr(hmm_lm, "baum_welch", spy)
+    monkeypatch.setattr(hmm_lm.Expected, "add", None)  # of the driver's process alone
+    assert len(hmm_lm.score_documents(frame, F.lit(False)).collect()) == 33
+    assert len(seen) == hmm_lm.ROUNDS == 14
+    assert all(a == pytest.approx(33) and b == pytest.approx(30 * 4 + 3 * 3101) for a, b in seen)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
