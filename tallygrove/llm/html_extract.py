@@ -50,7 +50,7 @@ LABELLED = [
     (14, 0.0, 14, 0.0, 14, 0.0, 0, 0, 0, 0, 1), (6, 0.0, 25, 0.0, 25, 0.0, 0, 0, 0, 1, 1), (9, 0.1, 35, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
 ]
 # Names of elements and of their classes, ids and roles.
-_RAW = "script|style|title|noscript|template|textarea|select|iframe|svg|math|object|canvas|audio|video"
+_RAW = "script|style|title|template|textarea|select|iframe|svg|canvas|audio|video"
 _BLOCK = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -63,17 +63,19 @@ _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<[/!?a-zA-Z][^>]*>",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 def _named(attributes: str) -> bool:
-    if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    return any(w.lower() in _NAMES for m in _ATTRIBUTE.finditer(attributes) for w in _WORDS.findall(m[2] or m[3] or m[4] or ""))
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _HIDDEN.search(value):
+            return True
+        if name in ("class", "id", "role") and any(w.lower() in _NAMES for w in _WORDS.findall(value)):
+            return True
+    return False
 
 
 def blocks(page: str):

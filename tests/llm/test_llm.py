@@ -264,6 +264,18 @@ def test_html():
     assert html_extract.main_text("", tree) == ""
 
 
+def test_html_hidden():
+    """Only what is really hidden goes: a value with the word in it hides nothing."""
+    tree = html_extract.grow(html_extract.LABELLED)
+    text = lambda attributes: html_extract.main_text(f"<article><div {attributes}><p>one two three</p></div></article>", tree)
+    for shown in ('style="overflow:hidden"', 'title="The hidden valley"', 'data-x="hidden"', "data-x=hidden", 'aria-hidden="false"', 'style="x-display:none"', 'title="display:none"', "data-class=nav"):
+        assert text(shown) == "one two three", shown
+    for gone in ("hidden", 'hidden=""', "HIDDEN", 'aria-hidden="true"', "style='color:red; display : none'", 'style="visibility:hidden !important;"', 'class="nav"'):
+        assert text(gone) == "", gone
+    kept = "<article><p>let <math><mi>x</mi></math> be</p><noscript><p>no script</p></noscript><object><p>instead</p></object></article>"
+    assert html_extract.main_text(kept, tree) == "let x be no script instead"
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", None), (1, "u", "<article><p>é</p></article>")], "page_id int, url string, html string")
     assert sorted((r["text"], r["n_chars"]) for r in html_extract.extract(df).collect()) == [("", 0), ("é", 1)]
