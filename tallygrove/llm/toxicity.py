@@ -1,11 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Tokens of a clause become symbols: I insult, W weak insult, T threat, U target (a person spoken to or
-of), N negation, R reported speech, o other, and . for a clause's end. Transducers
+of), O target that can be a verb's object, N negation, R reported speech, o other, and . for a clause's end. Transducers
 over that alphabet are composed: a context transducer remembers negation, report and
-target for a few symbols; the pattern transducer it feeds matches an insult or a
-threat with its target and emits the kind of the match (plain, targeted, negated,
-reported, weak, threat). Matches are what is scored, each kind with a weight learned
+target for a few symbols, and tells whether a report or a target follows before the
+clause's end; the pattern transducer it feeds matches an insult with a target on either
+side, or a threat with a target before it or its object after it, and emits the kind of
+the match (plain, targeted, negated, reported, weak, threat). Matches are what is scored, each kind with a weight learned
 from labelled documents, so isolated words count by the clause they stand in.
 
 The insult transducer is learned: morphemes (whole words, and word beginnings of 3 to
@@ -40,11 +41,14 @@ MOST_UNITS = 1500
 KINDS = ("plain", "targeted", "negated", "reported", "weak", "threat")
 # General words of each symbol, in English, German, French and Spanish.
 INSULTS = ["idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting", "dumb", "imbecile", "bastard", "vermin"]
-THREATS = ["kill", "murder", "hurt", "destroy", "beat", "töten", "tuer", "matar"]
-TARGETS = ["you", "your", "yours", "he", "she", "they", "them", "him", "her", "du", "dich", "ihr", "tu", "toi", "vous", "usted", "ustedes"]
+THREATS = ["kill", "kills", "killing", "murder", "murders", "murdering", "hurt", "hurts", "hurting", "destroy", "destroys", "destroying", "beat", "beats", "beating"]
+THREATS += ["töten", "töte", "tötet", "tuer", "tuerai", "matar", "mato", "mataré"]
+TARGETS = ["he", "she", "they", "du", "tu"]
+OBJECTS = ["you", "your", "yours", "them", "him", "her", "dich", "ihr", "toi", "vous", "usted", "ustedes"]
 NEGATIONS = ["not", "never", "no", "nicht", "kein", "nie", "pas", "jamais", "nunca"]
 REPORTS = ["said", "says", "called", "quoted", "wrote", "told", "sagte", "dit", "dijo"]
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
+_MATCHED = re.compile("[IWT]")
 _SHORT, _LONG = 3, 7
 _REACH = 4
 #: How strongly the learned weights are held to the values assumed before.
@@ -65,7 +69,7 @@ class Symbols(dict):
     def __init__(self, insults: dict[str, bool]) -> None:
         super().__init__()
         self.insults = insults
-        self.fixed = {w: s for s, words in (("R", REPORTS), ("N", NEGATIONS), ("U", TARGETS), ("T", THREATS)) for w in words}
+        self.fixed = {w: s for s, words in (("R", REPORTS), ("N", NEGATIONS), ("U", TARGETS), ("O", OBJECTS), ("T", THREATS)) for w in words}
 
     def __missing__(self, token: str) -> str:
         if len(self) > _KNOWN:
@@ -81,14 +85,17 @@ class Symbols(dict):
 
 
 def context(symbols: str):
-    """The context transducer: each symbol with how many symbols ago negation, report and target stood in its clause."""
-    ago = [99, 99, 99]
-    for s in symbols:
-        if s == ".":
-            ago = [99, 99, 99]
-        else:
-            ago = [0 if s == x else a + 1 for x, a in zip("NRU", ago)]
-        yield s, ago[0] <= _REACH, ago[1] <= _REACH, ago[2] <= _REACH
+    """The context transducer: each insult or threat with whether negation, report and target stand in its clause.
+
+    Negation counts up to _REACH symbols before it; report and target also anywhere after it.
+    """
+    for clause in symbols.split("."):
+        report, subject, object_ = (clause.rfind(x) for x in "RUO")  # the last of each
+        for m in _MATCHED.finditer(clause):
+            s, i = m[0], m.start()
+            before = clause[max(0, i - _REACH) : i]
+            targeted = "U" in before or "O" in before or object_ > i or s != "T" and subject > i
+            yield s, "N" in before, "R" in before or report > i, targeted
 
 
 def match(symbols: str) -> Counter:

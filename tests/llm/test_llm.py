@@ -152,6 +152,17 @@ def test_quality(spark, empty):
     assert quality.assess(empty, rules).collect() == []
 
 
+def test_toxicity_looks_both_ways():
+    match = toxicity.match
+    assert match("IU") == match("IO") == match("OI") == Counter(targeted=1) and match("IUR") == Counter(reported=1) and match("I.UR") == Counter(plain=1)
+    assert match("TO") == match("oToooooO") == Counter(threat=1) and match("NTO") == match("TOR") == match("T.O") == Counter()
+    symbols = toxicity.Symbols({"=idiot": True})
+    told = lambda text: match("".join(map(symbols.__getitem__, toxicity._TOKEN.findall(text.lower()))))
+    for text in ("kill you", "hurt them", "I will destroy her", "killing him", "she kills you"):
+        assert told(text) == Counter(threat=1), text
+    assert told("idiot, you") == Counter(targeted=1) and told('"idiot", he said') == Counter(reported=1) and told("never hurt them") == Counter()
+
+
 def test_toxicity(spark, docs, empty):
     assert toxicity.match("oIo.") == Counter(plain=1) and toxicity.match("NI") == Counter(negated=1)
     assert toxicity.match("UoI.I") == Counter(targeted=1, plain=1) and toxicity.match("RI") == Counter(reported=1) and toxicity.match("TU") == Counter()
