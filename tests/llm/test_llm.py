@@ -347,6 +347,18 @@ def test_hmm_rounds_see_every_document(spark, monkeypatch):
     assert all(a == pytest.approx(33) and b == pytest.approx(30 * 4 + 3 * 3101) for a, b in seen)
 
 
+def test_near_dedup_stage_keeps_one_row(spark):
+    """Repeated ids and rows without an id count row by row."""
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    a, b, c = (" ".join("".join(rng.choices("aeioubdgklmnrst", k=5)) for _ in range(40)) for _ in range(3))
+    rows = [(1, a, "x"), (1, a, "x"), (1, b, "y"), (2, b, "z"), (None, a, "v"), (None, c, "w"), (None, c, "w")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = Counter((r["doc_id"], r["text"], r["lang"]) for r in corpus_pipeline.stage_near_dedup(spark, docs, "").collect())
+    assert got == Counter([(1, a, "x"), (1, b, "y"), (None, c, "w")])
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
