@@ -29,6 +29,9 @@ BASES = (1_103_515_245, 1_664_525_061, 1_812_433_253, 69_069_077)
 #: 8192 products below 2^39 add up below 2^53, so float64 products are exact.
 CHUNK = 8192
 _FP = "struct<a:bigint,b:bigint,n:bigint>"
+_NAMES = ("fa", "fb", "fn")
+#: The bound of the broadcast that tells which texts may be in a group.
+SLOTS = 1 << 20
 
 
 def _powers() -> np.ndarray:
@@ -137,39 +140,43 @@ def same_text_udf():
     return same
 
 
+def _marked(rows: DataFrame, fingerprint) -> DataFrame:
+    """The rows with their fingerprint as the columns of _NAMES."""
+    marked = rows.withColumn("fp", (fingerprint or fingerprint_udf())("text"))
+    return marked.select("*", *(F.col(f"fp.{name[-1]}").alias(name) for name in _NAMES)).drop("fp")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fingerprint=None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
-    The text is shuffled once, by fingerprint; adaptive execution splits a hot
-    fingerprint, as the groups' side of that join has one row a key. Only texts
-    in groups of two or more are kept for the comparison. fingerprint replaces the
-    hash in tests, to force collisions.
+    Sizes of groups come from rows without texts. Only texts that may be in a group of
+    two or more are shuffled, for the comparison: a scan is filtered by the slots (a
+    hash of the fingerprint modulo SLOTS) that groups fall in, which is a broadcast of at
+    most SLOTS numbers whatever the input's size; a wrong slot match costs one row's
+    shuffle and no more. Adaptive execution splits a hot fingerprint, as the groups'
+    side of each join is a table with one row a key. fingerprint replaces the hash in
+    tests, to force collisions.
     """
-    key = ["fp.a", "fp.b", "fp.n"]
     rows = slim(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    marked = rows.withColumn("fp", (fingerprint or fingerprint_udf())("text")).select(
-        "doc_id", "text", *(F.col(k).alias(f"f{k[-1]}") for k in key)
-    )
-    names = ["fa", "fb", "fn"]
-    groups = marked.groupBy(*names).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    sha = F.sha2(F.col("text").cast("binary"), 256)
+    narrow = materialise(_marked(rows, fingerprint).select("doc_id", sha.alias("text_sha256"), *_NAMES), "exact-narrow")
+    groups = narrow.groupBy(*_NAMES).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     # a table of its own: a join with an aggregate on the same key could not be split on a hot fingerprint
     groups = materialise(groups.where("group_size > 1"), "exact-sizes")
-    told = marked.join(groups, names, "left").select(
-        F.monotonically_increasing_id().alias("rid"),
-        "doc_id",
-        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
-        F.when(F.col("group_size").isNotNull(), F.col("text")).alias("text"),
-        *names,
-        "keep_id",
-        "group_size",
-    )
-    told = materialise(told, "exact-groups")
-    single = told.where("group_size is null").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
+    single = narrow.join(groups.select(*_NAMES, "group_size"), list(_NAMES), "left").where("group_size is null")
+    single = single.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
+
+    slot = F.pmod(F.xxhash64(*_NAMES), F.lit(SLOTS)).alias("slot")
+    slots = F.broadcast(groups.select(slot).distinct())  # at most SLOTS rows
+    some = _marked(rows, fingerprint).withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot")
+    members = some.join(groups, list(_NAMES)).select(
+        F.monotonically_increasing_id().alias("rid"), "doc_id", sha.alias("text_sha256"), "text", *_NAMES, "keep_id", "group_size"
     )
-    members = told.where("group_size is not null")
+    members = materialise(members, "exact-members")
+    names = list(_NAMES)
     stays = members.where("doc_id <=> keep_id").groupBy(*names).agg(F.min("rid").alias("keep_rid"))
-    firsts = members.select("rid", F.col("text").alias("keep_text")).join(stays.withColumnRenamed("keep_rid", "rid"), "rid")
+    firsts = members.where("doc_id <=> keep_id").select("rid", F.col("text").alias("keep_text"))
+    firsts = firsts.join(stays.withColumnRenamed("keep_rid", "rid"), "rid")
     firsts = firsts.withColumnRenamed("rid", "keep_rid")
     compared = members.join(firsts, names).withColumn("same", same_text_udf()("text", "keep_text")).drop("keep_text")
     verdict = materialise(compared.select("rid", "doc_id", "keep_id", "keep_rid", "group_size", "text_sha256", "same", *names), "exact-verdicts")
