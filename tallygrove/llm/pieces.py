@@ -10,6 +10,8 @@ No piece crosses from other characters into a space mark, and line feeds have no
 of their own, so the lattice falls apart at those places. Chunks' best paths and the loss of
 their second-best (Viterbi with the two best scores at each position) are remembered; the N best of a text differ from its best only in the N - 1 chunks of least
 loss, so only those are searched for N paths, and their sums merged, which is exact.
+A search keeps back-pointers, and leaves out what loses more than N paths already known,
+so a long text without spaces takes memory in proportion to its length.
 
 Space becomes U+2581 and one more stands at the front; decoding turns them back and
 drops the first. Defined results: null text is empty and has no pieces; a text that
@@ -22,6 +24,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +36,11 @@ MARK = "▁"
 N_BEST = 4
 _KNOWN = 350_000
 _LONGEST_KNOWN = 48
+#: Chunks above this length keep their Viterbi tables packed.
+_PACKED = 4096
 #: score and ids (little-endian 32-bit) of a chunk's best path, loss of the second-best, place for its N best
 Entry = list
-Path = tuple[float, tuple[int, ...]]
+Path = tuple[float, bytes]
 
 
 def default_model() -> str:
@@ -85,26 +90,25 @@ class Pieces:
             pieces.append(("" if sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) else piece, sp.get_score(i)))
         return cls(pieces, bytes_at, n_best)
 
-    def edges(self, chunk: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For each end position, the edges that come in: (begin, score, ids)."""
-        into: list[list] = [[] for _ in range(len(chunk) + 1)]
+    def edges(self, chunk: str, end: int) -> list[tuple[int, float, tuple[int, ...]]]:
+        """The edges that come in at one end position: (begin, score, ids)."""
+        out = []
         get, scores = self.ids.get, self.scores
-        for a in range(len(chunk)):
-            single = False
-            for b in range(a + 1, min(len(chunk), a + self.longest) + 1):
-                i = get(chunk[a:b])
-                if i is not None:
-                    into[b].append((a, scores[i], (i,)))
-                    single = single or b == a + 1
-            if not single:
+        for a in range(end - 1, max(-1, end - self.longest - 1), -1):
+            i = get(chunk[a:end])
+            if i is not None:
+                out.append((a, scores[i], (i,)))
+            elif a == end - 1:
                 raw = chunk[a].encode()
-                into[a + 1].append((a, self.byte_score * len(raw), tuple(self.bytes_at[x] for x in raw)))
-        return into
+                out.append((a, self.byte_score * len(raw), tuple(self.bytes_at[x] for x in raw)))
+        return out
 
     def best(self, chunk: str) -> Entry:
         """Forward Viterbi: the best path, and the loss of the second-best by keeping two scores at each position."""
         n, low = len(chunk), float("-inf")
         one, two, come = [low] * (n + 1), [low] * (n + 1), [0] * (n + 1)
+        if n > _PACKED:  # eight bytes a place
+            one, two, come = array("d", one), array("d", two), array("q", come)
         one[0] = 0.0
         for a in range(n):
             x, y = one[a], two[a]
@@ -144,23 +148,64 @@ class Pieces:
             b = a
         return [one[n], b"".join(reversed(ids)), one[n] - two[n], None]
 
+    def ahead(self, chunk: str) -> array:
+        """Forward Viterbi: the best score of any path to each position."""
+        out = array("d", [0.0]) * (len(chunk) + 1)
+        for b in range(1, len(out)):
+            out[b] = max(out[a] + s for a, s, _ in self.edges(chunk, b))
+        return out
+
+    def _bound(self, chunk: str, ahead: array) -> float:
+        """A loss that the N-th best path does not exceed.
+
+        Each edge that enters the best path from beside it begins another path, whose loss
+        is known; the N - 1 least of them are N - 1 paths beside the best.
+        """
+        losses: list[float] = []
+        b = len(chunk)
+        while b:
+            into = sorted(((ahead[a] + s, a) for a, s, _ in self.edges(chunk, b)), reverse=True)
+            losses = heapq.nsmallest(self.n_best - 1, [*losses, *(into[0][0] - t for t, _ in into[1 : self.n_best])])
+            b = into[0][1]
+        return losses[-1] if losses and len(losses) == self.n_best - 1 else float("inf")
+
     def search(self, chunk: str) -> list[Path]:
-        """The N best (score, ids), best first, by A-star from the end with Viterbi scores ahead."""
-        into = self.edges(chunk)
-        ahead = [0.0] + [float("-inf")] * len(chunk)
-        for b in range(1, len(ahead)):
-            ahead[b] = max(ahead[a] + s for a, s, _ in into[b])
+        """The N best (score, ids), best first, by A-star from the end with Viterbi scores ahead.
+
+        An item is its place and the number of the item it came from, so memory grows with
+        the items made and not with their paths; items that lose more than the N-th best can
+        are not made. Of equal totals the item nearest to the start goes first, then the
+        older one.
+        """
+        ahead = self.ahead(chunk)
+        most = self._bound(chunk, ahead)
+        least = ahead[-1] - most - 1e-9 * max(1.0, abs(ahead[-1]))
         out: list[Path] = []
-        queue: list[tuple] = [(-ahead[-1], (), len(chunk), 0.0)]  # minus the total, ids from the end, place, score behind it
+        places, parents = array("q", [len(chunk)]), array("q", [-1])
+        queue: list[tuple[float, int, int, float]] = [(-ahead[-1], len(chunk), 0, 0.0)]  # minus the total, place, item, score behind it
         while queue and len(out) < self.n_best:
-            _, behind, at, score = heapq.heappop(queue)
+            _, at, item, score = heapq.heappop(queue)
             if at == 0:
-                out.append((score, behind[::-1]))
+                out.append((score, self._ids(chunk, places, parents, item)))
                 continue
-            for a, s, ids in into[at]:
-                heapq.heappush(queue, (-(ahead[a] + s + score), behind + ids[::-1], a, score + s))
+            for a, s, _ in self.edges(chunk, at):
+                total = ahead[a] + s + score
+                if total >= least:
+                    heapq.heappush(queue, (-total, a, len(places), score + s))
+                    places.append(a)
+                    parents.append(item)
         return out
 
+    def _ids(self, chunk: str, places: array, parents: array, item: int) -> bytes:
+        """The ids along the back-pointers from an item at the start."""
+        ids: list[bytes] = []
+        while (up := parents[item]) >= 0:
+            a, b = places[item], places[up]
+            own = self.coded.get(chunk[a:b])
+            ids.append(own if own is not None else b"".join(self.bytes_at[v].to_bytes(4, "little") for v in chunk[a].encode()))
+            item = up
+        return b"".join(ids)
+
     def entry(self, chunk: str) -> Entry:
         got = self.known.get(chunk)
         if got is None:
@@ -200,7 +245,7 @@ class Pieces:
         for loss, took in few:
             parts = list(first)
             for k, j in took:
-                parts[k] = np.array(entries[k][3][j][1], "<u4").tobytes()
+                parts[k] = entries[k][3][j][1]
             out.append((total - loss, b"".join(parts)))
         return out
 
