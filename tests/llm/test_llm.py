@@ -51,6 +51,19 @@ def test_exact(spark, docs, empty, collide):
     assert ed.exact_dedup(empty).collect() == []
 
 
+def test_exact_late_difference(spark):
+    """Under a forced collision, texts of equal length that differ in a late chunk only are told apart."""
+    long = "abcdefgh" * 5000
+    late = long[:-3] + "x" + long[-2:]
+    rows = [(1, long), (2, late), (3, long), (4, late), (5, late[:-1] + "y")]
+    zero = F.lit(0).cast("long")
+    clash = lambda c: F.struct(zero.alias("a"), zero.alias("b"), zero.alias("n"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for fingerprint in (None, clash):
+        got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in ed.exact_dedup(frame, fingerprint=fingerprint).collect()}
+        assert got == {1: (3, 2, False), 2: (4, 2, False), 3: (3, 2, True), 4: (4, 2, True), 5: (5, 1, True)}
+
+
 def test_fingerprints_compose(spark):
     data = bytes(random.Random(1).randbytes(50_000))
     h = ed.Hasher()
@@ -152,26 +165,68 @@ def test_quality(spark, empty):
     assert quality.assess(empty, rules).collect() == []
 
 
-def test_toxicity_looks_both_ways():
-    match = toxicity.match
-    assert match("IU") == match("IO") == match("OI") == Counter(targeted=1) and match("IUR") == Counter(reported=1) and match("I.UR") == Counter(plain=1)
-    assert match("TO") == match("oToooooO") == Counter(threat=1) and match("NTO") == match("TOR") == match("T.O") == Counter()
-    symbols = toxicity.Symbols({"=idiot": True})
-    told = lambda text: match("".join(map(symbols.__getitem__, toxicity._TOKEN.findall(text.lower()))))
-    for text in ("kill you", "hurt them", "I will destroy her", "killing him", "she kills you"):
-        assert told(text) == Counter(threat=1), text
-    assert told("idiot, you") == Counter(targeted=1) and told('"idiot", he said') == Counter(reported=1) and told("never hurt them") == Counter()
+def slow_kind(clause):
+    """The kind of a clause by the rules in words, without a machine."""
+    negated = [any(x == "N" for x in clause[max(0, i - toxicity.REACH) : i]) for i in range(len(clause))]
+    insults = {clause[i] for i in range(len(clause)) if clause[i] in "IW" and not negated[i]}
+    softened = {clause[i] for i in range(len(clause)) if clause[i] in "IW" and negated[i]}
+    threats = [i for i in range(len(clause)) if clause[i] == "T" and not negated[i]]
+    threat = any("O" in clause[i:] or "P" in clause[i:] or "P" in clause[:i] for i in threats)
+    if "R" in clause:
+        return "reported" if threat or insults else "negated" if softened else None
+    if threat:
+        return "threat"
+    if "I" in insults:
+        return "targeted" if set(clause) & set("UOP") else "plain"
+    return "weak" if insults else "negated" if softened else None
+
+
+def test_toxicity_machine():
+    """The composed machine against the rules in words and against its parts one after another, over all short strings."""
+    parts = [toxicity._negation()]
+    for make in (toxicity._report, toxicity._target, toxicity._clause):
+        parts.append(make(sorted({o for row in parts[-1].arcs for o, _ in row.values()} | {"o"})))
+    for n in range(1, 6):
+        for clause in itertools.product("IWTUOPNRo" if n < 5 else "IWTOPNR", repeat=n):
+            line = [*clause, "."]
+            got = toxicity.MACHINE.run(line)
+            if n < 4:
+                want = line
+                for part in parts:
+                    want = part.run(want)
+                assert got == want
+            assert got[-1] == (slow_kind("".join(clause)) or "o"), clause
+            assert set(got[:-1]) <= {"o"}
+    for clause in itertools.product("INo", repeat=8):
+        assert toxicity.MACHINE.run([*clause, "."])[-1] == (slow_kind("".join(clause)) or "o"), clause
+    assert toxicity.match("IU.I.oTo.NoI.RI.I.TO") == Counter(targeted=1, plain=2, negated=1, reported=1, threat=1)
+
+
+def test_toxicity_sentences():
+    insults = {"=" + w + e: True for w in toxicity.INSULTS for e in toxicity.ENDINGS}
+    grammar = toxicity.Grammar(insults, {"plain": 3.0, "targeted": 3.5, "negated": 1.0, "reported": 0.5, "weak": 1.0, "threat": 3.5}, -2.5)
+    score = grammar.scorer()
+    for text in ("kill you", "hurt them", "I will destroy her", "I will kill you all", "ich werde dich töten", "idiot, you", "you losers"):
+        assert score(text) > 0.5, text
+    for text in ("", "The distance was more than we could travel.", "a moral and worthy path", "close the window", '"idiot", he said', "never hurt them", "you are not an idiot", "they kill time"):
+        assert score(text) < 0.5, text
+    assert score("idiot, you. you idiot") > score("idiot, you") == score("you idiot moron scum")  # clauses count, not words
 
 
 def test_toxicity(spark, docs, empty):
-    assert toxicity.match("oIo.") == Counter(plain=1) and toxicity.match("NI") == Counter(negated=1)
-    assert toxicity.match("UoI.I") == Counter(targeted=1, plain=1) and toxicity.match("RI") == Counter(reported=1) and toxicity.match("TU") == Counter()
     rng = random.Random(2)
-    rows = [(i, " ".join([*rng.choices(["house", "tree", "is", "by", "river"], k=20), *(["zorgling"] * 2 if i % 4 == 0 else [])]), int(i % 4 == 0)) for i in range(200)]
+    words = ["house", "tree", "is", "by", "river"]
+    own = ["zorgling", "zorglet", "zorglum", "zorglak"]
+    rows = [(i, " ".join([*rng.choices(words, k=20), *(rng.sample(own, 2) if i % 4 == 0 else [])]), int(i % 4 == 0)) for i in range(200)]
     frame = spark.createDataFrame(rows, "doc_id int, text string, toxic int")
-    grammar = toxicity.train(frame.select("doc_id", "text"), frame.where("doc_id < 150").select("doc_id", "toxic"))
+    labels = frame.where("doc_id < 150").select("doc_id", "toxic")
+    more = spark.createDataFrame([(None, 1), (3, None), (0, 0), (0, 1), (4, 0)], "doc_id int, toxic int")  # the higher of repeated labels counts
+    grammar = toxicity.train(frame.select("doc_id", "text"), labels.unionByName(more))
     told = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(frame, grammar).collect()}
     assert told == {i: y for i, _, y in rows}
+    assert "zorgl" in grammar.insults and not any(len(u) < 5 for u in grammar.insults if not u.startswith("="))
+    score = grammar.scorer()
+    assert score("a zorglish house") > 0.5 > score("The distance was more than we could travel.") and score("kill you") > 0.5
     blank = toxicity.train(empty, spark.createDataFrame([], "doc_id bigint, toxic int"))
     assert all(0 <= r["score"] <= 1 for r in toxicity.toxicity(docs, blank).collect()) and toxicity.toxicity(empty, blank).collect() == []
 
@@ -234,8 +289,8 @@ def test_pieces(spark, docs, empty):
         if at == len(c):
             yield 0.0
             return
-        for b, into in enumerate(model.edges(c)):
-            for a, s, _ in into:
+        for b in range(1, len(c) + 1):
+            for a, s, _ in model.edges(c, b):
                 if a == at:
                     yield from (s + x for x in paths(c, b))
 
@@ -253,6 +308,25 @@ def test_pieces(spark, docs, empty):
     assert pieces.encode_documents(empty).collect() == []
 
 
+def test_pieces_without_spaces():
+    """Long chunks: back-pointers keep memory in proportion, and the paths are those of the lattice."""
+    import tracemalloc
+
+    model = pieces.Pieces.load(pieces.default_model())
+    rng = random.Random(8)
+    for text in ("a" * 100_000, "".join(rng.choices("etaoinshrdlu", k=100_000))):
+        tracemalloc.start()
+        found = model.encode(text)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 120_000_000 and len(found) == 4
+        scores = [s for s, _ in found]
+        assert scores == sorted(scores, reverse=True) and len({ids for _, ids in found}) == 4
+        for score, raw in found:
+            ids = np.frombuffer(raw, "<u4").tolist()
+            assert model.decode(ids) == text and sum(model.scores[i] for i in ids) == pytest.approx(score)
+
+
 def test_line_dedup(spark, empty):
     pages = [(i, f"own {i}\nmenu \n\nown {i}" if i < 9 else f"own {i}", "h1" if i < 12 else None, "x") for i in range(14)] + [(20, None, "h1", "x")]
     df = spark.createDataFrame(pages, "doc_id int, text string, source string, line string")
