@@ -20,6 +20,7 @@ columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 
@@ -51,7 +52,9 @@ class WordTokenizer:
     The vocabulary drops white space and never merges across it, so a text's ids are
     those of its words one after another. Words are cut at ASCII white space; other
     white space is left to the tokenizer. Signs after a letter always begin a token of
-    their own, so those at a word's end are split off before it is remembered.
+    their own, so those at a word's end are split off before it is remembered. Special
+    tokens written out in a text become their ids, as the tokenizer does by default; a
+    word that holds one keeps its case, as they are told by exact letters.
     """
 
     def __init__(self, path: str) -> None:
@@ -59,7 +62,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
+        self.special = re.compile(b"|".join(map(re.escape, special))) if special else None
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         (self.mark,) = self._encode(_MARK.decode())
@@ -102,6 +106,13 @@ class WordTokenizer:
         known = self.known
         known.update((w, known[s] + known[w[len(s) :]]) for w, s in stems.items())
 
+    def words(self, text: str) -> list[bytes]:
+        """The words of a text, A-Z lower-cased but where a special token stands."""
+        low = text.encode().lower()
+        if self.special and self.special.search(low):
+            return [w if self.special.search(w.lower()) else w.lower() for w in text.encode().split()]
+        return low.split()
+
     def encode(self, split_texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as its words."""
         self._add(set().union(*split_texts))
@@ -133,7 +144,7 @@ def tokenise(docs: DataFrame, path: str | None = None, limit: int = MAX_TOKENS,
             coded = (
                 data + end
                 for at in range(0, batch.num_rows, _BATCH)
-                for data in tokenizer.encode([x.encode().lower().split() for x in texts(batch.column(1).slice(at, _BATCH))])
+                for data in tokenizer.encode([tokenizer.words(x) for x in texts(batch.column(1).slice(at, _BATCH))])
             )
             for k, data in enumerate(coded):
                 n = len(data) // 4
