@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ._common import slim
+from ._common import materialise, slim
 
 BUCKETS = 1 << 16
 ORDERS = 4
@@ -38,7 +38,12 @@ RIDGE = 1e-2
 UNDETERMINED = "und"
 _BATCH = 32
 _SPAN = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
+
+
+def _has_letter(text: str) -> bool:
+    """Whether any character is a letter (Unicode category L); number characters are none."""
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
 
 
 @cache
@@ -114,16 +119,16 @@ def fit(packed: list[bytes], langs: list[str]) -> Model | None:
 def train(labelled: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     """Fit on a bounded sample of (text, lang): for each language at most per_lang rows.
 
-    Languages are counted first, over the narrow column alone; a hash threshold then
-    thins each language to about twice what is needed, and a window takes the rest,
-    so no task holds more than that of one language. Only presence bits are collected.
+    Different texts of each language are counted first, by their hash alone; a hash
+    threshold then thins each language to about twice what is needed, and a window takes
+    the rest, so no task holds more than that of one language. Only presence bits are
+    collected, of every language there is.
     """
-    known = labelled.where("lang is not null and text is not null and text rlike '\\\\p{L}'")
-    shares = known.groupBy("lang").count().withColumn("share", F.least(F.lit(1.0), F.lit(2.0 * per_lang + 50) / F.col("count")))
-    shares = shares.orderBy(F.desc("count"), "lang").limit(512)  # a model has at most so many languages
-    ranked = known.join(F.broadcast(shares.select("lang", "share")), "lang").withColumn("order", F.xxhash64("text"))
-    ranked = ranked.where(F.pmod("order", F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    # a text that repeats very often counts once, so it cannot fill the sample
+    known = labelled.where("lang is not null and text is not null and text rlike '\\\\p{L}'").withColumn("order", F.xxhash64("text"))
+    # a text that repeats very often counts once, so it can neither shrink nor fill the sample
+    different = known.select("lang", "order").distinct().groupBy("lang").count()
+    shares = materialise(different.select("lang", F.least(F.lit(1.0), F.lit(2.0 * per_lang + 50) / F.col("count")).alias("share")), "lang-shares")
+    ranked = known.join(shares, "lang").where(F.pmod("order", F.lit(1 << 20)) < F.col("share") * (1 << 20))
     ranked = ranked.groupBy("lang", "order").agg(F.min("text").alias("text"))
     first = Window.partitionBy("lang").orderBy("order")
     chosen = ranked.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_lang)
@@ -150,7 +155,7 @@ def predict_udf(model: Model | None):
 
         for i, value in enumerate(text if model else ()):
             x = value.as_py()
-            if x and _LETTER.search(x):
+            if x and _has_letter(x):
                 mark(x, rows[len(wait)])
                 wait.append(i)
                 if len(wait) == _BATCH:
