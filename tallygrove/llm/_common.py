@@ -6,45 +6,52 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _fallback: str | None = None
+_places: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()  # frame of a table: its path
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of our own only where that is unset (tests, one machine)."""
+    """The folder named by spark.checkpoint.dir; one of our own only in local mode, where that is unset.
+
+    On a cluster an unset folder is an error: other machines could not read ours.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     global _fallback
     _fallback = _fallback or f"file://{tempfile.mkdtemp(prefix='tallygrove-')}"
     return _fallback
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFrame:
     """Write df to a table in the shared folder and read it again.
 
     This cuts the lineage in a place that survives lost executors. The table is
-    removed when the driver ends.
+    removed when the driver ends, or when another is made instead of it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallygrove/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _at_end(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
+    atexit.register(_remove, spark, path)
+    if instead_of is not None and instead_of in _places:
+        _remove(spark, _places[instead_of])
+    made = spark.read.schema(df.schema).parquet(path)
+    _places[made] = path
+    return made
 
-def _at_end(spark: SparkSession, path: str) -> None:
-    def remove() -> None:
-        with contextlib.suppress(Exception):  # the JVM may have ended before
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
-    atexit.register(remove)
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may have ended before
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def slim(df: DataFrame, **columns: str) -> DataFrame:
@@ -52,6 +59,14 @@ def slim(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{source}`").alias(name) for name, source in columns.items()))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def crc_mod(column: Column, modulus: int) -> Column:
     """crc32 of the value as text, modulo modulus; null stays null."""
     return F.crc32(column.cast("string").cast("binary")) % modulus

@@ -1,22 +1,27 @@
 """Line dedup by site-relative frequency, on DataFrame functions alone.
 
-Pages are grouped by host. A line (what stands between line feeds, trimmed of blanks at
-both ends) is boilerplate on a host if at least min_pages of its pages contain it and
-they are more than max_ratio of the host's pages. Such lines are dropped from the
-host's pages; all else, blank lines included, stays in place.
-
-Plan: each page gives its distinct lines once (as 64-bit hashes, compared within a host
-only; Spark finds distinct numbers by hashing, but distinct strings pair by pair), counted by host and
-line with partial sums before the shuffle; what exceeds the ratio is few by
-construction, at most (lines per page) / max_ratio for each host, and is kept as one
-array for each host. Pages meet that array in a broadcast join when the arrays' total
-is below broadcast_lines, and otherwise in a join that adaptive execution can split on
-a hot host; page texts are never exploded and put together again.
+Pages are grouped by host; pages of a host with equal texts count as one. A line (what
+stands between line feeds, trimmed of blanks at both ends) is boilerplate on a host if
+at least min_pages of its pages contain it and they are more than max_ratio of the
+host's pages. Such lines are dropped from the host's pages; all else, blank lines
+included, stays in place. A page copied often on its host is one page, so its own lines
+are not taken for boilerplate.
+
+Plan: lines are first counted by 64-bit hashes, each once a page (Spark finds distinct
+numbers by hashing, but distinct strings pair by pair), with partial aggregation before
+the shuffle. Hashes that exceed the ratio are few by construction, at most
+(lines per page) / max_ratio for each host; only their lines are counted again by
+text, so lines whose hashes clash are told apart. The lines found are kept as SLOTS short
+lists for each host, by the line's hash, so a look-up does not grow with the host's
+lists. Pages meet them in a broadcast join when their bytes are below broadcast_bytes,
+and otherwise in a join that adaptive execution can split on a hot host; page texts
+are never exploded and put together again.
 
 Defined results: null host counts as the empty host, null text as empty (and stays
-null in the output); repeated rows are pages of their own; an empty table gives an
-empty result; extra columns pass through drop_boilerplate unchanged, whatever their
-names but doc_id, text and host.
+null in the output); repeated rows are pages with equal texts; a ratio exactly at the
+bound is no boilerplate; an empty table gives an empty result; extra columns pass through
+drop_boilerplate unchanged, whatever their names, but that input columns named as in
+`report` give way to the counts. With report=None nothing is added.
 """
 
 from __future__ import annotations
@@ -24,11 +29,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise, slim
+from ._common import fresh, materialise, slim
+
+MAX_RATIO = 0.05
+MIN_PAGES = 5
+SLOTS = 64
+BROADCAST_BYTES = 16 << 20
 
-MAX_RATIO = 0.1
-MIN_PAGES = 3
-BROADCAST_LINES = 100_000
+
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
 def _key(line: Column) -> Column:
@@ -37,20 +47,28 @@ def _key(line: Column) -> Column:
     return F.when(line != "", F.xxhash64(line))
 
 
-def _lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
-
-
 def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, line key, pages) of the lines that exceed the ratio, from (host, text)."""
-    pages = pages.select(F.coalesce("host", F.lit("")).alias("host"), "text")
+    """(host, line, pages, host_pages) of the lines that exceed the ratio, from (host, text)."""
+    text = F.coalesce("text", F.lit(""))
+    same = ("h64", "h32")  # together they tell a host's pages apart
+    pages = pages.select(F.coalesce("host", F.lit("")).alias("host"), text.alias("text"), F.xxhash64(text).alias("h64"), F.hash(text).alias("h32"))
     # a table of its own: a join with an aggregate on the same key could not be split on a hot host
-    totals = materialise(pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")), "host-pages")
+    totals = pages.select("host", *same).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    totals = materialise(totals, "host-pages")
+
+    def over(lines: DataFrame, line: str) -> DataFrame:
+        counts = lines.distinct().groupBy("host", line).agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
+        return counts.join(totals, "host").where(F.col("pages") > max_ratio * F.col("host_pages"))
+
     keys = F.array_distinct(F.transform(_lines(F.col("text")), _key))
-    each = pages.select("host", F.explode(keys).alias("line")).where("line is not null")
-    counts = each.groupBy("host", "line").agg(F.count(F.lit(1)).alias("pages"))
-    over = counts.where(F.col("pages") >= min_pages).join(totals, "host").where(F.col("pages") > max_ratio * F.col("host_pages"))
-    return over.select("host", "line", "pages", "host_pages")
+    nominated = over(pages.select("host", F.explode(keys).alias("key"), *same).where("key is not null"), "key").select("host", "key")
+    nominated = materialise(nominated, "line-keys")
+    each = pages.select("host", F.explode(_lines(F.col("text"))).alias("line"), *same).withColumn("line", F.trim("line"))
+    return over(each.withColumn("key", _key(F.col("line"))).join(nominated, ["host", "key"]).select("host", "line", *same), "line")
+
+
+def _slot(line: Column) -> Column:
+    return F.pmod(F.xxhash64(line), F.lit(SLOTS)).cast("int")
 
 
 def drop_boilerplate(
@@ -59,18 +77,24 @@ def drop_boilerplate(
     text_col: str = "text",
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
-    broadcast_lines: int = BROADCAST_LINES,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    report: tuple[str, str] | None = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """docs with boilerplate lines cut from text_col, and the columns n_lines and n_dropped added."""
+    """docs with boilerplate lines cut from text_col, and the counts of lines and of dropped lines named by report."""
     found = materialise(boilerplate(slim(docs, host=host_col, text=text_col), max_ratio, min_pages), "boilerplate")
-    sets = found.groupBy(F.col("host").alias("__host")).agg(F.collect_list("line").alias("__drop"))
-    if found.count() <= broadcast_lines:
+    lists = found.groupBy("host").agg(F.collect_list("line").alias("all"))
+    slots = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda k: F.filter("all", lambda x: _slot(x) == k))
+    key, host_key, drop, kept = (fresh(docs, x) for x in ("key", "host_key", "drop", "kept"))
+    sets = lists.select(F.col("host").alias(host_key), slots.alias(drop))
+    size = found.agg(F.sum(F.octet_length("line") + F.octet_length("host") + 16)).first()[0] or 0
+    if size <= broadcast_bytes:
         sets = F.broadcast(sets)
     text = F.col(f"`{text_col}`")
-    host = F.coalesce(F.col(f"`{host_col}`"), F.lit(""))
-    met = docs.withColumn("__key", host).join(sets, F.col("__key") == F.col("__host"), "left")
-    cut = F.filter(_lines(text), lambda x: F.coalesce(~F.array_contains("__drop", _key(x)), F.lit(True)))
-    met = met.withColumn("__kept", F.when(F.col("__drop").isNull(), _lines(text)).otherwise(cut))
-    met = met.withColumn("n_lines", F.size(_lines(text)).cast("long")).withColumn("n_dropped", F.col("n_lines") - F.size("__kept"))
-    kept = F.when(text.isNotNull(), F.when(F.col("n_dropped") > 0, F.array_join("__kept", "\n")).otherwise(text))
-    return met.withColumn(text_col, kept).drop("__key", "__host", "__drop", "__kept")
+    met = docs.withColumn(key, F.coalesce(F.col(f"`{host_col}`"), F.lit(""))).join(sets, F.col(key) == F.col(host_key), "left")
+    stays = lambda x: ~F.array_contains(F.get(F.col(drop), _slot(F.trim(x))), F.trim(x))
+    met = met.withColumn(kept, F.when(F.col(drop).isNull(), _lines(text)).otherwise(F.filter(_lines(text), stays)))
+    n_lines, n_kept = F.size(_lines(text)).cast("long"), F.size(kept).cast("long")
+    cut = F.when(text.isNotNull(), F.when(n_lines > n_kept, F.array_join(kept, "\n")).otherwise(text))
+    made = {text_col: cut} | ({report[0]: n_lines, report[1]: n_lines - n_kept} if report else {})
+    columns = [made.pop(c).alias(c) if c in made else F.col(f"`{c}`") for c in docs.columns]
+    return met.select(*columns, *(c.alias(name) for name, c in made.items()))

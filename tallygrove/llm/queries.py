@@ -112,11 +112,11 @@ ORACLE_SQL: dict[str, str] = {
         FROM d JOIN g USING (text)
     """,
     "op8_line_dedup": f"""
-        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, text,
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS page,
                           string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-        e AS (SELECT r, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS k FROM d),
-        c AS (SELECT host, trim(line, ' ') AS line, count(DISTINCT r) AS pages FROM e WHERE trim(line, ' ') <> '' GROUP BY ALL),
-        t AS (SELECT host, count(*) AS total FROM d GROUP BY host),
+        e AS (SELECT r, host, page, unnest(lines) AS line, generate_subscripts(lines, 1) AS k FROM d),
+        c AS (SELECT host, trim(line, ' ') AS line, count(DISTINCT page) AS pages FROM e WHERE trim(line, ' ') <> '' GROUP BY ALL),
+        t AS (SELECT host, count(DISTINCT page) AS total FROM d GROUP BY host),
         b AS (SELECT host, line FROM c JOIN t USING (host) WHERE pages >= {MIN_PAGES} AND pages > {MAX_RATIO} * total),
         k AS (SELECT r, list(e.line ORDER BY k) AS kept FROM e LEFT JOIN b ON e.host = b.host AND trim(e.line, ' ') = b.line
               WHERE b.line IS NULL GROUP BY r)
