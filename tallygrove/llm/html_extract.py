@@ -4,19 +4,27 @@ A page is cut into a flat list of blocks at block-level tags. Each block is desc
 by its word count and link density, those of the block before and after it, whether it
 stands inside an article or main element (and whether the page has one), inside an
 element whose tag, role, class or id names boilerplate, and whether it is a heading. A
-decision tree over these, grown by Gini impurity on the small labelled table below,
-tells content from boilerplate; contents are joined in page order.
+decision tree over these, grown by Gini impurity, tells content from boilerplate;
+contents are joined in page order. The tree's first TEXT_LEVELS levels split on words and
+link densities of the block and its neighbours wherever that tells anything; the flags
+settle what those leave mixed.
+
+The labelled table is small and made by rule: SAMPLES pages are put together from
+fragments of known label (FRAGMENTS) in the order pages have them, cut into blocks as any page
+is, and each block gets its fragment's label.
 
 Defined results: null or empty html gives an empty text; unclosed tags are closed by
 their container, an unclosed comment or script runs to the end; repeated rows each get
-a row; extra columns are ignored.
+a row; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
+import random
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,32 +33,25 @@ from pyspark.sql.functions import arrow_udf
 from ._common import slim
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_article", "page_has_article", "boilerplate", "heading")
-# The labelled table: FEATURES in order, then 1 for content and 0 for boilerplate.
-LABELLED = [
-    (120, 0.0, 10, 0.0, 80, 0.0, 1, 1, 0, 0, 1), (3, 0.0, 120, 0.0, 60, 0.0, 1, 1, 0, 0, 1), (1, 0.0, 8, 0.0, 9, 0.0, 1, 1, 0, 0, 1),
-    (9, 0.0, 5, 1.0, 100, 0.0, 1, 1, 0, 1, 1), (40, 0.3, 60, 0.0, 50, 0.1, 1, 1, 0, 0, 1), (4, 1.0, 50, 0.0, 50, 0.0, 1, 1, 0, 0, 1),
-    (15, 0.5, 0, 0.0, 0, 0.0, 1, 1, 0, 0, 1), (70, 0.0, 3, 0.0, 12, 0.0, 1, 1, 0, 0, 1), (6, 0.2, 30, 0.1, 200, 0.0, 1, 1, 0, 0, 1),
-    (2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 1, 0, 0), (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 1, 0, 0), (30, 0.0, 2, 1.0, 9, 0.0, 0, 1, 1, 0, 0),
-    (12, 0.0, 90, 0.0, 0, 0.0, 0, 1, 1, 0, 0), (25, 0.1, 80, 0.0, 30, 0.0, 1, 1, 1, 0, 0), (60, 0.0, 70, 0.0, 40, 0.0, 1, 1, 1, 0, 0),
-    (5, 0.0, 100, 0.0, 20, 0.0, 1, 1, 1, 1, 0), (90, 0.0, 20, 0.0, 0, 0.0, 0, 1, 1, 0, 0), (3, 0.0, 1, 1.0, 40, 0.0, 0, 1, 1, 1, 0),
-    (8, 0.0, 3, 0.5, 60, 0.0, 0, 1, 0, 0, 0), (20, 0.0, 2, 1.0, 10, 0.0, 0, 1, 0, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 1, 0, 0, 0),
-    (45, 0.0, 5, 0.0, 2, 1.0, 0, 1, 0, 0, 0), (6, 0.0, 80, 0.0, 0, 0.0, 0, 1, 0, 1, 0), (10, 0.9, 100, 0.0, 8, 0.8, 0, 1, 0, 0, 0),
-    (100, 0.0, 60, 0.0, 70, 0.0, 0, 0, 0, 0, 1), (60, 0.05, 4, 0.0, 90, 0.0, 0, 0, 0, 0, 1), (35, 0.1, 2, 1.0, 50, 0.0, 0, 0, 0, 0, 1),
-    (8, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0, 1), (3, 0.0, 90, 0.0, 40, 0.0, 0, 0, 0, 0, 1), (7, 0.0, 2, 1.0, 80, 0.0, 0, 0, 0, 1, 1),
-    (22, 0.2, 40, 0.0, 3, 1.0, 0, 0, 0, 0, 1), (50, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (18, 0.0, 12, 0.0, 30, 0.0, 0, 0, 0, 0, 1),
-    (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0, 0), (12, 0.9, 3, 1.0, 4, 1.0, 0, 0, 0, 0, 0), (30, 0.8, 10, 0.9, 5, 1.0, 0, 0, 0, 0, 0),
-    (4, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0, 0), (3, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 0, 0), (5, 0.6, 80, 0.0, 3, 1.0, 0, 0, 0, 0, 0),
-    (40, 0.0, 30, 0.0, 30, 0.0, 0, 0, 1, 0, 0), (4, 0.0, 2, 0.0, 3, 0.0, 0, 0, 1, 0, 0), (1, 1.0, 60, 0.0, 1, 1.0, 0, 0, 0, 0, 0),
-    (80, 0.0, 80, 0.0, 80, 0.0, 0, 0, 1, 0, 0), (15, 0.0, 90, 0.0, 90, 0.0, 1, 1, 1, 0, 0), (90, 0.0, 90, 0.0, 90, 0.0, 0, 1, 1, 0, 0),
-    (1, 0.0, 60, 0.0, 90, 0.0, 0, 1, 1, 0, 0), (30, 0.0, 1, 0.0, 2, 0.0, 1, 1, 1, 0, 0), (2, 0.0, 30, 0.0, 60, 0.0, 0, 0, 1, 1, 0),
-    (30, 0.5, 30, 0.5, 70, 0.0, 0, 0, 1, 0, 0), (10, 0.0, 1, 1.0, 60, 0.0, 0, 0, 1, 0, 0), (60, 0.0, 1, 1.0, 1, 1.0, 0, 0, 1, 0, 0),
-    (90, 0.0, 90, 0.0, 2, 1.0, 1, 1, 0, 0, 1), (2, 0.0, 2, 0.0, 0, 0.0, 1, 1, 0, 0, 1), (9, 1.0, 9, 1.0, 9, 1.0, 1, 1, 0, 0, 1),
-    (1, 0.0, 0, 0.0, 1, 0.0, 1, 1, 0, 1, 1), (5, 0.0, 30, 0.0, 1, 1.0, 1, 1, 0, 0, 1), (20, 0.0, 20, 0.0, 0, 0.0, 1, 1, 0, 0, 1),
-    (90, 0.0, 90, 0.0, 90, 0.0, 0, 1, 0, 0, 0), (15, 0.0, 9, 0.0, 60, 0.0, 0, 1, 0, 1, 0), (30, 0.0, 0, 0.0, 90, 0.0, 0, 1, 0, 0, 0),
-    (14, 0.0, 14, 0.0, 14, 0.0, 0, 0, 0, 0, 1), (6, 0.0, 25, 0.0, 25, 0.0, 0, 0, 0, 1, 1), (9, 0.1, 35, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
-]
+TEXT = range(6)
+TEXT_LEVELS = 3
+DEPTH = 10
+LEAF = 4
+SAMPLES = 300
+# Fragments of sample pages. w is a run of 12 to 400 words, s one of 2 to 11, x one word.
+TOP = ["<header><h2>s</h2>s</header>", "<header>x</header>", "<nav><ul><li><a>x</a></li><li><a>x</a></li><li><a>s</a></li></ul></nav>", "<ul class=menu><li><a>x</a><li><a>x</a></ul>"]
+TOP += ["<div class=ad>s</div>", "<div class=banner>w</div>", "<div id=cookie-notice><p>w</p><button>x</button></div>", "<form>s<p>w</p></form>", "<div role=search>x</div>"]
+BOTTOM = ["<footer>s</footer>", "<footer><p>w</p><p>s</p></footer>", "<footer><a>x</a><a>s</a></footer>", "<aside><h3>s</h3><p>w</p><p>x</p></aside>", "<div class=related><a>s</a><br><a>s</a></div>"]
+BOTTOM += ["<section id=comments><h3>s</h3><p>w</p><p>x</p><p>w</p><p>s</p></section>", "<div class=newsletter><p>w</p></div>", "<div class=sidebar><p>w</p><p>w</p></div>", "<div class=share><a>x</a></div>"]
+BOTTOM += ["<footer>s <a>s</a> w</footer>", "<footer>w<br>s <a>s</a></footer>", "<div class=comments><p>w <a>s</a> s</p><p><a>s</a></p><p>s <a>x</a></p><p><a>x</a></p></div>", "<aside><p>w <a>s</a></p><p><a>s</a> s</p></aside>"]
+MAIN = ["<h2>s</h2>", "<h3>x</h3>", "<p>w</p>", "<p>w</p>", "<p>s</p>", "<p>x</p>", "<p>w <a>s</a> s</p>", "<ul><li>s</li><li>w</li></ul>", "<blockquote>w</blockquote>"]
+IN_ARTICLE = ["<p><a>s</a></p>", "<p><a>x</a><br><a>x</a></p>", "<p>w<br>s</p>"]
+#: Outside articles and named by nothing: only words and links tell.
+LOOSE = ["<ul><li><a>x</a><li><a>s</a><li><a>x</a></ul>", "<div><a>s</a> <a>s</a></div>", "<div><a>x</a></div>"]
+#: Beside an article and named by nothing.
+BESIDE = ["<div>s</div>", "<p>w</p>", "<h2>s</h2>", "<div><a>s</a></div>", "<p>x</p>"]
 # Names of elements and of their classes, ids and roles.
-_RAW = "script|style|title|template|textarea|select|iframe|svg|canvas|audio|video"
+_RAW = "script|style|title|template|textarea|select"
 _BLOCK = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -153,27 +154,74 @@ def describe(found: list) -> list[list[float]]:
     return out
 
 
-def grow(rows: list[tuple], depth: int = 6):
-    """A decision tree by Gini impurity: (feature, threshold, tree up to it, tree above it), or the label."""
-    ones = sum(r[-1] for r in rows)
-    if depth == 0 or ones in (0, len(rows)):
-        return int(2 * ones >= len(rows))
+def labelled(samples: int = SAMPLES, seed: int = 1) -> list[tuple]:
+    """The labelled table: FEATURES in order, then 1 for content and 0 for boilerplate."""
+    rng = random.Random(seed)
+    out: list[tuple] = []
+
+    def fill(fragment: str, label: int) -> str:
+        """Runs of words for w, s and x; each word is its fragment's label, so each block shows its own."""
+        spans = {"w": (12, 400), "s": (2, 11), "x": (1, 1)}
+        size = lambda least, most: round(least * (most / least) ** rng.random())
+        word = lambda m: " ".join([str(label)] * size(*spans[m[0]]))
+        return re.sub(r"(?<![\w</=-])[wsx](?![\w=>-])|(?<=>)[wsx](?=<)", word, fragment)
+
+    def some(fragments, most: int, label: int) -> str:
+        return "".join(fill(x, label) for x in rng.sample(fragments, rng.randint(0, min(most, len(fragments)))))
+
+    for k in range(samples):
+        article = k % 3 > 0
+        top, bottom = (() if rng.random() < 0.35 else x for x in (TOP, BOTTOM))  # many pages have nothing before or after
+        inside = "".join(fill(x, 1) for x in rng.choices(MAIN + IN_ARTICLE * article, k=rng.choice((1, 1, 3, 5, 9))))
+        inside = (fill("<h1>s</h1>", 1) if rng.random() < 0.6 else "") + inside
+        if article:
+            tag = "main" if k % 7 == 0 else "article"
+            inside = (some(TOP[2:], 2, 0) if k % 4 == 1 else "") + inside + (some(BOTTOM, 3, 0) if k % 2 == 0 else "")
+            body = some(BESIDE if top else (), 1, 0) + f"<{tag}>{inside}</{tag}>" + some(BESIDE if bottom else (), 2, 0)
+        else:
+            body = some(LOOSE if top else (), 1, 0) + f"<div>{inside}</div>" + some(LOOSE if bottom else (), 2, 0)
+        found = blocks(some(top, 4, 0) + body + some(bottom, 4, 0))
+        out += [(*row, int(b[0][0])) for b, row in zip(found, describe(found))]
+    return out
+
+
+def grow(rows: list[tuple], depth: int = DEPTH, features=None):
+    """A decision tree by Gini impurity: (feature, threshold, tree up to it, tree above it), or the label.
+
+    In its first TEXT_LEVELS levels a tree over all features looks at TEXT alone where that helps.
+    """
+    table = np.array(rows, float)
+    return _grow(table[:, :-1], table[:, -1], depth, features)
 
-    def impurity(part) -> float:
-        p = sum(r[-1] for r in part) / len(part)
-        return len(part) * p * (1 - p)
 
+def _best(x: np.ndarray, y: np.ndarray, features) -> tuple[float, int, float] | None:
+    """(impurity left, feature, threshold) of the best split into parts of LEAF rows, if it lowers impurity by a hundredth."""
+    n, ones = len(y), y.sum()
+    now = ones * (1 - ones / n)
     best = None
-    # flags first: of equal splits, the structural one is preferred
-    for f in sorted(range(len(FEATURES)), key=lambda f: f < 6):
-        values = sorted({r[f] for r in rows})
-        for a, b in zip(values, values[1:]):
-            low, high = [r for r in rows if r[f] <= (a + b) / 2], [r for r in rows if r[f] > (a + b) / 2]
-            if (cost := impurity(low) + impurity(high)) < (best[0] - 1e-9 if best else impurity(rows) - 1e-9):
-                best = cost, f, (a + b) / 2, low, high
+    for f in features:
+        order = np.argsort(x[:, f], kind="stable")
+        v, c = x[order, f], np.cumsum(y[order])[:-1]
+        k = np.arange(1, n)
+        may = (v[1:] > v[:-1]) & (k >= LEAF) & (n - k >= LEAF)
+        cost = np.where(may, c * (1 - c / k) + (ones - c) * (1 - (ones - c) / (n - k)), np.inf)
+        at = int(cost.argmin()) if n > 1 else 0
+        if n > 1 and cost[at] < (best[0] if best else 0.99 * now) - 1e-9:
+            best = float(cost[at]), f, float((v[at] + v[at + 1]) / 2)
+    return best
+
+
+def _grow(x: np.ndarray, y: np.ndarray, depth: int, features):
+    most = int(2 * y.sum() >= len(y))
+    if depth == 0 or y.min() == y.max():
+        return most
+    everything = range(len(FEATURES)) if features is None else features
+    best = _best(x, y, TEXT) if features is None and depth > DEPTH - TEXT_LEVELS else None
+    best = best or _best(x, y, everything)
     if not best:
-        return int(2 * ones >= len(rows))
-    return best[1], best[2], grow(best[3], depth - 1), grow(best[4], depth - 1)
+        return most
+    low = x[:, best[1]] <= best[2]
+    return best[1], best[2], _grow(x[low], y[low], depth - 1, features), _grow(x[~low], y[~low], depth - 1, features)
 
 
 def decide(tree, row) -> int:
@@ -189,7 +237,7 @@ def main_text(page: str, tree) -> str:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of each row."""
-    tree = grow(LABELLED)
+    tree = grow(labelled())
 
     @arrow_udf("string")
     def text(page: pa.Array) -> pa.Array:
