@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import slim
+from ._common import materialise, slim
 
 MOST_LABELLED = 20_000
 LEAST_WORDS = 50
@@ -39,7 +39,7 @@ _SPACE = "[\\x20\\x09-\\x0D]+"
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, as a table in the shared folder."""
     rows = slim(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
     words = F.filter(F.split("text", _SPACE), lambda w: w != "")
     lines = F.filter(F.split("text", "\n"), lambda x: F.regexp_replace(x, _SPACE, "") != "")
@@ -71,9 +71,8 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumn("places", places).drop("order")
     added = F.transform("places", lambda p, i: F.when(i == 0, 3).otherwise(F.least(F.lit(3), p - F.get("places", i - 1))))
     repeated = F.coalesce(F.aggregate(added, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long")
-    # not deterministic to the optimizer: else a filter on it is pushed below, and its arrays are made anew for each element
-    repeated = F.when(F.monotonically_increasing_id() >= 0, repeated)
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"))
+    # a table of numbers: a filter on them pushed into the arrays would make these anew for each element
+    return materialise(rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words")), "statistics")
 
 
 def features(stats: DataFrame) -> DataFrame:
@@ -162,13 +161,17 @@ def learn(rows: list[dict]) -> list[Rule]:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> list[dict]:
-    """FEATURES and bad of at most `most` labelled documents, those with the least hash of their id."""
+    """FEATURES and bad of at most `most` labelled documents, those with the least hash of their id.
+
+    Of rows that repeat a doc_id, one counts: that of the least features.
+    """
     known = slim(labels, doc_id="doc_id", quality="quality").where("doc_id is not null and quality is not null")
     known = known.groupBy("doc_id").agg((F.min("quality") == 0).alias("bad"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     stats = features(statistics(slim(docs, doc_id="doc_id", text="text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")))
     stats = stats.where("n_words >= %d and 100 * n_repeat_words <= 50 * n_words" % LEAST_WORDS)
-    got = stats.join(F.broadcast(known), "doc_id").select("doc_id", "bad", *(f"f_{f}" for f in FEATURES)).limit(4 * most).collect()
+    told = stats.join(F.broadcast(known), "doc_id").groupBy("doc_id", "bad").agg(F.min(F.struct(*(f"f_{f}" for f in FEATURES))).alias("f"))
+    got = told.select("doc_id", "bad", "f.*").collect()  # at most `most` rows
     return [{"bad": r["bad"], **{f: r[f"f_{f}"] for f in FEATURES}} for r in sorted(got, key=lambda r: r["doc_id"])]
 
 
