@@ -24,14 +24,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """From edges (u, v) of bigint, u <> v: (node, root) for each node but the roots, root its component's least node.
 
-    Each round is a table in the shared folder; rounds grow with the logarithm of the
+    Each round is a table in the shared folder, removed once the next one stands; rounds grow with the logarithm of the
     longest path. A node with many edges meets one row in each join, so adaptive
     execution can split it. Only two sums leave the executors.
     """
     now = materialise(edges.select("u", "v").where("u <> v").distinct(), "edges")
     seen = None
     while True:
-        now = materialise(_small_star(_large_star(now)), "edges")
+        now = materialise(_small_star(_large_star(now)), "edges", instead_of=now)
         sums = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(sums) == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -17,7 +17,7 @@ threshold on the count that a histogram of counts gives. All other words of each
 document meet the whole table of counts in a join, so every token has its count.
 
 Defined results: null text is empty and has one token, the end; without training
-documents all counts are zero and the model is uniform; repeated rows each get a row;
+documents all counts are zero and the model is uniform over the shared symbols and the end; repeated rows each get a row;
 null doc_id counts as training; extra columns are ignored.
 """
 
@@ -111,12 +111,18 @@ class Model:
 
     @classmethod
     def first(cls, share: np.ndarray, seed: int = 7) -> Model:
+        """A random start of Baum-Welch, from a fixed seed."""
         rng = np.random.default_rng(seed)
         emit = (share[:, None] + 1e-6) * rng.gamma(2.0, size=(len(share), STATES))
         move = rng.dirichlet(np.full(STATES, 2.0), STATES) * 0.3 + 0.7 * np.eye(STATES)
         return cls(np.full(STATES, 1 / STATES), move, np.vstack([emit / emit.sum(axis=0), np.ones(STATES)]))
 
 
+    @classmethod
+    def uniform(cls, symbols: int) -> Model:
+        return cls(np.full(STATES, 1 / STATES), np.full((STATES, STATES), 1 / STATES), np.vstack([np.full((symbols, STATES), 1 / symbols), np.ones(STATES)]))
+
+
 def batches_of(sequences: list[np.ndarray], pad: int):
     """Sequences of about one length together: their places, and their symbols as (length, number)."""
     order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
@@ -269,7 +275,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     encoded = docs.select("doc_id", "held_out", "text").mapInArrow(encode, schema).withColumn("rid", F.monotonically_increasing_id())
     encoded = materialise(encoded, "encoded")
 
-    model = Model.first(share)
+    model = Model.first(share) if n_docs else Model.uniform(len(share))
     learn = encoded.where("not held_out")
     for _ in range(rounds if n_docs else 0):
         model = Model.of_counts(*baum_welch(learn, model), share)

@@ -165,12 +165,12 @@ def block_pairs(nodes: DataFrame, least_block: int = 1 << 14, most_block: int =
     return out.select(pair.alias("pair"), F.col("x.side").cast("int").alias("side"), "fp")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id."""
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_block: int = 1 << 14, most_block: int = 1 << 20) -> DataFrame:
+    """One row per input row: doc_id, fingerprint (16 hex digits), component_id. The block sizes change the plan, not the result."""
     rows = slim(docs, doc_id=id_col, text=text_col)
     marked = materialise(rows.select("doc_id", fingerprint_udf()("text").alias("fp")), "simhash")
     nodes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
-    pairs = block_pairs(nodes.select("fp", F.bit_count("fp").alias("pc")))
+    pairs = block_pairs(nodes.select("fp", F.bit_count("fp").alias("pc")), least_block, most_block)
     forest = pairs.groupBy("pair").applyInArrow(_pair_group, "u bigint, v bigint")
     linked = components(forest)
     rooted = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))

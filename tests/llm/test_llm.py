@@ -124,6 +124,40 @@ def test_simhash(spark, docs, empty):
     assert simhash.near_dedup(empty).collect() == []
 
 
+def test_simhash_split_blocks(spark):
+    """Blocks forced down to a few nodes, so that one population count has several: the same components as brute force."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(60)]
+    rows, texts = [], []
+    for i in range(400):
+        base = rng.choice(texts).split() if texts and rng.random() < 0.5 else rng.choices(words, k=rng.randint(1, 120))
+        if rng.random() < 0.7 and len(base) > 3:
+            base[rng.randrange(len(base))] = rng.choice(words)
+        texts.append(" ".join(base))
+        rows.append((i, texts[-1]))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    fps = {i: slow_simhash(t) for i, t in rows}
+    parent = dict.fromkeys(fps)
+
+    def find(x):
+        while parent[x] is not None:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(fps, 2):
+        if (fps[a] ^ fps[b]).bit_count() <= 3 and find(a) != find(b):
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    want = {i: find(i) for i in fps}
+    assert len(set(want.values())) < 390
+    for least, most in ((1 << 14, 1 << 20), (4, 4)):
+        got = {r["doc_id"]: r["component_id"] for r in simhash.near_dedup(frame, least_block=least, most_block=most).collect()}
+        assert got == want
+    counts = Counter(v.bit_count() for v in fps.values())
+    nodes = frame.select(simhash.fingerprint_udf()("text").alias("fp")).distinct().select("fp", F.bit_count("fp").alias("pc"))
+    assert max(counts.values()) > 8 and simhash.block_pairs(nodes, 4, 4).select("pair").distinct().count() > simhash.block_pairs(nodes).select("pair").distinct().count()
+
+
 def test_langid(spark, docs, empty):
     rng = random.Random(5)
     words = {"en": ["the", "and", "house", "thing", "with"], "de": ["der", "und", "schön", "ich", "straße"]}
@@ -135,11 +169,48 @@ def test_langid(spark, docs, empty):
     und = {r["doc_id"] for r in langid.identify(docs, model).collect() if r["lang_pred"] == "und"}
     assert und == {1, 2, 7}
     assert langid.train(empty) is None and langid.identify(empty, None).collect() == []
+    signs = spark.createDataFrame([(1, "½ ²"), (2, "12 ½ a")], "doc_id int, text string")
+    assert {r["doc_id"]: r["lang_pred"] == "und" for r in langid.identify(signs, model).collect()} == {1: True, 2: False}
     row = np.zeros(langid.BUCKETS)
     langid.mark("Ab", row)
     assert row.sum() == 3  # a, b, ab
 
 
+def test_langid_kernel():
+    """The batched product against the kernel with landmarks, written out with sets of n-grams."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abc de", k=rng.randint(5, 30))) for _ in range(40)]
+    langs = ["x" if t.count("a") > t.count("b") else "y" for t in texts]
+
+    def grams(t):
+        row = np.zeros(langid.BUCKETS, np.uint8)
+        langid.mark(t, row)
+        return row
+
+    def kernel(a, b):
+        x, y = set(np.flatnonzero(grams(a)).tolist()), set(np.flatnonzero(grams(b)).tolist())
+        return len(x & y) / math.sqrt(len(x) * len(y))
+
+    model = langid.fit([np.packbits(grams(t)).tobytes() for t in texts], langs)
+    marks = [t for k, t in enumerate(texts) if langs[:k].count(langs[k]) < langid.LANDMARKS // 2]
+    k_nm = np.array([[kernel(t, m) for m in marks] for t in texts])
+    k_mm = np.array([[kernel(t, m) for m in marks] for t in marks])
+    y = np.array([[1.0 if lang == n else -1.0 for n in "xy"] for lang in langs])
+    alpha = np.linalg.solve(k_nm.T @ k_nm + langid.RIDGE * len(texts) * k_mm + 1e-8 * len(texts) * np.eye(len(marks)), k_nm.T @ y)
+    new = ["cab dab", "bbbb e", "acdc"]
+    want = np.array([[kernel(t, m) for m in marks] for t in new]) @ alpha
+    got = model.scores(np.stack([grams(t) for t in new]).astype(np.float32))
+    assert model.langs == ["x", "y"] and np.allclose(got, want, atol=2e-3)
+
+
+def test_langid_sample(spark):
+    """Copies neither shrink nor fill the sample; a language of few texts is learned, and so is the 600th."""
+    rows = [("the same text again", "en")] * 3000 + [(f"house and thing {i}", "en") for i in range(40)] + [(f"haus und ding {i}", "de") for i in range(3)]
+    rows += [(f"wort{i} " * 4, f"l{i:03}") for i in range(600)]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), per_lang=20)
+    assert len(model.langs) == 602
+
+
 def slow_stats(text):
     words = [w.decode() for w in (text or "").encode().split()]
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
@@ -181,6 +252,16 @@ def slow_kind(clause):
     return "weak" if insults else "negated" if softened else None
 
 
+def test_quality_labels(spark):
+    """Null labels are left out, the lower of repeated ones counts, a repeated document counts once, the bound holds."""
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    docs = spark.createDataFrame([(i, text(i)) for i in range(10)] + [(3, text(3) + " more"), (None, text(99))], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, None), (3, 1), (4, 1), (4, 0), (None, 0), (77, 0)], "doc_id bigint, quality int")
+    assert [(r["bad"], r["n_words"]) for r in quality.labelled_rows(docs, labels)] == [(False, 60), (True, 60), (False, 60), (True, 60)]
+    assert len(quality.labelled_rows(docs, labels, most=2)) <= 2
+    assert quality.labelled_rows(docs, labels.limit(0)) == []
+
+
 def test_toxicity_machine():
     """The composed machine against the rules in words and against its parts one after another, over all short strings."""
     parts = [toxicity._negation()]
@@ -262,7 +343,9 @@ def test_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(packing.default_tokenizer())
-    t.encode_special_tokens = True
+    more = [(50, "x <|startoftext|> y", "en", "s", 1, "", ""), (51, "A<|endoftext|>B. <|ENDOFTEXT|> C<|endoftext|>.", "en", "s", 1, "", "")]
+    docs = docs.unionByName(spark.createDataFrame(more, SCHEMA))
+    assert len(t.encode("x <|startoftext|> y", add_special_tokens=False).ids) == 3
     got = packing.pack_documents(docs, limit=64).collect()
     by_doc = {}
     for r in got:
@@ -328,17 +411,43 @@ def test_pieces_without_spaces():
 
 
 def test_line_dedup(spark, empty):
-    pages = [(i, f"own {i}\nmenu \n\nown {i}" if i < 9 else f"own {i}", "h1" if i < 12 else None, "x") for i in range(14)] + [(20, None, "h1", "x")]
-    df = spark.createDataFrame(pages, "doc_id int, text string, source string, line string")
-    for limit in (0, 100):
-        got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in line_dedup.drop_boilerplate(df, broadcast_lines=limit).collect()}
-        assert got[0] == ("own 0\n\nown 0", 1) and got[13] == ("own 13", 0) and got[20] == (None, 0)
+    pages = [(i, f"own {i}\nmenu \n\nown {i}" if i < 9 else f"own {i}", "h1" if i < 12 else None, 7, "x") for i in range(14)] + [(20, None, "h1", 7, "x")]
+    df = spark.createDataFrame(pages, "doc_id int, text string, source string, n_lines int, key string")
+    for limit in (0, 1 << 20):
+        got = {r["doc_id"]: r for r in line_dedup.drop_boilerplate(df, broadcast_bytes=limit).collect()}
+        assert {i: (r["text"], r["n_dropped"], r["n_lines"], r["key"]) for i, r in got.items() if i in (0, 13, 20)} == {
+            0: ("own 0\n\nown 0", 1, 4, "x"), 13: ("own 13", 0, 1, "x"), 20: (None, 0, 1, "x")
+        }
+    kept = line_dedup.drop_boilerplate(df, report=None)
+    assert kept.columns == df.columns and {r["n_lines"] for r in kept.collect()} == {7}
     assert line_dedup.drop_boilerplate(empty).collect() == []
 
 
+def test_line_dedup_bounds(spark):
+    """A ratio at the bound keeps the line; copies of a page are one page; a page's repeated line counts once."""
+    at = [(i, "line\nline" if i < 6 else f"p{i}", "a") for i in range(60)]
+    at = [(i, t + f"\nq{i}" if i < 6 else t, s) for i, t, s in at]
+    over = [(100 + i, f"line\nq{i}" if i < 7 else f"p{i}", "b") for i in range(60)]
+    copies = [(200 + i, "same page\nwhole" if i < 40 else f"p{i}", "c") for i in range(60)]
+    df = spark.createDataFrame(at + over + copies, "doc_id int, text string, source string")
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.drop_boilerplate(df, max_ratio=0.1, min_pages=5).collect()}
+    assert {i for i, n in got.items() if n} == {100 + i for i in range(7)} and len(got) == 180
+
+
 def test_html():
-    tree = html_extract.grow(html_extract.LABELLED)
-    assert all(html_extract.decide(tree, r[:-1]) == r[-1] for r in html_extract.LABELLED)
+    tree = html_extract.grow(html_extract.labelled())
+    unseen = html_extract.labelled(200, seed=99)
+    assert sum(html_extract.decide(tree, r[:-1]) == r[-1] for r in unseen) > 0.99 * len(unseen)
+    used = set()
+
+    def walk(t):
+        if not isinstance(t, int):
+            used.add(html_extract.FEATURES[t[0]])
+            walk(t[2])
+            walk(t[3])
+
+    walk(tree)
+    assert {"words", "links", "words_after", "links_before"} <= used and tree[0] < 6
     page = (
         '<html><head><title>T</title><script>var a="</p>";</script></head><body><header>Site</header><nav><a href=x>Home</a></nav><div class="cookie-notice">We use</div>'
         '<article><h1>A &amp; B</h1><p>one  two<br>three<p>four</p><section id=comments><p>nice</p></section></article><aside>more</aside><form>q</form><!-- x'
@@ -351,19 +460,25 @@ def test_html():
 
 def test_html_hidden():
     """Only what is really hidden goes: a value with the word in it hides nothing."""
-    tree = html_extract.grow(html_extract.LABELLED)
+    tree = html_extract.grow(html_extract.labelled())
     text = lambda attributes: html_extract.main_text(f"<article><div {attributes}><p>one two three</p></div></article>", tree)
     for shown in ('style="overflow:hidden"', 'title="The hidden valley"', 'data-x="hidden"', "data-x=hidden", 'aria-hidden="false"', 'style="x-display:none"', 'title="display:none"', "data-class=nav"):
         assert text(shown) == "one two three", shown
     for gone in ("hidden", 'hidden=""', "HIDDEN", 'aria-hidden="true"', "style='color:red; display : none'", 'style="visibility:hidden !important;"', 'class="nav"'):
         assert text(gone) == "", gone
+    long = "<article><p>" + "word " * 100_000 + "</p><p>x</p></article><footer>" + "end " * 500 + "</footer>"
+    assert html_extract.main_text(long, tree) == " ".join(["word"] * 100_000) + " x"
+    drawn = "<article><p>a <svg><text>b</text></svg> <canvas>c</canvas><audio>d</audio> <video>e</video></p></article>"
+    assert html_extract.main_text(drawn, tree) == "a b cd e"
     kept = "<article><p>let <math><mi>x</mi></math> be</p><noscript><p>no script</p></noscript><object><p>instead</p></object></article>"
     assert html_extract.main_text(kept, tree) == "let x be no script instead"
 
 
 def test_html_rows(spark):
-    df = spark.createDataFrame([(1, "u", None), (1, "u", "<article><p>é</p></article>")], "page_id int, url string, html string")
-    assert sorted((r["text"], r["n_chars"]) for r in html_extract.extract(df).collect()) == [("", 0), ("é", 1)]
+    rows = [(1, "u", None, "x", 5)] + [(1, "u", "<article><p>é</p></article>", "x", 5)] * 2 + [(None, None, "", None, None)]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string, text string, n_chars int")
+    assert sorted((r["text"], r["n_chars"]) for r in html_extract.extract(df).collect()) == [("", 0), ("", 0), ("é", 1), ("é", 1)]
+    assert html_extract.extract(df.limit(0)).collect() == []
 
 
 def test_hmm_forward_is_exact():
@@ -402,6 +517,14 @@ def test_hmm_scores(spark, docs, empty, monkeypatch):
     assert hmm_lm.score_documents(empty, held).collect() == []
 
 
+def test_hmm_without_training(spark, docs):
+    """All rows held out: no counts, and a model that is uniform over the shared symbols and the end."""
+    told = hmm_lm.score_documents(docs, F.lit(True)).collect()
+    assert {(r["n_known"], r["train_tokens"], r["held_out"]) for r in told} == {(0, 0, True)}
+    each = math.log10(hmm_lm.SUFFIXES + 1)
+    assert all(r["score"] == pytest.approx(-each * r["n_tokens"]) and r["base_score"] == 0 for r in told)
+
+
 def test_hmm_rounds_see_every_document(spark, monkeypatch):
     """No round on a sample of the driver's; long documents and rare ones beside copies count in each."""
     rows = [(i, "same text here") for i in range(30)] + [(i, f"w{i} " * 3100) for i in range(30, 33)]
@@ -442,4 +565,14 @@ def test_pipeline(spark, tmp_path):
     rows += [(100, rows[0][1], "de", "s", 1), (101, "12 34 !!", "en", "s", 1), (102, None, None, None, None), (103, "you are an idiot idiot moron", "en", "s", 1)]
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    named = ["__row", "__lang", "__score", "__key", "n_lines", "n_dropped", "host_pages", "line", "fp", "row_told", "KEY"]
+    more = spark.read.parquet(f"{tmp_path}/documents.parquet").selectExpr("*", *(f"7 AS `{c}`" for c in named))
+    stages = corpus_pipeline.STAGES
+    for _, stage in stages[:-1]:
+        out = stage(spark, more, str(tmp_path))
+        assert out.columns == more.columns and {r["n_lines"] + r["row_told"] for r in out.collect()} <= {14} and out.count() > 30
+        assert stage(spark, more.limit(0), str(tmp_path)).collect() == []
+    assert stages[-1][1](spark, more.limit(0), str(tmp_path)).collect() == []
+    unlabelled = more.withColumn("lang", F.lit(None).cast("string"))  # nothing to learn a language from: what has a letter stays
+    assert corpus_pipeline.stage_langid(spark, unlabelled, str(tmp_path)).count() == 42
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(range(40))
