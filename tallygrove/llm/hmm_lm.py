@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ SUFFIXES = 256
 WORDS = 4096
 DICTIONARY = 200_000
 ROUNDS = 14
-_CELLS = 1 << 18
+_CELLS = 1 << 20
 _FLUSH = 250_000
 
 
@@ -92,14 +93,14 @@ def _thresholds(counts: DataFrame, sizes: tuple[int, ...]) -> list[int]:
 
 
 class Model:
-    """start (K), move (K x K), emit (S + 1 x K): the last row, of ones, stands for padding."""
+    """start (K), move (K x K: from, to), emit (symbols x K)."""
 
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
         self.start, self.move, self.emit = start, move, emit
 
     @property
     def symbols(self) -> int:
-        return len(self.emit) - 1
+        return len(self.emit)
 
     @classmethod
     def of_counts(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray, share: np.ndarray) -> Model:
@@ -107,7 +108,7 @@ class Model:
         start = (start + 0.1) / (start + 0.1).sum()
         move = (move + 0.1) / (move + 0.1).sum(axis=1, keepdims=True)
         emit = emit + 0.5 * share[:, None] * len(share) ** 0.5 + 1e-4
-        return cls(start, move, np.vstack([emit / emit.sum(axis=0), np.ones(len(start))]))
+        return cls(start, move, emit / emit.sum(axis=0))
 
     @classmethod
     def first(cls, share: np.ndarray, seed: int = 7) -> Model:
@@ -115,73 +116,102 @@ class Model:
         rng = np.random.default_rng(seed)
         emit = (share[:, None] + 1e-6) * rng.gamma(2.0, size=(len(share), STATES))
         move = rng.dirichlet(np.full(STATES, 2.0), STATES) * 0.3 + 0.7 * np.eye(STATES)
-        return cls(np.full(STATES, 1 / STATES), move, np.vstack([emit / emit.sum(axis=0), np.ones(STATES)]))
-
+        return cls(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
 
     @classmethod
     def uniform(cls, symbols: int) -> Model:
-        return cls(np.full(STATES, 1 / STATES), np.full((STATES, STATES), 1 / STATES), np.vstack([np.full((symbols, STATES), 1 / symbols), np.ones(STATES)]))
-
-
-def batches_of(sequences: list[np.ndarray], pad: int):
-    """Sequences of about one length together: their places, and their symbols as (length, number)."""
-    order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
-    at = 0
-    while at < len(order):
-        end = at + 1
-        while end < len(order) and (end + 1 - at) * len(sequences[order[end]]) <= _CELLS:
-            end += 1
-        own = order[at:end]
-        grid = np.full((len(sequences[own[-1]]), len(own)), pad, np.int64)
-        for k, i in enumerate(own):
-            grid[: len(sequences[i]), k] = sequences[i]
-        yield own, grid
-        at = end
-
-
-def forward(model: Model, grid: np.ndarray, keep: bool = False):
-    """Scaled forward recursion: log10 likelihood of each column, and if kept the states' shares and scales."""
-    n, size = grid.shape
-    shares = np.empty((n, size, STATES)) if keep else None
-    scales = np.empty((n, size))
-    now = np.broadcast_to(model.start, (size, STATES))
-    for t in range(n):
-        now = (now if t == 0 else now @ model.move) * model.emit[grid[t]]
-        s = now.sum(axis=1)
-        now = now / s[:, None]
-        scales[t] = s
+        return cls(np.full(STATES, 1 / STATES), np.full((STATES, STATES), 1 / STATES), np.full((symbols, STATES), 1 / symbols))
+
+
+class Batch:
+    """Sequences side by side in time: place by place, each place's symbols next to each other, the longest sequence first.
+
+    At place t the sequences longer than t have a symbol each, at flat[at[t] : at[t + 1]],
+    and column tells whose; so nothing is padded, and a step works on a slice.
+    """
+
+    def __init__(self, own: list[int], sequences: list[np.ndarray]) -> None:
+        self.own = own  # the sequences' numbers, longest first
+        lengths = np.array([len(sequences[i]) for i in own])
+        self.length = int(lengths[0])
+        live = np.searchsorted(-lengths, -np.arange(self.length), side="left")  # how many are longer than t
+        self.at = np.concatenate([[0], np.cumsum(live)])
+        column = np.repeat(np.arange(len(own)), lengths)
+        place = np.arange(len(column)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        where = self.at[place]
+        where += column
+        self.flat = np.empty(len(where), np.intp)
+        self.flat[where] = np.concatenate([sequences[i] for i in own])
+        self.column = np.arange(len(where)) - np.repeat(self.at[:-1], live)
+
+    def __len__(self) -> int:
+        return len(self.flat)
+
+
+def batches_of(sequences: list[np.ndarray], most: int = _CELLS):
+    """Batches of at most `most` symbols (or one sequence), the long ones together."""
+    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
+    own: list[int] = []
+    total = 0
+    for i in order:
+        if own and total + len(sequences[i]) > most:
+            yield Batch(own, sequences)
+            own, total = [], 0
+        own.append(i)
+        total += len(sequences[i])
+    if own:
+        yield Batch(own, sequences)
+
+
+def forward(model: Model, batch: Batch, kind=np.float64, keep: bool = False):
+    """Scaled forward recursion: the scales, one after another, and if kept each place's (states' shares, emissions, scales), K x live."""
+    emit, move, at = np.ascontiguousarray(model.emit.T, kind), np.ascontiguousarray(model.move.T, kind), batch.at
+    steps, scales = [], np.empty(len(batch), kind)
+    now = None
+    for t in range(batch.length):
+        a, b = at[t], at[t + 1]
+        emitted = emit.take(batch.flat[a:b], axis=1)
+        now = emitted * model.start.astype(kind)[:, None] if now is None else move @ now[:, : b - a]
+        if t:
+            now *= emitted
+        now /= now.sum(axis=0, out=scales[a:b])
         if keep:
-            shares[t] = now
-    return np.log10(scales).sum(axis=0), shares, scales
+            steps.append((now, emitted, scales[a:b]))
+    return scales, steps
+
+
+def likelihoods(model: Model, batch: Batch) -> np.ndarray:
+    """Log10 likelihood of each sequence of the batch, in the order of own."""
+    scales, _ = forward(model, batch)
+    return np.bincount(batch.column, weights=np.log10(scales), minlength=len(batch.own))
 
 
 class Expected:
-    """Baum-Welch counts of many sequences."""
+    """Baum-Welch counts of many sequences. Shares are single precision; sums over steps are double."""
 
     def __init__(self, symbols: int) -> None:
         self.start, self.move, self.emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((symbols, STATES))
 
-    def add(self, model: Model, grid: np.ndarray) -> None:
-        _, shares, scales = forward(model, grid, keep=True)
-        n, size = grid.shape
-        real = grid < model.symbols
-        back = np.ones((size, STATES))
-        to = model.move.T
-        for t in range(n - 1, -1, -1):
-            shares_t = shares[t]
-            if t:
-                ahead = model.emit[grid[t]] * back / scales[t][:, None]
-                live = real[t]
-                self.move += (shares[t - 1][live].T @ ahead[live]) * model.move
-            gamma = shares_t * back
-            shares[t] = gamma
+    def add(self, model: Model, batch: Batch) -> None:
+        _, steps = forward(model, batch, np.float32, keep=True)
+        move, at = model.move.astype(np.float32), batch.at
+        moved = np.zeros((STATES, STATES))
+        gamma = np.empty((STATES, len(batch)), np.float32)
+        back = np.ones_like(steps[-1][0])
+        for t in range(batch.length - 1, -1, -1):
+            now, emitted, scales = steps.pop()
+            np.multiply(now, back, out=gamma[:, at[t] : at[t + 1]])
             if t:
-                back = ahead @ to
-        self.start += shares[0].sum(axis=0)
-        flat, mask = grid.ravel(), real.ravel()
-        gamma = shares.reshape(-1, STATES)[mask]
+                emitted *= back
+                emitted /= scales
+                before = steps[-1][0]
+                moved += before[:, : len(scales)] @ emitted.T
+                back = np.ones_like(before)
+                back[:, : len(scales)] = move @ emitted
+        self.move += moved * model.move
+        self.start += gamma[:, : at[1]].sum(axis=1, dtype=np.float64)
         for k in range(STATES):
-            self.emit[:, k] += np.bincount(flat[mask], weights=gamma[:, k], minlength=len(self.emit))
+            self.emit[:, k] += np.bincount(batch.flat, weights=gamma[k], minlength=len(self.emit))
 
     def rows(self):
         """(kind, places, values of each state) of what is not zero; kind 0 start, 1 move, 2 emit."""
@@ -201,8 +231,8 @@ def baum_welch(encoded: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray
     def run(batches):
         total = Expected(model.symbols)
         for b in batches:
-            for _, grid in batches_of(_sequences(b.column(0)), model.symbols):
-                total.add(model, grid)
+            for batch in batches_of(_sequences(b.column(0))):
+                total.add(model, batch)
         for kind, place, values in total.rows():
             yield pa.record_batch([pa.array(kind, pa.int32()), pa.array(place, pa.int32()), *map(pa.array, values.T.copy())], ["kind", "place", *names])
 
@@ -235,37 +265,39 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     share = np.array([*(-c for c, _ in frequent[:n_words]), *mass, n_docs], float) + 0.01
     share /= share.sum()
     known = spark.sparkContext.broadcast({w.encode(): (k, -c) for k, (c, w) in enumerate(frequent)})
-    log_below = np.log10(below).tolist()
+    below_log = np.log10(below)
+    log_below = below_log.tolist()
     end_term, end_known = math.log10(n_docs + 1), int(n_docs > 0)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches):
-        table: dict[bytes, tuple] = {}  # word: symbol as bytes, whether a shared one, log10(c + 1)
-        for w, (k, c) in known.value.items():
-            own = k < n_words
-            s = k if own else n_words + suffix(w)
-            table[w] = s.to_bytes(2, "little"), 0.0 if own else math.log10(c + 1) - log_below[suffix(w)], math.log10(c + 1)
+        place: dict[bytes, int] = {}
+        own = np.array([k < n_words for _, (k, _) in known.value.items()], bool)
+        for w, (k, _) in known.value.items():
+            place[w] = len(place)
+        shared = np.array([suffix(w) for w in place], np.int64)
+        plain = np.log10(np.array([c for _, c in known.value.values()], float) + 1)  # log10(c + 1)
+        symbol_of = np.where(own, [k for k, _ in known.value.values()], n_words + shared).astype("<u2")
+        more_of = np.where(own, 0.0, plain - below_log[shared]) if len(place) else plain
+        end_symbol = end.to_bytes(2, "little")
         for b in batches:
             out: list[list] = [[] for _ in range(7)]
             for text in b.column(2):
                 words = _tokens(text)
-                symbols, base, more, found = [], end_term, 0.0, end_known
+                at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
+                unknown = np.flatnonzero(at < 0)
+                symbols, met = np.zeros(len(words), "<u2"), at[at >= 0] if len(unknown) else at
+                symbols[at >= 0] = symbol_of[met]
+                more = float(more_of[met].sum())
                 missing: Counter = Counter()
-                for w in words:
-                    x = table.get(w)
-                    if x:
-                        symbols.append(x[0])
-                        more += x[1]
-                        base += x[2]
-                        found += 1
-                    else:
-                        k = suffix(w)
-                        symbols.append((n_words + k).to_bytes(2, "little"))
-                        more -= log_below[k]
-                        missing[w] += 1
-                symbols.append(end.to_bytes(2, "little"))
-                row = len(words) + 1, found, base, more, b"".join(symbols), [w.decode() for w in missing], list(missing.values())
-                for column, x in zip(out, row):
+                for i in unknown.tolist():
+                    k = suffix(words[i])
+                    symbols[i] = n_words + k
+                    more -= log_below[k]
+                    missing[words[i]] += 1
+                base = end_term + float(plain[met].sum())
+                rare, times = [w.decode() for w in missing], list(missing.values())
+                for column, x in zip(out, (len(words) + 1, end_known + len(met), base, more, symbols.tobytes() + end_symbol, rare, times)):
                     column.append(x)
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
             names = ["doc_id", "held_out", "n_tokens", "found", "base", "more", "symbols", "rare", "times"]
@@ -283,8 +315,8 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     def likelihood(batches):
         for b in batches:
             out = np.zeros(b.num_rows)
-            for own, grid in batches_of(_sequences(b.column(4)), model.symbols):
-                out[own] = forward(model, grid)[0]
+            for batch in batches_of(_sequences(b.column(4))):
+                out[batch.own] = likelihoods(model, batch)
             yield pa.record_batch([*(b.column(k) for k in (0, 1, 2, 3, 5, 6, 7)), pa.array(out)], ["doc_id", "held_out", "n_tokens", "found", "base", "more", "rid", "hmm"])
 
     columns = ["doc_id", "held_out", "n_tokens", "found", "symbols", "base", "more", "rid"]
