@@ -40,8 +40,9 @@ SUFFIXES = 256
 WORDS = 4096
 DICTIONARY = 200_000
 ROUNDS = 14
-_CELLS = 1 << 20
+_CELLS = 1 << 21
 _FLUSH = 250_000
+_TOGETHER = 1 << 16
 
 
 def _tokens(value) -> list[bytes]:
@@ -124,29 +125,29 @@ class Model:
 
 
 class Batch:
-    """Sequences side by side in time: place by place, each place's symbols next to each other, the longest sequence first.
+    """Sequences side by side in time, the longest first.
 
-    At place t the sequences longer than t have a symbol each, at flat[at[t] : at[t + 1]],
-    and column tells whose; so nothing is padded, and a step works on a slice.
+    At place t those longer than t have a symbol each; they are the first ones, so
+    nothing is padded, and a step works on a slice. at[t] counts the symbols before place t.
     """
 
     def __init__(self, own: list[int], sequences: list[np.ndarray]) -> None:
         self.own = own  # the sequences' numbers, longest first
         lengths = np.array([len(sequences[i]) for i in own])
         self.length = int(lengths[0])
-        live = np.searchsorted(-lengths, -np.arange(self.length), side="left")  # how many are longer than t
+        live = np.searchsorted(-lengths, -np.arange(self.length), side="left")
         self.at = np.concatenate([[0], np.cumsum(live)])
         column = np.repeat(np.arange(len(own)), lengths)
         place = np.arange(len(column)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        where = self.at[place]
-        where += column
-        self.flat = np.empty(len(where), np.intp)
-        self.flat[where] = np.concatenate([sequences[i] for i in own])
-        self.column = np.arange(len(where)) - np.repeat(self.at[:-1], live)
+        self.flat = np.empty(len(column), np.intp)
+        self.flat[self.at[place] + column] = np.concatenate([sequences[i] for i in own])
 
     def __len__(self) -> int:
         return len(self.flat)
 
+    def symbols(self, t: int) -> np.ndarray:
+        return self.flat[self.at[t] : self.at[t + 1]]
+
 
 def batches_of(sequences: list[np.ndarray], most: int = _CELLS):
     """Batches of at most `most` symbols (or one sequence), the long ones together."""
@@ -163,27 +164,30 @@ def batches_of(sequences: list[np.ndarray], most: int = _CELLS):
         yield Batch(own, sequences)
 
 
-def forward(model: Model, batch: Batch, kind=np.float64, keep: bool = False):
-    """Scaled forward recursion: the scales, one after another, and if kept each place's (states' shares, emissions, scales), K x live."""
-    emit, move, at = np.ascontiguousarray(model.emit.T, kind), np.ascontiguousarray(model.move.T, kind), batch.at
-    steps, scales = [], np.empty(len(batch), kind)
+def forward(model: Model, batch: Batch, kind=np.float64, each=None) -> np.ndarray:
+    """Scaled forward recursion: log10 likelihood of each sequence of the batch, in the order of own.
+
+    each, if given, gets for every place the symbols, the states' shares, the emissions and
+    the scales' reciprocals, K x live.
+    """
+    emit, move = np.ascontiguousarray(model.emit.T, kind), np.ascontiguousarray(model.move.T, kind)
+    out = np.zeros(len(batch.own))
     now = None
     for t in range(batch.length):
-        a, b = at[t], at[t + 1]
-        emitted = emit.take(batch.flat[a:b], axis=1)
-        now = emitted * model.start.astype(kind)[:, None] if now is None else move @ now[:, : b - a]
-        if t:
+        symbols = batch.symbols(t)
+        emitted = emit.take(symbols, axis=1)
+        if now is None:
+            now = emitted * model.start.astype(kind)[:, None]
+        else:
+            now = move @ now[:, : len(symbols)]
             now *= emitted
-        now /= now.sum(axis=0, out=scales[a:b])
-        if keep:
-            steps.append((now, emitted, scales[a:b]))
-    return scales, steps
-
-
-def likelihoods(model: Model, batch: Batch) -> np.ndarray:
-    """Log10 likelihood of each sequence of the batch, in the order of own."""
-    scales, _ = forward(model, batch)
-    return np.bincount(batch.column, weights=np.log10(scales), minlength=len(batch.own))
+        inverse = 1 / now.sum(axis=0)
+        now *= inverse
+        if each:
+            each(symbols, now, emitted, inverse)
+        else:
+            out[: len(symbols)] -= np.log10(inverse)
+    return out
 
 
 class Expected:
@@ -193,25 +197,36 @@ class Expected:
         self.start, self.move, self.emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((symbols, STATES))
 
     def add(self, model: Model, batch: Batch) -> None:
-        _, steps = forward(model, batch, np.float32, keep=True)
-        move, at = model.move.astype(np.float32), batch.at
+        steps: list[tuple] = []
+        forward(model, batch, np.float32, lambda *step: steps.append(step))
+        move = model.move.astype(np.float32)
         moved = np.zeros((STATES, STATES))
-        gamma = np.empty((STATES, len(batch)), np.float32)
-        back = np.ones_like(steps[-1][0])
-        for t in range(batch.length - 1, -1, -1):
-            now, emitted, scales = steps.pop()
-            np.multiply(now, back, out=gamma[:, at[t] : at[t + 1]])
-            if t:
+        back = np.ones_like(steps[-1][1])
+        wait: list[tuple] = []
+        size = 0
+        while steps:
+            symbols, now, emitted, inverse = steps.pop()
+            gamma = now * back
+            wait.append((symbols, gamma))
+            size += len(symbols)
+            if size > _TOGETHER or not steps:
+                self._emitted(wait)
+                wait, size = [], 0
+            if steps:
                 emitted *= back
-                emitted /= scales
-                before = steps[-1][0]
-                moved += before[:, : len(scales)] @ emitted.T
-                back = np.ones_like(before)
-                back[:, : len(scales)] = move @ emitted
+                emitted *= inverse
+                before = steps[-1][1]
+                moved += before[:, : len(symbols)] @ emitted.T
+                back = np.empty_like(before)
+                back[:, : len(symbols)] = move @ emitted
+                back[:, len(symbols) :] = 1
         self.move += moved * model.move
-        self.start += gamma[:, : at[1]].sum(axis=1, dtype=np.float64)
+        self.start += gamma.sum(axis=1, dtype=np.float64)
+
+    def _emitted(self, wait: list[tuple]) -> None:
+        symbols, gamma = np.concatenate([s for s, _ in wait]), np.concatenate([g for _, g in wait], axis=1)
         for k in range(STATES):
-            self.emit[:, k] += np.bincount(batch.flat, weights=gamma[k], minlength=len(self.emit))
+            self.emit[:, k] += np.bincount(symbols, weights=gamma[k], minlength=len(self.emit))
 
     def rows(self):
         """(kind, places, values of each state) of what is not zero; kind 0 start, 1 move, 2 emit."""
@@ -264,21 +279,20 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     end = n_words + SUFFIXES
     share = np.array([*(-c for c, _ in frequent[:n_words]), *mass, n_docs], float) + 0.01
     share /= share.sum()
-    known = spark.sparkContext.broadcast({w.encode(): (k, -c) for k, (c, w) in enumerate(frequent)})
     below_log = np.log10(below)
+    shared_of = np.array([suffix(w.encode()) for _, w in frequent], np.int64)
+    plain = np.log10(np.array([-c for c, _ in frequent], float) + 1)  # log10(c + 1)
+    own_symbol = np.arange(len(frequent)) < n_words
+    symbol_of = np.where(own_symbol, np.arange(len(frequent)), n_words + shared_of).astype("<u2")
+    more_of = np.where(own_symbol, 0.0, plain - below_log[shared_of])
+    known = spark.sparkContext.broadcast(([w.encode() for _, w in frequent], symbol_of, plain, more_of))
     log_below = below_log.tolist()
     end_term, end_known = math.log10(n_docs + 1), int(n_docs > 0)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches):
-        place: dict[bytes, int] = {}
-        own = np.array([k < n_words for _, (k, _) in known.value.items()], bool)
-        for w, (k, _) in known.value.items():
-            place[w] = len(place)
-        shared = np.array([suffix(w) for w in place], np.int64)
-        plain = np.log10(np.array([c for _, c in known.value.values()], float) + 1)  # log10(c + 1)
-        symbol_of = np.where(own, [k for k, _ in known.value.values()], n_words + shared).astype("<u2")
-        more_of = np.where(own, 0.0, plain - below_log[shared]) if len(place) else plain
+        words, symbol_of, plain, more_of = known.value
+        place = {w: k for k, w in enumerate(words)}
         end_symbol = end.to_bytes(2, "little")
         for b in batches:
             out: list[list] = [[] for _ in range(7)]
@@ -316,7 +330,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         for b in batches:
             out = np.zeros(b.num_rows)
             for batch in batches_of(_sequences(b.column(4))):
-                out[batch.own] = likelihoods(model, batch)
+                out[batch.own] = forward(model, batch)
             yield pa.record_batch([*(b.column(k) for k in (0, 1, 2, 3, 5, 6, 7)), pa.array(out)], ["doc_id", "held_out", "n_tokens", "found", "base", "more", "rid", "hmm"])
 
     columns = ["doc_id", "held_out", "n_tokens", "found", "symbols", "base", "more", "rid"]
