@@ -22,32 +22,38 @@ PROPERTY_NEEDLES: list[tuple[str, list[str]]] = [
     ("zemljiste", ["zemljiste", "dvoriste", "cestica", "k.c.", "kc.br", "ckbr", "zemljista", "neplodno"]),
 ]
 PROCEDURES = [("OVR", "ovrha"), ("ST", "stecaj"), ("OSIG", "osiguranje"), ("OS-", "osiguranje"), ("INS", "insolvencija")]
-ROUNDS = {"prva dražba": 1, "druga dražba": 2, "treća dražba": 3, "četvrta dražba": 4}
+ROUNDS = {"prva": 1, "druga": 2, "treća": 3, "četvrta": 4}
+
+
+# Fixed values, on folded text: what makes an estate of goods listed as property, and beginnings of words for goods.
+ESTATE_CUES = [r"\bzk\.?\s*ul", r"\bk\.?\s*[oc]\b", "zemljist", "nekretnin"]
+GOODS = "vozil automobil stroj oprem plovil brodic prikolic vilicar goved krav junic telad svinj roba zalih komada proizvodnj marke udjel dionic potrazivanj".split()
 
 
 def by_needles(text: Column, table: Sequence[tuple[str, Sequence[str]]], default: str, short: int = 5) -> Column:
     """The first class of which a needle stands in the text.
 
-    A needle of letters alone, up to `short` of them, must begin a word and be followed
-    by three word characters at most; others match anywhere.
+    A needle that is letters alone but for blanks around them, up to `short` of them, must
+    begin a word and be followed by three word characters at most; others match anywhere.
     """
     out = None
     for name, needles in table:
-        parts = [rf"\b{re.escape(n)}\w{{0,3}}\b" if n.isalpha() and len(n) <= short else re.escape(n).replace(r"\ ", " ") for n in needles]
+        parts = []
+        for n in needles:
+            bare = n.strip()
+            parts.append(rf"\b{re.escape(bare)}\w{{0,3}}\b" if bare.isalpha() and len(bare) <= short else re.escape(n).replace(r"\ ", " "))
         hit = text.rlike("|".join(parts))
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return F.lit(default) if out is None else out.otherwise(default)
 
 
 def property_type(description: Column, kind: Column) -> Column:
-    """Movables and rights by their kind; an estate by its description; movable goods listed as property too."""
+    """Movables and rights by their kind; goods listed as property, if nothing names an estate, as movables; else by the description."""
     text, k = fold(description), fold(kind)
-    estate = r"nekretnin|zemljist|zgrad|\bkuc|\bstan\b"
-    goods = r"\b(vozil|automobil|stroj|strojev|oprem|namjestaj|zalih|vilicar|traktor)"
+    goods = (k == "imovina") & ~text.rlike("|".join(ESTATE_CUES)) & text.rlike(rf"\b(?:{'|'.join(GOODS)})")
     return (
-        F.when(k.contains("pokretnin"), "pokretnina")
-        .when(k.contains("pravo"), "pravo")
-        .when(k.contains("imovina") & ~text.rlike(estate) & text.rlike(goods), "pokretnina")
+        F.when((k == "pokretnina") | goods, "pokretnina")
+        .when(k == "pravo", "pravo")
         .otherwise(by_needles(text, PROPERTY_NEEDLES, "ostalo"))
     )
 
@@ -82,5 +88,5 @@ def issuer_name(issuer: Column) -> Column:
 def round_number(name: Column) -> Column:
     out = F.lit(None).cast("int")
     for text, n in ROUNDS.items():
-        out = F.when(F.lower(F.trim(name)) == text, n).otherwise(out)
+        out = F.when(F.lower(F.trim(name)).isin(text, f"{text} dražba"), n).otherwise(out)
     return out

@@ -98,6 +98,6 @@ def number_or_null(c: Column) -> Column:
 
 def same_value(a: Column, b: Column) -> Column:
     """Equal as numbers within a cent, or as trimmed texts; two NULLs are equal."""
-    x, y = a.try_cast("double"), b.try_cast("double")
+    x, y = (c.cast("string").try_cast("double") for c in (a, b))  # by way of text: times have no number
     as_text = F.trim(a.cast("string")).eqNullSafe(F.trim(b.cast("string")))
     return F.when(x.isNotNull() & y.isNotNull(), F.abs(x - y) < 0.01).otherwise(as_text)

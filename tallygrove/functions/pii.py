@@ -30,18 +30,35 @@ GENERAL = {
     "ip": r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b",
     "digits16": r"\b\d{16}\b",
 }
-ROLES = [
-    r"ovršeni[kc]\p{L}*", r"stečajn\p{L}*\s+(?:dužnik|upravitelj)\p{L}*", r"dužnik\p{L}*", r"protivnik\p{L}*\s+osiguranja",
-    r"prodavatelj\p{L}*", r"upravitelj\p{L}*", r"(?:sudsk\p{L}*\s+)?ovršitelj\p{L}*", r"(?:založn\p{L}*\s+)?vjerovnik\p{L}*",
-    r"predlagatelj\p{L}*", r"(?:javn\p{L}*\s+)?bilježnik\p{L}*", r"povjerenik\p{L}*", r"likvidator\p{L}*",
-    r"(?:su)?vlasnik\p{L}*(?:\s+obrta)?", r"vl\.\s*obrta",
-]
-_WORD = r"(?:\p{Lu}[\p{Ll}-]+|\p{Lu}{2,})"
-_NAME = rf"{_WORD}(?:\s+{_WORD}){{1,2}}"
-_HOME = r"(?:\s*,?\s*iz\s+\p{Lu}[\p{L}-]+(?:\s+\p{Lu}[\p{L}-]+)?(?:\s*,\s*\p{Lu}[\p{L}.-]*(?:\s+[\p{L}.-]+)*\s*\d+[a-zA-Z]?)?)?"
-_ROLE = "(?iu:" + "|".join(ROLES) + ")"
-ROLE_NAME = rf"({_ROLE})([\s:,-]+(?iu:je\s+|gosp\.?\s+|gđa\.?\s+|g\.\s+)?){_NAME}{_HOME}"
-NAME_ROLE = r"(?U)" + _NAME + r"(\s*,\s*)((?iu:vl\.\s*obrta|vlasnik\p{L}*(?:\s+obrta)?|obrtnik\p{L}*))"
+# Beginnings of the words that name a party; each may go on with letters.
+ROLES = ["ovršenik", "ovršenic", "stečajn dužnik", "stečajn upravitelj", "dužnik", "protivnik osiguranj", "prodavatelj", "upravitelj", "ovršitelj", "vjerovnik"]
+ROLES += ["predlagatelj", "bilježnik", "povjerenik", "likvidator", "vlasnik", "suvlasnik"]
+TRADES = ["vl. obrt", "vlasnik", "obrtnik"]
+HONORIFICS = ["je", "gosp.", "gosp", "gđa.", "gđa", "g."]
+
+
+def _words(beginnings: Sequence[str]) -> str:
+    """Any of the beginnings, in any case, with the letters that may follow each of its words."""
+    each = (r"\s*".join(re.escape(part) + ("" if part.endswith(".") else r"\p{L}*\s?") for part in b.split()).removesuffix(r"\s?") for b in beginnings)
+    return "(?iu:" + "|".join(each) + ")"
+
+
+def person_steps(mask: str) -> list[tuple[str, str, str]]:
+    """(kind, pattern, replacement) in order: a name after a party's role, a name before a trade, a home after a masked name.
+
+    A name is two or three words that begin with capitals; between a role and its name may
+    stand punctuation and an honorific. A home is one or two such words after "iz", and
+    then, after a comma, whatever ends in a house number.
+    """
+    capital = r"\p{Lu}[\p{L}-]+"
+    name = rf"{capital}(?:\s+{capital}){{1,2}}"
+    title = "(?iu:" + "|".join(re.escape(h) for h in HONORIFICS) + r")\s+"
+    home = rf"{re.escape(mask)},?\s+iz\s+{capital}(?:\s+{capital})?(?:,[^,;\n\d]*\d+\p{{L}}?)?"
+    return [
+        ("role_name", rf"({_words(ROLES)}[\s:,-]+(?:{title})?){name}", "$1" + mask),
+        ("name_role", rf"{name}(\s*,\s*{_words(TRADES)})", mask + "$1"),
+        ("home", home, mask),
+    ]
 
 
 def scan(text: Column, detectors: Mapping[str, str] = REGISTRY) -> Column:
@@ -57,7 +74,7 @@ def scan(text: Column, detectors: Mapping[str, str] = REGISTRY) -> Column:
 def redact(text: Column, detectors: Mapping[str, str] = REGISTRY, mask: str = "[uklonjeno]", roles: bool = True) -> Column:
     """struct<text, removed map<kind, count>>; each count is taken on the text of its own step."""
     now, counts = text_or_empty(text), []
-    steps = [("role_name", ROLE_NAME, "$1$2" + mask), ("name_role", NAME_ROLE, mask + "$1$2")] if roles else []
+    steps = person_steps(mask) if roles else []
     steps += [(k, p, mask) for k, p in detectors.items()]
     for kind, pattern, into in steps:
         counts += [F.lit(kind), F.regexp_count(now, F.lit(pattern))]
@@ -109,9 +126,24 @@ def residual_names(given_names: Sequence[str]):
     return names
 
 
+# Beginnings of the days' names.
+DAYS = ["ponedjelj", "utor", "srijed", "četvrt", "petak", "petk", "subot", "nedjelj"]
+
+
 def viewing_window(text: Column) -> Column:
-    """The weekday and hours of a viewing note, or the phrase for by appointment; blank if a detector hits what is left."""
-    slot = r"(?iu)\b((?:ponedjelj|utor|srijed|četvrt|pet[a]?k|subot|nedjelj)\p{L}*[^.;\n]{0,60}?\d{1,2}(?:[.,:]\d{2}|\s*(?:h|sati))(?:[^.;\n]{0,40}?do\s*\d{1,2}(?:[.,:]\d{2}|\s*(?:h|sati)))?)"
-    found = F.regexp_extract(text_or_empty(text), slot, 1)
-    found = F.when(found != "", F.trim(found)).when(text.rlike(r"(?iu)\bpo\s+dogovoru\b"), "Po dogovoru").otherwise("")
-    return F.when(F.size(scan(found)) == 0, found).otherwise("")
+    """The day and hours of a viewing note, or the phrase for by appointment; redacted, and blank if a detector still hits.
+
+    From the first day's name to the end of the line or of a hundred characters; of the hours
+    there, the first two bound the slot. Without an hour there is no slot.
+    """
+    raw = text_or_empty(text)
+    from_day = F.regexp_extract(raw, rf"(?iu)\b(?:{'|'.join(DAYS)})\p{{L}}*[^;\n]{{0,100}}", 0)
+    hours = F.slice(F.regexp_extract_all(from_day, F.lit(r"(?iu)(\d{1,2}(?:[.,:]\d{2}|\s*(?:h\b|sati)))"), F.lit(1)), 1, 2)
+    first, last = F.get(hours, 0), F.get(hours, 1)
+    begin = F.position(first, from_day, F.lit(1))
+    after = begin + F.char_length(first)
+    end = F.coalesce(F.position(last, from_day, after) + F.char_length(last), after)
+    slot = F.when(first.isNotNull(), F.substring(from_day, F.lit(1), end - 1))
+    found = F.coalesce(slot, F.when(raw.rlike(r"(?iu)\bpo\s+dogovoru\b"), "Po dogovoru"), F.lit(""))
+    clean = F.trim(redact(found)["text"])
+    return F.when(F.size(scan(clean)) == 0, clean).otherwise("")

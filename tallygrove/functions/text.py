@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters of the registry's languages and what they fold to, one for one.
-MARKED = "čćđšžáàâäãåéèêëíìîïóòôöõúùûüñçýČĆĐŠŽÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
-PLAIN = "ccdszaaaaaaeeeeiiiiooooouuuuncyCCDSZAAAAAAEEEEIIIIOOOOOUUUUNCY"
+
+def _folding() -> tuple[str, str]:
+    """Letters of the Latin blocks whose compatibility decomposition is one ASCII letter and marks, and those letters; đ is d."""
+    pairs = {"đ": "d", "Đ": "D"}
+    for c in map(chr, (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))):
+        plain = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
+        if len(plain) == 1 and plain.isalpha():
+            pairs[c] = plain
+    return "".join(pairs), "".join(pairs.values())
+
+
+MARKED, PLAIN = _folding()
 
 
 def text_or_empty(c: Column) -> Column:
@@ -22,8 +32,8 @@ def fold(c: Column) -> Column:
 
 
 def fold_keeping(c: Column) -> Column:
-    """As fold, but other non-ASCII characters stay."""
-    return F.lower(F.translate(text_or_empty(c), MARKED, PLAIN))
+    """As fold, but other non-ASCII characters stay; combining marks go."""
+    return F.lower(F.regexp_replace(F.translate(text_or_empty(c), MARKED, PLAIN), r"\p{Mn}", ""))
 
 
 def slugify(c: Column) -> Column:
@@ -61,9 +71,13 @@ def item_key(item: Mapping[str, Column]) -> Column:
     )
 
 
+# Fixed value: what does not tell descriptions apart.
+NOISE = r"[\s.,;:()\[\]\-/]+"
+
+
 def property_fingerprint(case_ref: Column, description: Column) -> Column:
     """Same case and same description but for spacing and punctuation: the same property."""
-    words = F.trim(F.regexp_replace(fold(description), r"[\s.,;:()\[\]\-/]+", " "))
+    words = F.trim(F.regexp_replace(fold(description), NOISE, " "))
     return F.substring(F.sha1(F.concat(text_or_empty(case_ref), F.lit("|"), words).cast("binary")), 1, 16)
 
 
@@ -105,6 +119,19 @@ def format_area(c: Column) -> Column:
     return F.when(c.isNull(), "—").otherwise(F.concat(swap_separators(F.format_number(F.round(c.cast("decimal(18,6)"), 0), 0)), F.lit(" m²")))
 
 
+def format_ppm(c: Column) -> Column:
+    return F.when(c.isNull(), "—").otherwise(F.concat(swap_separators(F.format_number(F.round(c.cast("decimal(18,6)"), 0), 0)), F.lit(" €/m²")))
+
+
+def format_days(n: Column) -> Column:
+    """Days left: today, tomorrow, or their number."""
+    return F.when(n == 0, "danas").when(n == 1, "sutra").otherwise(F.concat_ws(" ", F.lit("za"), n.cast("string"), hr_plural(n, "dan", "dana", "dana")))
+
+
+def format_items(n: Column) -> Column:
+    return F.concat_ws(" ", n.cast("string"), hr_plural(n, "predmet", "predmeta", "predmeta"))
+
+
 def format_date(c: Column) -> Column:
     return F.coalesce(F.date_format(c, "dd.MM.yyyy."), F.lit("—"))
 

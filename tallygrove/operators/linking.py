@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrove.functions.parse import round_half_up
+from tallygrove.operators.checkpoints import checkpointed
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -24,13 +25,22 @@ def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 def link_repeats(items: DataFrame, fingerprint: str, order: Sequence[Column]) -> DataFrame:
     """items with repeat_group and repeat_seq: members of a group numbered in order.
 
-    Only groups of two or more are numbered in a window; single items never sort.
+    items is computed once. Only groups of two or more are numbered: they are dealt by
+    ranges of (fingerprint, order), so a hot group lies in many partitions in order; each
+    numbers its own rows, and the counts of those before it are added.
     """
-    sizes = items.groupBy(fingerprint).agg(F.count(F.lit(1)).alias("__n"))
-    sized = items.join(sizes, fingerprint)
-    many = sized.where("__n > 1").withColumn("repeat_seq", F.row_number().over(Window.partitionBy(fingerprint).orderBy(*order)))
-    one = sized.where("__n = 1").withColumn("repeat_seq", F.lit(1))
-    return one.unionByName(many).withColumn("repeat_group", F.col(fingerprint)).drop("__n")
+    items = checkpointed(items)
+    sizes = items.groupBy(fingerprint).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(fingerprint)
+    one = items.join(sizes, fingerprint, "left_anti").withColumn("repeat_seq", F.lit(1))
+    many = items.join(sizes, fingerprint, "left_semi").repartitionByRange(F.col(fingerprint), *order).withColumn("__part", F.spark_partition_id())
+    many = checkpointed(many)
+    inside = F.row_number().over(Window.partitionBy(fingerprint, "__part").orderBy(*order))
+    counts = many.groupBy(fingerprint, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(fingerprint).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = counts.select(fingerprint, "__part", F.coalesce(before, F.lit(0)).alias("__shift"))
+    placed = many.withColumn("__inside", inside).join(shifts, [fingerprint, "__part"])
+    placed = placed.withColumn("repeat_seq", (F.col("__inside") + F.col("__shift")).cast("int")).drop("__inside", "__shift", "__part")
+    return one.unionByName(placed).withColumn("repeat_group", F.col(fingerprint))
 
 
 def repeat_counters(linked: DataFrame, round_col: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.functions.parse import distance_km
 from tallygrove.functions.text import fold, sorted_words
+from tallygrove.operators.checkpoints import checkpointed
 
 DOMINANCE = 20
 
@@ -104,20 +105,16 @@ def assign_counties(units: DataFrame, k: int = 5, within_km: float = 12.0, round
     units: unit_id, lat, lon, county (null where unknown). Each round's state is
     checkpointed in the cluster's shared folder.
     """
-    spark = units.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallygrove-"))
     state = units
     for _ in range(rounds):
         known = state.where("county is not null").select(F.col("unit_id").alias("place_id"), "lat", "lon", "county")
         open_points = state.where("county is null").select(F.col("unit_id").alias("point_id"), "lat", "lon")
         found = unanimous(nearest(open_points, known, k, within_km), known.select("place_id", "county"), k)
-        found = found.select(F.col("point_id").alias("unit_id"), F.col("county").alias("new_county")).checkpoint()
+        found = found.select(F.col("point_id").alias("unit_id"), F.col("county").alias("new_county"))
+        found = checkpointed(found)
         if found.isEmpty():
             break
-        state = state.join(found, "unit_id", "left").withColumn("county", F.coalesce("county", "new_county")).drop("new_county").checkpoint()
+        state = checkpointed(state.join(found, "unit_id", "left").withColumn("county", F.coalesce("county", "new_county")).drop("new_county"))
     return state
 
 
@@ -157,12 +154,14 @@ def valid_overrides(overrides: DataFrame, counties: DataFrame, settlements: Data
     return ok.join(other, (fold(F.col("unit")) == F.col("k")) & (F.col("county") != F.col("kc")), "left_anti")
 
 
-def longest_mention(texts: DataFrame, names: DataFrame, most_words: int = 4) -> DataFrame:
+def longest_mention(texts: DataFrame, names: DataFrame) -> DataFrame:
     """The longest register name that stands in each text as whole words: (text_id, name).
 
-    Instead of testing each name in each text, the texts' runs of up to most_words words
-    meet the names in an equi-join. texts: text_id, text; names: name.
+    Instead of testing each name in each text, the texts' runs of as many words as names
+    of the register have meet the names in an equi-join. texts: text_id, text; names: name.
     """
+    known = names.select(F.trim(F.regexp_replace(fold(F.col("name")), "[^a-z0-9]+", " ")).alias("k"), "name").where("k <> ''")
+    sizes = [r[0] for r in known.select(F.size(F.split("k", " ")).alias("n")).distinct().collect()]  # a few numbers
     # a column of its own: inside the lambda it would be split anew for each element
     words = F.split(F.trim(F.regexp_replace(fold(F.col("text")), "[^a-z0-9]+", " ")), " ")
     texts = texts.select("text_id", words.alias("w"))
@@ -170,8 +169,71 @@ def longest_mention(texts: DataFrame, names: DataFrame, most_words: int = 4) ->
     def of_length(n: int) -> Column:
         return F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.array_join(F.slice("w", i, F.lit(n)), " "))
 
-    runs = F.concat(*(of_length(n) for n in range(1, most_words + 1)))  # array_distinct would compare all pairs of strings
+    if not sizes:
+        return texts.select("text_id", F.lit(None).cast("string").alias("name")).limit(0)
+    runs = F.concat(*(of_length(n) for n in sorted(sizes)))  # array_distinct would compare all pairs of strings
     each = texts.select("text_id", F.explode(runs).alias("k"))
-    known = names.select(F.trim(F.regexp_replace(fold(F.col("name")), "[^a-z0-9]+", " ")).alias("k"), "name").where("k <> ''")
     met = each.join(known, "k")
     return met.groupBy("text_id").agg(F.max_by("name", F.struct(F.length("k"), "name")).alias("name"))
+
+
+def name_counties(units: DataFrame, settlements: DataFrame, centres: DataFrame, core: str, core_km: float = 8.0, least_km: float = 25.0, ratio: float = 2.5) -> DataFrame:
+    """Units with the county and source that their names and places tell: (unit_id, name, lat, lon, county, source), null where neither does.
+
+    Within core_km of the core county's centre: that county. Else the only county of the
+    settlements of that name, of its words in any order, or of all its words as
+    settlements; rejected if its centre is beyond least_km and ratio times as far as the
+    nearest centre. units: unit_id, name, lat, lon; centres: county, lat, lon (a few rows).
+    """
+    own = units.withColumn("k", fold(F.regexp_replace(F.trim("name"), r"\s+(?:[IVX]{1,4}|\d{1,2})$", "")))
+    whole = settlements.groupBy(fold(F.col("name")).alias("k")).agg(F.collect_set("county").alias("c"))
+    words = settlements.groupBy(sorted_words(F.col("name")).alias("w")).agg(F.collect_set("county").alias("cw"))
+    parts = own.select("unit_id", F.explode(F.split("k", " ")).alias("k"), F.size(F.split("k", " ")).alias("n")).where("n > 1").join(whole, "k")
+    agreed = parts.where(F.size("c") == 1).groupBy("unit_id", "n").agg(F.count(F.lit(1)).alias("met"), F.collect_set(F.col("c")[0]).alias("cp"))
+    agreed = agreed.where((F.col("met") == F.col("n")) & (F.size("cp") == 1)).select("unit_id", "cp")
+    met = own.join(whole, "k", "left").withColumn("w", sorted_words(F.col("k"))).join(words, "w", "left").join(agreed, "unit_id", "left")
+    told = F.coalesce("c", "cw", "cp")
+    met = met.withColumn("claimed", F.when(F.size(told) == 1, told[0])).withColumn("how", F.when(F.col("c").isNotNull(), "ime").when(F.col("cw").isNotNull(), "ime-obrnuto").otherwise("ime-slozeno"))
+    # the centres are one row a county: a literal
+    each = [F.struct(distance_km(F.col("lat"), F.col("lon"), F.lit(r["lat"]), F.lit(r["lon"])).alias("km"), F.lit(r["county"]).alias("c")) for r in centres.collect()]
+    met = met.withColumn("far", F.array_sort(F.array(*each))).withColumn("least", F.col("far")[0]["km"]).withColumn("own", F.get(F.filter("far", lambda x: x["c"] == F.col("claimed")), 0)["km"])
+    met = met.withColumn("to_core", F.get(F.filter("far", lambda x: x["c"] == core), 0)["km"])
+    inside = F.coalesce(F.col("to_core") <= core_km, F.lit(False))
+    good = F.col("claimed").isNotNull() & ~F.coalesce((F.col("own") > least_km) & (F.col("own") > ratio * F.col("least")), F.lit(False))
+    return met.select(
+        "unit_id", "name", "lat", "lon", F.when(inside, core).when(good, F.col("claimed")).alias("county"), F.when(inside, "jezgra").when(good, F.col("how")).alias("source")
+    )
+
+
+def valid_proposals(proposals: DataFrame, settlements: DataFrame, units: DataFrame, ambiguous: list[str]) -> DataFrame:
+    """Proposed locations that the registers confirm: (item_id, county, settlement, unit, evidence).
+
+    proposals: item_id, text, county, settlement, unit (any may be null); units: name,
+    county. First the unit: one that the register has once decides, unless the proposed county
+    contradicts and the name is not in the text; several need the proposed county. Then the
+    settlement: of one county, or the proposed one among several or of an ambiguous name, and
+    no unit of that name in another county. Then a county that the text names.
+    """
+    from tallygrove.functions.text import grounded
+
+    clean = lambda c: fold(F.regexp_replace(F.trim(c), r"\s+(?:[IVX]{1,4}|\d{1,2})$", ""))
+    by_unit = units.where("county is not null").groupBy(fold(F.col("name")).alias("ku")).agg(F.count(F.lit(1)).alias("nu"), F.collect_set("county").alias("uc"), F.initcap(F.min("name")).alias("un"))
+    by_place = settlements.groupBy(fold(F.col("name")).alias("ks")).agg(F.collect_set("county").alias("sc"), F.collect_list(F.struct("population", "name", "county")).alias("sp"))
+    same = by_unit.select(F.col("ku").alias("ks"), F.col("uc").alias("other"))
+    met = proposals.withColumn("ku", clean(F.col("unit"))).withColumn("ks", clean(F.col("settlement")))
+    met = met.join(by_unit, "ku", "left").join(by_place, "ks", "left").join(same, "ks", "left")
+    spelled = lambda county: F.array_max(F.filter("sp", lambda x: x["county"] == county))["name"]
+    claimed = F.col("county")
+    one_unit = (F.col("nu") == 1) & (claimed.isNull() | (claimed == F.col("uc")[0]) | grounded(F.col("unit"), F.col("text")))
+    many_units = (F.col("nu") > 1) & F.array_contains("uc", claimed)
+    free = lambda county: F.size(F.array_except(F.coalesce("other", F.array().cast("array<string>")), F.array(county))) == 0
+    doubtful = F.col("ks").isin(*[a.lower() for a in ambiguous]) if ambiguous else F.lit(False)
+    one_place = ~doubtful & (F.size("sc") == 1) & free(F.col("sc")[0]) & (claimed.isNull() | (claimed == F.col("sc")[0]) | grounded(F.col("settlement"), F.col("text")))
+    many_places = (doubtful | (F.size("sc") > 1)) & F.array_contains("sc", claimed) & free(claimed)
+    nothing = F.col("nu").isNull() & F.col("sc").isNull()
+    stem = fold(F.replace(claimed, F.lit(" županija"), F.lit("")))
+    named = nothing & claimed.isNotNull() & F.contains(fold(F.col("text")), F.substring(stem, F.lit(1), F.char_length(stem) - 1))
+    county = F.when(one_unit, F.col("uc")[0]).when(many_units | many_places | named, claimed).when(one_place, F.col("sc")[0])
+    evidence = F.when(one_unit | many_units, F.concat(F.lit("k.o. "), F.col("un"))).when(one_place | many_places, F.concat(F.lit("naselje "), F.col("settlement"))).when(named, F.lit("županija u opisu"))
+    out = met.withColumn("c", county).where("c is not null")
+    return out.select("item_id", F.col("c").alias("county"), F.coalesce(spelled(F.col("c")), F.lit("")).alias("settlement"), F.when(one_unit | many_units, F.col("un")).otherwise("").alias("unit"), evidence.alias("evidence"))

@@ -35,10 +35,10 @@ def _r2(sql: str, places: int = 2) -> str:
     return f"round(CAST({sql} AS DECIMAL(18,6)), {places})"
 
 
-def _offers(spark: SparkSession, sf: str) -> DataFrame:
+def _offers(spark: SparkSession, sf: str, *more: str) -> DataFrame:
     """Line items as offers: the part's list price is the estimate, the discounted price the opening price."""
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice")
-    line = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate", "l_suppkey")
+    line = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate", "l_suppkey", *more)
     met = line.join(part, line.l_partkey == part.p_partkey)
     return met.withColumn("estimate", F.col("p_retailprice") * F.col("l_quantity") * 60).withColumn("opening", F.col("l_extendedprice") * (1 - F.col("l_discount")))
 
@@ -80,17 +80,18 @@ def status_counts(spark: SparkSession, sf: str) -> DataFrame:
     GROUP BY GROUPING SETS ((status), (o_orderpriority), (o_orderstatus), ())""")
 def summary_counters(spark: SparkSession, sf: str) -> DataFrame:
     """Several groupings from one scan."""
-    table(spark, sf, "orders").withColumn("status", _status()).createOrReplaceTempView("tallygrove_orders")
-    return spark.sql("""SELECT status, o_orderpriority, o_orderstatus, count(*) AS n FROM tallygrove_orders
-        GROUP BY GROUPING SETS ((status), (o_orderpriority), (o_orderstatus), ())""")
+    orders = table(spark, sf, "orders").withColumn("status", _status())
+    sets = [[F.col("status")], [F.col("o_orderpriority")], [F.col("o_orderstatus")], []]
+    return orders.groupingSets(sets, "status", "o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT coalesce(r_name, 'Nepoznato') AS region, n_name AS nation, count(*)::BIGINT AS n FROM customer
+@query("""SELECT CASE WHEN grouping(r_name) = 0 THEN coalesce(r_name, 'Nepoznato') END AS region, n_name AS nation, count(*)::BIGINT AS n FROM customer
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
 def region_rollup(spark: SparkSession, sf: str) -> DataFrame:
     c, n, r = (table(spark, sf, t) for t in ("customer", "nation", "region"))
     met = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-    return met.rollup("r_name", "n_name").agg(F.count(F.lit(1)).alias("n")).select(F.coalesce("r_name", F.lit("Nepoznato")).alias("region"), F.col("n_name").alias("nation"), "n")
+    got = met.rollup("r_name", "n_name").agg(F.count(F.lit(1)).alias("n"), F.grouping("r_name").alias("g"))
+    return got.select(F.when(F.col("g") == 0, F.coalesce("r_name", F.lit("Nepoznato"))).alias("region"), F.col("n_name").alias("nation"), "n")
 
 
 _REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -281,16 +282,17 @@ def search_parts(spark: SparkSession, sf: str) -> DataFrame:
     return marts.search(table(spark, sf, "part"), ["p_name", "p_brand", "p_type"], "Ring brand#1", [F.col("p_partkey")]).select("p_partkey", "p_name")
 
 
-@query("""SELECT p_partkey, p_retailprice, p_size FROM part WHERE p_type IN ('PROMO', 'SMALL') AND p_retailprice >= 1000 AND p_retailprice <= 1500 AND p_size >= 10 ORDER BY p_retailprice DESC NULLS LAST, p_partkey LIMIT 200""")
+@query("""SELECT p_partkey, p_retailprice, p_size FROM part WHERE p_type IN ('PROMO', 'SMALL') AND p_retailprice >= 920 AND p_retailprice <= 980 AND p_size >= 10 ORDER BY p_retailprice DESC NULLS LAST, p_partkey LIMIT 200""")
 def listing_filter(spark: SparkSession, sf: str) -> DataFrame:
-    got = marts.listing_filter(table(spark, sf, "part"), p_type__in=["PROMO", "SMALL"], p_retailprice__min=1000, p_retailprice__max=1500, p_size__min=10)
-    return got.orderBy(F.col("p_retailprice").desc_nulls_last(), "p_partkey").limit(200).select("p_partkey", "p_retailprice", "p_size")
+    got = marts.listing_filter(table(spark, sf, "part"), p_type__in=["PROMO", "SMALL"], p_retailprice__min=920, p_retailprice__max=980, p_size__min=10)
+    return marts.sort_listing(got, "p_retailprice", True, "p_partkey").limit(200).select("p_partkey", "p_retailprice", "p_size")
 
 
 @query(f"""SELECT p_type, {_r2("median(p_retailprice / p_size)")}::DOUBLE AS median_ppm FROM part WHERE p_size BETWEEN 5 AND 40 AND p_retailprice > 500 GROUP BY 1""")
 def median_ppm(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part").where("p_size BETWEEN 5 AND 40 AND p_retailprice > 500")
-    return parts.groupBy("p_type").agg(parse.round_half_up(F.median(F.col("p_retailprice") / F.col("p_size"))).cast("double").alias("median_ppm"))
+    got = marts.exact_median(parts.select("p_type", (F.col("p_retailprice") / F.col("p_size")).alias("ppm")), "p_type", "ppm")
+    return got.select("p_type", parse.round_half_up(F.col("median")).cast("double").alias("median_ppm"))
 
 
 @query(f"""WITH {_OFFERS} SELECT l_linenumber AS round, count(*)::BIGINT AS n, {_r2("avg((estimate - opening) / estimate * 100)", 1)}::DOUBLE AS avg_discount, {_r2("avg(opening / estimate)", 3)}::DOUBLE AS share
@@ -357,10 +359,19 @@ def html_visible(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.md5(marts.visible_text(F.col("html")).cast("binary")).alias("visible_md5"))
 
 
-@query(r"""SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) <> '' AS has_title, false AS has_meta, false AS has_canonical,
-    len(regexp_extract_all(html, '(?i)<h1[\s>]'))::BIGINT AS n_h1, false AS has_json_ld FROM pages""")
+#: Pages given the tags they lack, by their id: short or long descriptions, canonical links, JSON-LD sound, without a type or broken.
+_TAGGED = """replace(html, '<head>', '<head>' || CASE page_id % 3 WHEN 0 THEN '<meta name="description" content="short one">' WHEN 1 THEN '<meta name="description" content="a description that has forty characters or more">' ELSE '' END
+    || CASE WHEN page_id % 2 = 0 THEN '<link rel="canonical" href="https://example.org/">' ELSE '' END
+    || CASE page_id % 5 WHEN 0 THEN '<script type="application/ld+json">{"@context": "x", "@type": "y"}</script>' WHEN 1 THEN '<script type="application/ld+json">{"@context": "x"}</script>' WHEN 2 THEN '<script type="application/ld+json">{"@context" "x"</script>' ELSE '' END)"""
+
+
+@query(rf"""WITH t AS (SELECT page_id, {_TAGGED} AS html FROM pages), b AS (SELECT *, regexp_extract_all(html, '(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', 1) AS blocks FROM t)
+    SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) <> '' AS has_title,
+    length(regexp_extract(html, '(?is)<meta[^>]*name="description"[^>]*content="([^"]*)"', 1)) >= 40 AS has_meta, regexp_matches(html, '(?is)<link[^>]*rel="canonical"') AS has_canonical,
+    len(regexp_extract_all(html, '(?i)<h1[\s>]'))::BIGINT AS n_h1, len(blocks) > 0 AS has_json_ld,
+    len(list_filter(blocks, lambda x: CASE WHEN json_valid(x) THEN NOT (json_exists(x, '$."@context"') AND json_exists(x, '$."@type"')) ELSE true END))::BIGINT AS bad_json_ld FROM b""")
 def html_lint(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.html_lint(table(spark, sf, "pages"))
+    return marts.html_lint(table(spark, sf, "pages").select("page_id", F.expr(_TAGGED).alias("html")))
 
 
 def _points(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -413,16 +424,19 @@ def county_choice(spark: SparkSession, sf: str) -> DataFrame:
     return location.choose_county(location.settlement_candidates(s.select("name_id", "name"), register), s.select("name_id", "counties"))
 
 
-@query("""SELECT doc_id AS text_id, arg_max(w, (len(w), w)) AS name FROM (SELECT doc_id, w FROM documents, (SELECT unnest(['and', 'the', 'with by', 'for an', 'que la', 'und die', 'de la', 'para que la']) AS w)
+@query("""SELECT doc_id AS text_id, arg_max(w, (len(w), w)) AS name FROM (SELECT doc_id, w FROM documents, (SELECT unnest(['and', 'the', 'with by', 'for an', 'que la', 'und die', 'de la', 'para que la', 'of the and the of']) AS w)
     WHERE contains(' ' || trim(regexp_replace(lower(regexp_replace(translate(text, '""" + text.MARKED + "', '" + text.PLAIN + r"""'), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', ' ', 'g'), ' ') || ' ', ' ' || w || ' ')) GROUP BY 1""")
 def longest_mention(spark: SparkSession, sf: str) -> DataFrame:
-    names = spark.createDataFrame([(w,) for w in ("and", "the", "with by", "for an", "que la", "und die", "de la", "para que la")], "name string")
-    return location.longest_mention(table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text"), names, 3)
+    names = spark.createDataFrame([(w,) for w in ("and", "the", "with by", "for an", "que la", "und die", "de la", "para que la", "of the and the of")], "name string")
+    return location.longest_mention(table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text"), names)
 
 
-@query("""SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, '{"event_type":"' || event_type || '","user_id":' || user_id || '}' AS detail FROM events""")
+@query("""SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, '{"field":"' || event_type || '","old_value":"' || user_id || '","new_value":"x \\"' || event_id || '\\""}' AS detail FROM events""")
 def events_detail(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.to_json(F.struct("event_type", "user_id")).alias("detail"))
+    """Values as they are logged; a missing one is left out of the text."""
+    events = table(spark, sf, "events").select("event_id", "props", F.col("event_type").alias("field"), F.col("user_id").cast("string").alias("old_value"),
+        F.format_string('x "%s"', F.col("event_id").cast("string")).alias("new_value"), F.lit(None).cast("double").alias("pct"))
+    return linking.event_detail(events).select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), "detail")
 
 
 @query(r"""SELECT p_partkey, trim(regexp_replace(lower(p_type || ' ' || p_name), '[^a-z0-9]+', '-', 'g'), '-') || '-sd-' || p_partkey AS slug FROM part""")

@@ -47,15 +47,8 @@ def read_html(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
 
 
-def write_state(state: DataFrame, root: str, version: int) -> str:
-    """A new version of the state beside the old ones; a reader names the version, so a failed write is never seen."""
-    path = f"{root}/version={version}"
-    state.write.mode("overwrite").parquet(path)
-    return path
-
-
 def append_log(rows: DataFrame, path: str, run_id: int) -> None:
-    """Append to a log partitioned by run; a run written again replaces itself, so retries do not repeat rows."""
+    """A run's rows in a log partitioned by run: other runs stay, this one's rows replace what an earlier attempt left."""
     out = rows.withColumn("run_id", F.lit(run_id))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
@@ -66,17 +59,35 @@ def write_search_index(items: DataFrame, path: str, names: dict[str, str]) -> No
 
 
 def feed_items(items: DataFrame, title: str, url: str, published: str, n: int = 50) -> DataFrame:
-    """The newest n items as feed entries."""
+    """The newest n items as feed entries; dates as RFC 822 has them, in UTC."""
     from tallygrove.functions.text import xml_escape
 
     newest = items.orderBy(F.desc(published), url).limit(n)
     entry = F.concat(
         F.lit("<item><title>"), xml_escape(F.col(title)), F.lit("</title><link>"), xml_escape(F.col(url)), F.lit("</link><pubDate>"),
-        F.date_format(published, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("</pubDate></item>"),
+        F.date_format(published, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate></item>"),
     )
     return newest.select(url, entry.alias("entry"))
 
 
+def document(entries: DataFrame, head: str, tail: str, path: str) -> None:
+    """One text file of a head, the entries in order of their text, and a tail."""
+    spark = entries.sparkSession
+    ends = spark.createDataFrame([(0, head), (2, tail)], "part int, value string")
+    lines = ends.unionByName(entries.select(F.lit(1).alias("part"), F.col("entry").alias("value")))
+    lines.orderBy("part", "value").select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_feed(items: DataFrame, path: str, title: str, url: str, published: str, channel: str, link: str, n: int = 50) -> None:
+    """A feed of the newest n items."""
+    head = f'<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>{channel}</title><link>{link}</link>'
+    document(feed_items(items, title, url, published, n), head, "</channel></rss>", path)
+
+
+def write_sitemap(paths: DataFrame, path: str) -> None:
+    document(sitemap(paths), '<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">', "</urlset>", path)
+
+
 def sitemap(paths: DataFrame, path: str = "path") -> DataFrame:
     """One sitemap entry for each path."""
     from tallygrove.functions.text import xml_escape
