@@ -59,8 +59,11 @@ REPORTS = ["said", "says", "called", "quoted", "wrote", "told", "sagte", "dit",
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 _SHORT, _LONG = 5, 7
 STEM_TYPES = 4
-#: Most other documents that may hold a unit, as a share of what its toxic documents would be at equal frequency of both.
-STRONG, WEAK = 0.002, 0.13
+#: Most other documents that may hold a unit, as a share of what its toxic documents would be at equal frequency of both:
+#: of a strong one, of one in general, and of one that at least a share BROAD of toxic documents hold, which chance does not give.
+STRONG, NARROW, WEAK, BROAD = 0.002, 0.02, 0.13, 0.05
+#: Share of toxic documents that must hold a unit which covering does not need.
+MANY = 0.02
 #: A negation reaches so many symbols.
 REACH = 4
 #: How strongly the learned weights are held to the values assumed before.
@@ -312,19 +315,22 @@ def cover(has: np.ndarray, toxic: np.ndarray, candidates: list[str]) -> dict[str
     n_bad = bad.sum(axis=0)
     hits = good.sum(axis=0)
     ratio = len(bad) / max(1, len(good))
-    clean = n_bad <= WEAK * ratio * hits
+    broad = hits >= max(20, BROAD * len(good))
+    clean = n_bad <= np.where(broad, WEAK, NARROW) * ratio * hits
     # one in 2^20 or less that so many documents of the class would hold it, were it not telling
     telling = np.log2((len(good) + len(bad)) / max(1, len(good))) * hits
     rare = telling >= 20
     left = np.ones(len(good), bool)
     while left.any():
-        gain = (good[left].sum(axis=0) - n_bad / (WEAK * max(ratio, 0.1))) * (clean & (telling >= 14))
+        gain = (good[left].sum(axis=0) - 10 / max(ratio, 0.1) * n_bad) * (clean & (telling >= 14))
         k = int(gain.argmax()) if len(gain) else -1
         if k < 0 or gain[k] < max(3, 0.002 * len(good)):
             break
         chosen.append(k)
         left &= ~good[:, k]
-    taken = set(chosen) | set(np.flatnonzero(clean & rare).tolist())
+    # many documents must hold it: the words of a few near copies are as clean and say nothing
+    many = hits >= max(20, MANY * len(good))
+    taken = set(chosen) | set(np.flatnonzero(clean & rare & many).tolist())
     return {candidates[k]: bool(n_bad[k] <= STRONG * ratio * hits[k]) for k in sorted(taken)}
 
 
