@@ -41,6 +41,8 @@ WORDS = 4096
 DICTIONARY = 200_000
 ROUNDS = 14
 _CELLS = 1 << 21
+_HELD = 1 << 23
+_TASK_TOKENS = 1 << 23
 _FLUSH = 250_000
 _TOGETHER = 1 << 16
 
@@ -239,14 +241,28 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), "<u2") for x in column]
 
 
+def _gathered(groups, most: int = _HELD):
+    """Lists of at least `most` symbols, the last of fewer: long sequences of many Arrow batches go side by side."""
+    held: list[np.ndarray] = []
+    size = 0
+    for group in groups:
+        held += group
+        size += sum(map(len, group))
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def baum_welch(encoded: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected counts over all encoded sequences, added across partitions."""
     names = [f"v{k}" for k in range(STATES)]
 
     def run(batches):
         total = Expected(model.symbols)
-        for b in batches:
-            for batch in batches_of(_sequences(b.column(0))):
+        for sequences in _gathered(_sequences(b.column(0)) for b in batches):
+            for batch in batches_of(sequences):
                 total.add(model, batch)
         for kind, place, values in total.rows():
             yield pa.record_batch([pa.array(kind, pa.int32()), pa.array(place, pa.int32()), *map(pa.array, values.T.copy())], ["kind", "place", *names])
@@ -322,7 +338,9 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     encoded = materialise(encoded, "encoded")
 
     model = Model.first(share) if n_docs else Model.uniform(len(share))
-    learn = encoded.where("not held_out")
+    # a task takes some millions of tokens, as one step of its longest sequence costs the same for one sequence and for many
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n_train // _TASK_TOKENS))
+    learn = encoded.where("not held_out").coalesce(tasks)
     for _ in range(rounds if n_docs else 0):
         model = Model.of_counts(*baum_welch(learn, model), share)
 

@@ -590,3 +590,21 @@ def test_pipeline(spark, tmp_path):
     unlabelled = more.withColumn("lang", F.lit(None).cast("string"))  # nothing to learn a language from: what has a letter stays
     assert corpus_pipeline.stage_langid(spark, unlabelled, str(tmp_path)).count() == 42
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(range(40))
+
+
+def test_hmm_gathers_whole_sequences():
+    groups = [[np.zeros(n, "<u2") for n in sizes] for sizes in ([5, 1], [], [2, 2], [9], [1])]
+    got = list(hmm_lm._gathered(groups, 8))
+    assert [[len(x) for x in g] for g in got] == [[5, 1, 2, 2], [9], [1]]
+    assert list(hmm_lm._gathered([], 8)) == []
+
+
+def test_hmm_counts_do_not_depend_on_gathering(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(bytes(rng.integers(0, 9, int(n)).astype("<u2").tobytes()),) for n in (1, 4, 300, 2, 7, 7)]
+    model = hmm_lm.Model.first(np.full(9, 1 / 9))
+    frame = spark.createDataFrame(rows, "symbols binary")
+    want = hmm_lm.baum_welch(frame.repartition(4), model)
+    monkeypatch.setattr(hmm_lm, "_HELD", 3)
+    for a, b in zip(want, hmm_lm.baum_welch(frame.coalesce(1), model)):
+        np.testing.assert_allclose(a, b, rtol=1e-4, atol=1e-6)
