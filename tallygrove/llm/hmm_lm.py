@@ -40,7 +40,7 @@ SUFFIXES = 256
 WORDS = 4096
 DICTIONARY = 200_000
 ROUNDS = 14
-_CELLS = 1 << 21
+_CELLS = 1_500_000
 _HELD = 1 << 23
 _TASK_TOKENS = 1 << 23
 _FLUSH = 250_000
@@ -169,8 +169,8 @@ def batches_of(sequences: list[np.ndarray], most: int = _CELLS):
 def forward(model: Model, batch: Batch, kind=np.float64, each=None) -> np.ndarray:
     """Scaled forward recursion: log10 likelihood of each sequence of the batch, in the order of own.
 
-    each, if given, gets for every place the symbols, the states' shares, the emissions and
-    the scales' reciprocals, K x live.
+    each, if given, gets for every place the symbols, the states' shares (K x live) and the
+    scales' reciprocals.
     """
     emit, move = np.ascontiguousarray(model.emit.T, kind), np.ascontiguousarray(model.move.T, kind)
     out = np.zeros(len(batch.own))
@@ -186,7 +186,7 @@ def forward(model: Model, batch: Batch, kind=np.float64, each=None) -> np.ndarra
         inverse = 1 / now.sum(axis=0)
         now *= inverse
         if each:
-            each(symbols, now, emitted, inverse)
+            each(symbols, now, inverse)
         else:
             out[: len(symbols)] -= np.log10(inverse)
     return out
@@ -201,13 +201,13 @@ class Expected:
     def add(self, model: Model, batch: Batch) -> None:
         steps: list[tuple] = []
         forward(model, batch, np.float32, lambda *step: steps.append(step))
-        move = model.move.astype(np.float32)
+        move, emit = model.move.astype(np.float32), np.ascontiguousarray(model.emit.T, np.float32)
         moved = np.zeros((STATES, STATES))
         back = np.ones_like(steps[-1][1])
         wait: list[tuple] = []
         size = 0
         while steps:
-            symbols, now, emitted, inverse = steps.pop()
+            symbols, now, inverse = steps.pop()
             gamma = now * back
             wait.append((symbols, gamma))
             size += len(symbols)
@@ -215,6 +215,8 @@ class Expected:
                 self._emitted(wait)
                 wait, size = [], 0
             if steps:
+                # looked up again: kept from the way forward, it would nearly double the memory
+                emitted = emit.take(symbols, axis=1)
                 emitted *= back
                 emitted *= inverse
                 before = steps[-1][1]
