@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from . import langid, quality, toxicity
 from ._common import crc_mod, read_table
+from .clustering import cluster_vectors
 from .exact_dedup import exact_dedup
 from .hmm_lm import score_documents
 from .html_extract import extract
+from .lexical import search
 from .line_dedup import MAX_RATIO, MIN_PAGES, drop_boilerplate
 from .packing import pack_documents
 from .pieces import decode_documents, encode_documents
 from .simhash import near_dedup
+from .topk import top_k
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +94,18 @@ def op10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
@@ -102,8 +117,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_html_extract": op9_html_extract,
     "op10_hmm_lm": op10_hmm_lm,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_exact_top_k": op13_exact_top_k,
 }
 
+
+def _lloyd_sql(k: int = 8, rounds: int = 10) -> str:
+    """Rounds of assignment and floored means, one after the other."""
+    steps = [
+        """w AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+               FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS k, v AS c FROM w QUALIFY k < {k})",
+    ]
+    for i in range(rounds + 1):
+        distance = "list_sum(list_transform(list_zip(v, c), lambda t: (t[1] - t[2]) * (t[1] - t[2])))::BIGINT"
+        steps.append(f"d{i} AS MATERIALIZED (SELECT r, vec_id, v, k, {distance} AS d FROM w CROSS JOIN c{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)")
+        if i < rounds:
+            parts = f"SELECT k, j, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM d{i}) GROUP BY k, j"
+            mean = "(s - (((s % n) + n) % n)) // n"
+            means = f"SELECT k, list({mean} ORDER BY j) AS c FROM ({parts}) GROUP BY k"
+            steps.append(f"c{i + 1} AS MATERIALIZED (SELECT k, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN ({means}) m USING (k))")
+    last = f"d{rounds}"
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, k::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+               (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM {last} JOIN c{rounds} USING (k)
+    """
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -124,4 +166,27 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(array_to_string(kept, chr(10)), '') AS text
         FROM d LEFT JOIN k USING (r)
     """,
+    "op11_centroid_clustering": _lloyd_sql(),
+    "op12_ranked_search": r"""
+        WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS own FROM documents),
+        d AS (SELECT r, doc_id, len(own) AS n, own FROM t WHERE len(own) > 0),
+        s AS (SELECT count(*) AS nd, sum(n)::BIGINT AS l FROM d),
+        p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(own) AS term FROM d) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+        q AS (SELECT DISTINCT i, item_id, term FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+        f AS (SELECT i, item_id, d.r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l))))::BIGINT AS score
+              FROM q JOIN p USING (term) JOIN w USING (term) JOIN d ON d.r = p.r CROSS JOIN s GROUP BY ALL)
+        SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+        FROM f WHERE score > 0 QUALIFY rank <= 10
+    """,
+    "op13_exact_top_k": """
+        WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+                   FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, q.r, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda t: t[1] * t[2])), 0)::BIGINT AS score
+              FROM v q JOIN v c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+        SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 5
+    """,
 }
