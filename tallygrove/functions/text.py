@@ -3,37 +3,78 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _folding() -> tuple[str, str]:
-    """Letters of the Latin blocks whose compatibility decomposition is one ASCII letter and marks, and those letters; đ is d."""
-    pairs = {"đ": "d", "Đ": "D"}
-    for c in map(chr, (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))):
-        plain = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
-        if len(plain) == 1 and plain.isalpha():
-            pairs[c] = plain
-    return "".join(pairs), "".join(pairs.values())
+def _decompositions() -> tuple[dict[str, str], dict[str, str]]:
+    """By Unicode's rule: what ASCII is left of each character's compatibility decomposition, and of its canonical one without marks.
 
-
-MARKED, PLAIN = _folding()
+    The first leaves out characters of which nothing is left, the second those that do not
+    change or fall into several letters (Hangul syllables, some Indic vowels), which stay
+    composed. đ has no decomposition and counts as d.
+    """
+    folded, bare = {}, {}
+    for code in (*range(0x80, 0xD800), *range(0xE000, 0x20000), *range(0x2F800, 0x2FA20)):
+        c = chr(code)
+        if (plain := unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()) != "":
+            folded[c] = plain
+        apart = unicodedata.normalize("NFD", c)
+        kept = "".join(x for x in apart if unicodedata.category(x) != "Mn")
+        if len(kept) < 2 and kept != c:
+            bare[c] = kept
+    for c, d in (("đ", "d"), ("Đ", "D")):
+        folded[c] = bare[c] = d
+    return folded, bare
+
+
+def character_class(characters: Iterable[str]) -> str:
+    """A regular expression's class of these characters, as ranges."""
+    spans: list[list[int]] = []
+    for code in sorted(map(ord, characters)):
+        if spans and spans[-1][1] == code - 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "[" + "".join(chr(x) if x == y else f"{chr(x)}-{chr(y)}" for x, y in spans) + "]"
+
+
+FOLDED, _BARE = _decompositions()
+_MARKS = character_class(c for c, p in _BARE.items() if not p)
+_UNMARKED = {c: p for c, p in _BARE.items() if p}
+#: Characters that become one, and what they become.
+MARKED, PLAIN = "".join(c for c, p in FOLDED.items() if len(p) == 1), "".join(p for p in FOLDED.values() if len(p) == 1)
+#: Characters that become several: ligatures, fractions, digraphs, abbreviations.
+SEVERAL = {c: p for c, p in FOLDED.items() if len(p) > 1}
+_SEVERAL_CLASS = character_class(SEVERAL)
+#: Neither stands in a decomposition.
+_PAIR, _ITEM = "\x01", "\x02"
+_SEVERAL_MAP = _ITEM.join(c + _PAIR + p for c, p in SEVERAL.items())
 
 
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def spelled_out(c: Column) -> Column:
+    """A text with each character that stands for several in their place; a text without any is looked through once."""
+    t = text_or_empty(c)
+    table = F.str_to_map(F.lit(_SEVERAL_MAP), F.lit(_ITEM), F.lit(_PAIR))
+    odd = F.array_distinct(F.regexp_extract_all(t, F.lit(_SEVERAL_CLASS), F.lit(0)))
+    return F.when(t.rlike(_SEVERAL_CLASS), F.reduce(odd, t, lambda out, x: F.replace(out, x, table[x]))).otherwise(t)
+
+
 def fold(c: Column) -> Column:
-    """Lower-cased without diacritics; what is still not ASCII is dropped."""
-    return F.lower(F.regexp_replace(F.translate(text_or_empty(c), MARKED, PLAIN), r"[^\x00-\x7F]", ""))
+    """Lower-cased ASCII of the compatibility decomposition; what has none is dropped."""
+    return F.lower(F.regexp_replace(F.translate(spelled_out(c), MARKED, PLAIN), r"[^\x00-\x7F]", ""))
 
 
 def fold_keeping(c: Column) -> Column:
-    """As fold, but other non-ASCII characters stay; combining marks go."""
-    return F.lower(F.regexp_replace(F.translate(text_or_empty(c), MARKED, PLAIN), r"\p{Mn}", ""))
+    """Lower-cased without combining marks; characters that are not ASCII stay."""
+    lower = F.lower(text_or_empty(c))
+    return F.regexp_replace(F.translate(lower, "".join(_UNMARKED), "".join(_UNMARKED.values())), _MARKS, "")
 
 
 def slugify(c: Column) -> Column:

@@ -103,7 +103,7 @@ def county_url(county: Column) -> Column:
 
 
 def city_url(county: Column, city: Column) -> Column:
-    return F.concat(county_url(county), F.coalesce(F.nullif(text.slugify(city), F.lit("")), F.lit("nepoznato-mjesto")), F.lit("/"))
+    return F.concat(county_url(county), F.coalesce(F.nullif(text.slugify(city), F.lit("")), F.lit("ostalo")), F.lit("/"))
 
 
 def type_url(kind: Column) -> Column:

@@ -39,7 +39,7 @@ def personal_data(items: DataFrame, pages: DataFrame, given_names: Sequence[str]
     fields = items.select(F.explode(F.array(*texts)).alias("t")).select("t.*")
     seen = pages.select(F.col("path").alias("place"), marts.visible_text(F.col("html")).alias("text"))
     hits = fields.unionByName(seen).select("place", F.explode(pii.scan(F.col("text"))).alias("h")).select("place", "h.kind", "h.hit")
-    names = items.select(F.col("item_key").alias("place"), F.explode(pii.residual_names(given_names)("description")).alias("hit"))
+    names = items.select(F.col("item_key").alias("place"), F.explode(pii.residual_names(F.col("description"), given_names)).alias("hit"))
     return hits.where(F.lower(F.trim("hit")) != own_address.lower()).unionByName(names.select("place", F.lit("name").alias("kind"), "hit"))
 
 

@@ -102,8 +102,21 @@ def dedupe_first(spark: SparkSession, sf: str) -> DataFrame:
     return linking.first_by_key(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], [F.col(c) for c in _REST])
 
 
-_FOLD = f"lower(regexp_replace(translate(coalesce(%s, ''), '{text.MARKED}', '{text.PLAIN}'), '[^\\x00-\\x7F]', '', 'g'))"
-_PRINT = f"substr(sha1(coalesce(source, '') || '|' || trim(regexp_replace({_FOLD % 'text'}, '[\\s.,;:()\\[\\]\\-/]+', ' ', 'g'))), 1, 16)"
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _fold_sql(column: str) -> str:
+    """SQL: the compatibility decomposition's ASCII, lower-cased; characters that become several are replaced one by one."""
+    table = "MAP {" + ", ".join(f"{_quoted(c)}: {_quoted(p)}" for c, p in text.SEVERAL.items()) + "}"
+    odd = f"list_distinct(regexp_extract_all(coalesce({column}, ''), {_quoted(text.character_class(text.SEVERAL))}))"
+    spelled = f"list_reduce({odd}, lambda acc, x: replace(acc, x, {table}[x]), coalesce({column}, ''))"
+    return f"lower(regexp_replace(translate({spelled}, {_quoted(text.MARKED)}, {_quoted(text.PLAIN)}), '[^\\x00-\\x7F]', '', 'g'))"
+
+
+_PRINT = f"substr(sha1(coalesce(source, '') || '|' || trim(regexp_replace({_fold_sql('text')}, '[\\s.,;:()\\[\\]\\-/]+', ' ', 'g'))), 1, 16)"
 
 
 def _linked(spark: SparkSession, sf: str) -> DataFrame:
@@ -341,19 +354,47 @@ def pii_summary(spark: SparkSession, sf: str) -> DataFrame:
     return _scan(spark, sf).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _redacted_sql() -> str:
-    now = "coalesce(text, '')"
+def _tidy_sql(now: str) -> str:
+    """SQL: runs of spaces as one, none at the ends, and of two commas or semicolons the second."""
+    ends = f"regexp_replace(regexp_replace({now}, '{pii.SPACE}{{2,}}', ' ', 'g'), '^{pii.SPACE}+|{pii.SPACE}+$', '', 'g')"
+    return f"regexp_replace({ends}, '[,;]{pii.SPACE}*([,;])', '\\1', 'g')"
+
+
+def _redacted_sql(now: str = "coalesce(text, '')") -> str:
     for v in _GENERAL.values():
         now = f"regexp_replace({now}, '{v}', '[uklonjeno]', 'g')"
-    return f"SELECT doc_id, md5(trim(regexp_replace(regexp_replace({now}, '[ \\t]{{2,}}', ' ', 'g'), '[ \\t\\n\\f\\r\\v]+([,.;])', '\\1', 'g'), ' ')) AS redacted_md5 FROM documents"
+    return now
 
 
-@query(_redacted_sql())
+@query(f"SELECT doc_id, md5({_tidy_sql(_redacted_sql())}) AS redacted_md5 FROM documents")
 def pii_redact(spark: SparkSession, sf: str) -> DataFrame:
-    done = pii.redact(F.col("text"), pii.GENERAL, roles=False)
+    done = pii.redact(F.col("text"), pii.GENERAL, mask="[uklonjeno]", roles=False, given_names=())
     return table(spark, sf, "documents").select("doc_id", F.md5(done["text"].cast("binary")).alias("redacted_md5"))
 
 
+#: A name as it stands in a text and what must stand there afterwards: declined, in capitals, with hyphens; streets, house numbers and companies stay.
+_PEOPLE = [
+    ("Nekretnina Ivana Horvata", "Nekretnina #", 1), ("IVAN HORVAT", "#", 1), ("Božidaru Magovcu", "#", 1), ("Mariji Ani Kovač i Marku Kralju", "# i #", 2), ("ulica Ivana Gorana Kovačića", "ulica Ivana Gorana Kovačića", 0),
+    ("Ante Starčevića 12b", "Ante Starčevića 12b", 0), ("Zlatko Horvat d.o.o.", "Zlatko Horvat d.o.o.", 0), ("ŽELJKA ŠUKER-PERIĆ", "#", 1), ("Ana-Marija Novak", "#", 1), ("grad Zagreb i Marko", "grad Zagreb i Marko", 0), ("Krešimirom Petrom Novakom Drugim", "# Drugim", 1),
+]
+
+
+def _people(k: int) -> str:
+    return "CASE coalesce(doc_id, 0) % {} {} END".format(len(_PEOPLE), " ".join(f"WHEN {i} THEN {_quoted(str(row[k]))}" for i, row in enumerate(_PEOPLE)))
+
+
+@query(f"""WITH d AS (SELECT doc_id, lower(coalesce(text, '')) AS t, 1 + coalesce(doc_id, 0) % 7 AS p, {_people(1)} AS told, {_people(2)}::INTEGER AS n_names FROM documents),
+    w AS (SELECT *, string_split(t, ' ') AS w FROM d),
+    x AS (SELECT doc_id, n_names, told, array_to_string(list_concat(w[:p], ['(' || chr(1) || '),'], w[p + 1:]), ' ') AS t FROM w)
+    SELECT doc_id, n_names, md5({_tidy_sql("replace(" + _redacted_sql('t') + ", chr(1), replace(told, '#', '[uklonjeno]'))")}) AS redacted_md5 FROM x""")
+def names_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Names planted in lower-cased documents at places by their id; what the gazetteer removes is counted as a kind of its own."""
+    d = table(spark, sf, "documents").select("doc_id", F.split(F.lower(F.coalesce("text", F.lit(""))), " ").alias("w"), (F.lit(1) + F.coalesce("doc_id", F.lit(0)) % 7).cast("int").alias("p"), F.expr(_people(0)).alias("name"))
+    planted = F.array_join(F.concat(F.slice("w", 1, F.col("p")), F.array(F.concat(F.lit("("), "name", F.lit("),"))), F.slice("w", F.col("p") + 1, F.size("w"))), " ")
+    done = d.select("doc_id", pii.redact(planted, pii.GENERAL, mask="[uklonjeno]").alias("r"))
+    return done.select("doc_id", F.coalesce(F.col("r.removed")["person_name_gazetteer"], F.lit(0)).alias("n_names"), F.md5(F.col("r.text").cast("binary")).alias("redacted_md5"))
+
+
 @query(r"""SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script.*?</script>|<style.*?</style>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g'), ' ')) AS visible_md5 FROM pages""")
 def html_visible(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.md5(marts.visible_text(F.col("html")).cast("binary")).alias("visible_md5"))
@@ -425,7 +466,7 @@ def county_choice(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""SELECT doc_id AS text_id, arg_max(w, (len(w), w)) AS name FROM (SELECT doc_id, w FROM documents, (SELECT unnest(['and', 'the', 'with by', 'for an', 'que la', 'und die', 'de la', 'para que la', 'of the and the of']) AS w)
-    WHERE contains(' ' || trim(regexp_replace(lower(regexp_replace(translate(text, '""" + text.MARKED + "', '" + text.PLAIN + r"""'), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', ' ', 'g'), ' ') || ' ', ' ' || w || ' ')) GROUP BY 1""")
+    WHERE contains(' ' || trim(regexp_replace(""" + _fold_sql("text") + r""", '[^a-z0-9]+', ' ', 'g'), ' ') || ' ', ' ' || w || ' ')) GROUP BY 1""")
 def longest_mention(spark: SparkSession, sf: str) -> DataFrame:
     names = spark.createDataFrame([(w,) for w in ("and", "the", "with by", "for an", "que la", "und die", "de la", "para que la", "of the and the of")], "name string")
     return location.longest_mention(table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text"), names)

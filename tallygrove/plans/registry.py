@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.functions import classify, parse, pii, text
 from tallygrove.operators import cascade, items, marts
-from tallygrove.plans.queries import _OFFERS, _PCT, _STATUS, _offers, _r2, _status, query, table
+from tallygrove.plans.queries import _OFFERS, _PCT, _STATUS, _fold_sql, _offers, _r2, _status, query, table
 
 
 def _cases(key: str, values: list[str | None]) -> str:
@@ -19,11 +21,33 @@ def _cases(key: str, values: list[str | None]) -> str:
 _NAMES = ["Győr", "Łódź", "Dvořák", "Šibenik", "ĐAKOVO", "naïve ﬁ"]
 
 
-@query(f"SELECT p_partkey, {_cases('p_partkey', ['gyor', 'odz', 'dvorak', 'sibenik', 'dakovo', 'naive '])} AS folded FROM part")
+@query(f"SELECT p_partkey, {_cases('p_partkey', ['gyor', 'odz', 'dvorak', 'sibenik', 'dakovo', 'naive fi'])} AS folded FROM part")
 def fold_names(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", text.fold(F.expr(_cases("p_partkey", _NAMES))).alias("folded"))
 
 
+#: Characters of the Latin, sign, number, enclosed and compatibility blocks.
+_BLOCKS = [chr(c) for a, b in ((0xA0, 0x250), (0x1E00, 0x1F00), (0x2000, 0x2500), (0x3200, 0x3400), (0xFB00, 0xFB07), (0xFF01, 0xFF5F)) for c in range(a, b)]
+
+
+def _block_list(of) -> str:
+    return "[" + ", ".join("'" + of(c).replace("'", "''") + "'" for c in _BLOCKS) + "]"
+
+
+def _nfkd(c: str) -> str:
+    """What Unicode's rule gives for one character."""
+    return unicodedata.normalize("NFKD", {"đ": "d", "Đ": "D"}.get(c, c)).encode("ascii", "ignore").decode().lower()
+
+
+@query(f"""WITH b AS MATERIALIZED (SELECT {_block_list(lambda c: c)} AS given, {_block_list(_nfkd)} AS want)
+    SELECT doc_id, md5(replace({_fold_sql('text')}, ' ', want[1 + coalesce(doc_id, 0) % {len(_BLOCKS)}] || ' ')) AS folded_md5 FROM documents, b""")
+def fold_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document folded, with a character of the blocks before each of its spaces: the next document has the next character."""
+    given = F.substring(F.lit("".join(_BLOCKS)), F.lit(1) + (F.coalesce("doc_id", F.lit(0)) % len(_BLOCKS)).cast("int"), F.lit(1))
+    marked = F.replace(F.coalesce("text", F.lit("")), F.lit(" "), F.concat(given, F.lit(" ")))
+    return table(spark, sf, "documents").select("doc_id", F.md5(text.fold(marked).cast("binary")).alias("folded_md5"))
+
+
 #: description, kind, type
 _TYPED = [
     ("Jednosobni stan", "nekretnina", "stan"), ("Stan", "nekretnina", "stan"), ("Prodaje se stan", "nekretnina", "stan"), ("nestan x", "nekretnina", "ostalo"),
@@ -40,9 +64,10 @@ def property_types(spark: SparkSession, sf: str) -> DataFrame:
 
 #: text, text without personal data
 _PRIVATE = [
-    ("ovršenik Ivan Horvat iz Splita, Ilica 5, stan", "ovršenik [uklonjeno], stan"), ("Pero Perić, vl. obrta Val", "[uklonjeno], vl. obrta Val"),
-    ("OIB: 12345678901 i mob. 091 123 4567", "[uklonjeno] i [uklonjeno]"), ("mail a.b@mail.example.com, kraj", "mail [uklonjeno], kraj"),
-    ("račun HR1212345678901234567.", "račun [uklonjeno]."), ("kuća u cvijeću", "kuća u cvijeću"), ("broj 12345678901, dalje", "broj [uklonjeno], dalje"),
+    ("ovršenik Ivan Horvat iz Splita, Ilica 5, stan", "ovršenik [ime uklonjeno], stan"), ("Pero Perić, vl. obrta Val", "[ime uklonjeno], vl. obrta Val"),
+    ("OIB: 12345678901 i mob. 091 123 4567", "[OIB uklonjen] i [telefon uklonjen]"), ("mail a.b@mail.example.com, kraj", "mail [e-mail uklonjen], kraj"),
+    ("račun HR1212345678901234567.", "račun [IBAN uklonjen]."), ("kuća u cvijeću", "kuća u cvijeću"), ("broj 12345678901, dalje", "broj [OIB uklonjen], dalje"),
+    ("IVAN HORVAT, kuća", "[ime uklonjeno], kuća"), ("Nekretnina Ivana Horvata u selu", "Nekretnina [ime uklonjeno] u selu"), ("kuća, ; vrt", "kuća; vrt"),
 ]
 
 
@@ -107,7 +132,7 @@ _PLACE = "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'Vela Luka' END"
 @query(f"""WITH t AS (SELECT o_orderkey, {_cases('o_orderkey', [r[2] for r in _SOLD])} AS kind, {_cases('o_orderkey', [r[3] for r in _SOLD])} AS label, CAST({_AREA} AS INTEGER) AS area, {_PLACE} AS city, {_STATUS} AS status,
     date_diff('day', DATE '1998-06-15', CAST(o_orderdate + INTERVAL 30 DAY AS DATE)) AS days FROM orders)
     SELECT o_orderkey, label || CASE area WHEN 20000 THEN ' 20 000 m²' WHEN 80 THEN ' 80 m²' WHEN 120 THEN ' 120 m²' WHEN 12 THEN ' 12 m²' ELSE '' END || ', ' || coalesce(city, 'Hrvatska') AS card_title,
-    CASE WHEN kind = 'pokretnina' THEN '/pokretnine/' WHEN city IS NULL THEN '/nekretnine/nepoznata-lokacija/nepoznato-mjesto/' ELSE '/nekretnine/dubrovacko-neretvanska-zupanija/vela-luka/' END AS tree,
+    CASE WHEN kind = 'pokretnina' THEN '/pokretnine/' WHEN city IS NULL THEN '/nekretnine/nepoznata-lokacija/ostalo/' ELSE '/nekretnine/dubrovacko-neretvanska-zupanija/vela-luka/' END AS tree,
     CASE WHEN status IN ('najavljeno', 'u_tijeku') AND days BETWEEN 0 AND 60 THEN days END::INTEGER AS days_left FROM t""")
 def items_decorated(spark: SparkSession, sf: str) -> DataFrame:
     """Titles, url trees and days left."""

@@ -79,10 +79,51 @@ def test_redaction(spark):
 
 
 def test_residual_names(spark):
-    names = pii.residual_names(["Ivan", "Marko", "Ana"])
+    names = lambda c: pii.residual_names(c, ["Ivan", "Marko", "Ana"])
     assert many(spark, names, ["Nekretnina Ivana Horvata u selu", "ulica Ivana Horvata 5", "kuća", None]) == [["Ivana Horvata"], [], [], []]
 
 
+#: text, names that go
+PEOPLE = [
+    ("Nekretnina Ivana Horvata u selu", ["Ivana Horvata"]), ("IVAN HORVAT, kuća", ["IVAN HORVAT"]), ("Marku Kraljeviću i Mariji Novak", ["Marku Kraljeviću", "Mariji Novak"]), ("ŽELJKA ŠUKER iz", ["ŽELJKA ŠUKER"]),
+    ("Ana-Marija Horvat Perić-Babić i drugi", ["Ana-Marija Horvat Perić-Babić"]), ("Josip Juraj Strossmayer Drugi", ["Josip Juraj Strossmayer"]), ("BOŽIDAROM Magovcem", ["BOŽIDAROM Magovcem"]), ("Ivan  Horvat", ["Ivan  Horvat"]),
+    ("ulica Ivana Gorana Kovačića, Split", []), ("na adresi Put Petra Svačića", []), ("trg Ante Starčevića", []), ("Ljudevita Gaja 8", []), ("Ante Starčevića 12b", []), ("Ivan Horvat d.o.o.", []),
+    ("marko Marković", []), ("Anabela Kovač", []), ("Split Ivan", []), ("Marko", []), ("", []),
+]
+
+
+def test_gazetteer(spark):
+    assert many(spark, pii.residual_names, [t for t, _ in PEOPLE]) == [n for _, n in PEOPLE]
+    done = many(spark, lambda c: pii.redact(c), [t for t, _ in PEOPLE])
+    assert [d["removed"].get("person_name_gazetteer", 0) for d in done] == [len(n) for _, n in PEOPLE]
+    assert many(spark, pii.residual_names, [d["text"] for d in done]) == [[] for _ in PEOPLE]
+
+
+def test_gazetteer_every_form(spark):
+    """Each given name in each of its forms, by the forms' own rule and not by the pattern."""
+    ends = ["om", "em", "ova", "eva", "inu", "in", "a", "u", "e", "i", "o"]
+    forms = [n.capitalize() + e for n in pii.GIVEN_NAMES for e in ["", *ends]] + [n[:-1].upper() + e.upper() for n in pii.GIVEN_NAMES if n[-1] in "aeo" for e in ends]
+    got = many(spark, pii.residual_names, [f"kod {f} Šimić, x" for f in forms])
+    assert [f for f, g in zip(forms, got) if g != [f"{f} Šimić"]] == []
+
+
+def test_tidy(spark):
+    assert many(spark, lambda c: pii.redact(c)["text"], ["  a ,, b;\u00a0, c  \n d ", "a . b"]) == ["a , b, c d", "a . b"]
+    assert many(spark, lambda c: pii.redact(c)["removed"], ["dužnik Pero Perić iz Splita, Ilica 5, OIB 12345678901"]) == [{"person_name": 1, "person_address": 1, "oib_labelled": 1}]
+
+
+def test_fold_by_rule(spark):
+    """All characters of the basic plane: the ASCII of the compatibility decomposition, and letters without marks."""
+    import unicodedata
+
+    chars = [chr(c) for c in range(0x20, 0x10000) if not 0xD800 <= c < 0xE000]
+    ascii_of = lambda c: unicodedata.normalize("NFKD", {"đ": "d", "Đ": "D"}.get(c, c)).encode("ascii", "ignore").decode().lower()
+    rows = spark.createDataFrame([(c, f"aB{c}Ž{c}") for c in chars], "c string, t string")
+    assert [r["c"] for r in rows.select("c", text.fold(F.col("t")).alias("f")).collect() if r["f"] != f"ab{ascii_of(r['c'])}z{ascii_of(r['c'])}"] == []
+    assert many(spark, text.fold, ["m²", "½ ha", "ﬁnale Ǆ", "１２"]) == ["m2", "12 ha", "finale dz", "12"]
+    assert many(spark, text.fold_keeping, ["Ćevapi đak", "м²й", "Łódź", "ﬁ"]) == ["cevapi dak", "м²и", "łodz", "ﬁ"]
+
+
 @pytest.mark.parametrize("raw, want", [("Svakog četvrtka od 13,00 do 14,00 sati", True), ("po dogovoru, tel. 091 123 4567", True), ("", False)])
 def test_viewing(spark, raw, want):
     got = many(spark, pii.viewing_window, [raw])[0]
