@@ -1,6 +1,8 @@
 """State versions and logs, the twelve checks with planted faults, register build and proposals."""
 
 import datetime as dt
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
@@ -38,6 +40,75 @@ def test_versions(spark, tmp_path):
     assert rows(state.keys_compared(today, state.read_items(spark, root), "item_key")) == [("a", "retained"), ("c", "missing")]
 
 
+def test_two_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    """Both have read the same version when both commit: one is overtaken, merges anew, and neither batch is lost."""
+    root = f"file://{tmp_path}/state"
+    frame = lambda *keys: spark.createDataFrame([(k, 1.0) for k in keys], "item_key string, price double")
+    state.upsert(spark, root, frame("a"), "item_key", F.lit(1))
+    both, plain, met = threading.Barrier(2, timeout=60), state.put_if_absent, threading.local()
+
+    def together(spark, path, text):
+        if not getattr(met, "once", False):
+            met.once = True
+            both.wait()
+        return plain(spark, path, text)
+
+    monkeypatch.setattr(state, "put_if_absent", together)
+    with ThreadPoolExecutor(2) as pool:
+        got = list(pool.map(lambda k: state.upsert(spark, root, frame("a", k), "item_key", F.lit(2)), "bc"))
+    assert sorted(got) == [2, 3]
+    assert rows(state.read_items(spark, root).select("item_key", "times_seen")) == [("a", 3), ("b", 1), ("c", 1)]
+    now = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
+    met = threading.local()
+    with ThreadPoolExecutor(2) as pool:
+        assert sorted(pool.map(lambda k: state.log_run(spark, root, {"sha256": k}, now, now), "bc")) == [1, 2]
+    assert rows(state.runs(spark, root).select("run_id")) == [(1,), (2,)]
+    assert len(list((tmp_path / "state/items").iterdir())) == 3 and not list((tmp_path / "state/commits").glob(".*.json.*"))
+
+
+def test_overtaken_for_good(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}/state"
+    monkeypatch.setattr(state, "put_if_absent", lambda *x: False)
+    with pytest.raises(state.Conflict):
+        state.upsert(spark, root, spark.createDataFrame([("a",)], "item_key string"), "item_key", F.lit(1), attempts=2)
+    assert state.read_items(spark, root) is None
+
+
+def test_put_if_absent(spark, tmp_path):
+    at = f"file://{tmp_path}/deep/x.json"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda k: state.put_if_absent(spark, at, str(k) * 100), range(8)))
+    assert won.count(True) == 1
+    assert (tmp_path / "deep/x.json").read_text() == str(won.index(True)) * 100
+
+
+def test_logs_are_typed(spark, tmp_path):
+    root = f"file://{tmp_path}/state"
+    state.init_schema(spark, root)
+    state.init_schema(spark, root)
+    assert state.table_counts(spark, root) == {"items": 0, "price_history": 0, "item_events": 0}
+    change = spark.createDataFrame([("a", "2024-01-01", "opening_price_eur", "5.00", "4.5", -10.0, "more")], "item_key string, snapshot_date string, field string, old_value string, new_value string, pct_change double, extra string")
+    state.record(change, root, "price_history", 1)
+    state.record(change, root, "price_history", 2)
+    state.record(change, root, "price_history", 2)
+    assert rows(state.read_log(spark, root, "price_history")) == [("a", dt.date(2024, 1, 1), "opening_price_eur", Decimal("5.00"), Decimal("4.50"), Decimal("-10.00"), k) for k in (1, 2)]
+    with pytest.raises(Exception, match="reason"):
+        state.record(change, root, "unresolved_locations", 1)
+    assert state.table_counts(spark, root)["price_history"] == 2
+    assert state.conform(spark.createDataFrame([], state.ITEMS), state.ITEMS).schema == spark.createDataFrame([], state.ITEMS).schema
+
+
+def test_counters_in_the_write(spark, tmp_path):
+    kinds = "status string, property_type string, county string, discount_pct decimal(7,2), discount_suspicious boolean, repeat_seq int"
+    made = [("u_tijeku", "stan", "A", Decimal("10.00"), False, 1), ("u_tijeku", "kuca", None, Decimal("20.01"), False, 2), (None, "stan", "B", Decimal("99.00"), True, 2), ("zavrseno", "x", "A", None, None, 3)]
+    counted = state.counters(["u_tijeku", "zavrseno"], ["stan", "kuca"], ["A", "B"])
+    version, flat = state.write_version(spark.createDataFrame(made, kinds), f"file://{tmp_path}/s", counted=counted)
+    assert version == 1 and state.summary(flat) == {
+        "items": 4, "avg_discount_pct": 15.01, "suspicious": 1, "repeat_groups": 2, "by_status": {"u_tijeku": 2, "Nepoznato": 1, "zavrseno": 1},
+        "by_type": {"stan": 2, "Nepoznato": 1, "kuca": 1}, "by_county": {"A": 2, "B": 1, "Nepoznato": 1},
+    }
+
+
 PAGE = '<html><head><title>{t}</title><meta name="description" content="{t} with a description that is long enough to pass"><link rel="canonical" href="https://x/"></head><body><h1>čaj</h1><p>{b}</p></body></html>'
 
 
