@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from tallygrove.functions.parse import distance_km
 from tallygrove.functions.text import fold, sorted_words, trim_at_stop_word
 from tallygrove.operators.checkpoints import checkpointed
-from tallygrove.operators.location import DOMINANCE, nearest, unanimous
+from tallygrove.operators.location import DOMINANCE, unanimous
+from tallygrove.operators.nearest import nearest
 
 # How a cadastral unit, a place, a land registry and a court are written, and words that end a unit's name.
 UNIT = r"(?<![\p{L}\d])(?:[Kk]\.?\s*[Oo]\.?|(?iu:katastarsk\p{L}+\s+op[cć]in\p{L}*))\s*:?\s*"

@@ -2,7 +2,7 @@
 
 Registers are small dimensions (settlements, cadastral units with points and counties),
 so every probe is a broadcast join whose size Spark checks against its threshold;
-distances are looked up over a grid of cells, never over all pairs.
+distances are looked up over cells (see nearest.py), never over all pairs.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallygrove.functions.parse import distance_km
 from tallygrove.functions.text import fold, sorted_words
 from tallygrove.operators.checkpoints import checkpointed
+from tallygrove.operators.nearest import nearest
 
 DOMINANCE = 20
 
@@ -64,58 +65,53 @@ def by_name(names: DataFrame, units: DataFrame) -> DataFrame:
     return found.join(best, ["name_id", "place"]).select("name_id", "unit_id").distinct()
 
 
-def _cells(lat: Column, lon: Column, size: float, around: bool) -> Column:
-    x, y = F.floor(lat / size), F.floor(lon / size)
-    if not around:
-        return F.array(F.struct(x.alias("x"), y.alias("y")))
-    step = F.sequence(F.lit(-1), F.lit(1))
-    return F.flatten(F.transform(step, lambda i: F.transform(step, lambda j: F.struct((x + i).alias("x"), (y + j).alias("y")))))
+def unanimous(near: DataFrame, assigned: DataFrame, k: int, nearest_km: float | None = None) -> DataFrame:
+    """(point_id, county) of points that have k near places, all of one county, the nearest within nearest_km. assigned: place_id, county."""
+    return _agreed(near.join(assigned, "place_id"), k, nearest_km)
 
 
-def nearest(points: DataFrame, places: DataFrame, k: int, within_km: float, lat_limit: float = 60.0) -> DataFrame:
-    """The k nearest places within a distance of each point: (point_id, place_id, km, rank).
+def _agreed(near: DataFrame, k: int, nearest_km: float | None) -> DataFrame:
+    votes = near.groupBy("point_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("county").alias("counties"), F.min("county").alias("county"), F.min("km").alias("km"))
+    close = F.lit(True) if nearest_km is None else F.col("km") <= nearest_km
+    return votes.where((F.col("n") == k) & (F.col("counties") == 1) & close).select("point_id", "county")
 
-    points: point_id, lat, lon; places: place_id, lat, lon. A place can only be in the
-    point's cell of a grid or one of the eight around it: a cell is as wide as the
-    distance at lat_limit, so both sides meet in an equi-join on the cell.
-    """
-    size = within_km / (111.0 * max(0.05, _cos(lat_limit)))
-    left = points.select("point_id", "lat", "lon", F.explode(_cells(F.col("lat"), F.col("lon"), size, True)).alias("cell"))
-    right = places.select("place_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), F.element_at(_cells(F.col("lat"), F.col("lon"), size, False), 1).alias("cell"))
-    met = left.join(right, "cell").withColumn("km", distance_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))).where(F.col("km") <= within_km)
-    order = Window.partitionBy("point_id").orderBy("km", "place_id")
-    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("point_id", "place_id", "km", "rank")
-
-
-def _cos(degrees: float) -> float:
-    import math
-
-    return math.cos(math.radians(degrees))
-
-
-def unanimous(near: DataFrame, assigned: DataFrame, k: int) -> DataFrame:
-    """The county of a point whose k nearest assigned places all share it. assigned: place_id, county."""
-    votes = near.join(assigned, "place_id").groupBy("point_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("county").alias("counties"), F.min("county").alias("county"))
-    return votes.where((F.col("n") == k) & (F.col("counties") == 1)).select("point_id", "county")
 
+def assign_counties(units: DataFrame, k: int = 5, nearest_km: float = 12.0, rounds: int | None = 5) -> DataFrame:
+    """Spread counties to units without one: a unit takes the county of its k nearest units that have one, if all agree and the nearest is near enough.
 
-def assign_counties(units: DataFrame, k: int = 5, within_km: float = 12.0, rounds: int = 5) -> DataFrame:
-    """Spread counties to units without one by unanimous neighbours, a few rounds, each from a frozen state.
+    Rounds read the state before them; without a number they go on until one changes
+    nothing. units: unit_id, lat, lon, county (null where unknown).
 
-    units: unit_id, lat, lon, county (null where unknown). Each round's state is
-    checkpointed in the cluster's shared folder.
+    A unit without a county keeps its k nearest known ones. After a round only the units just
+    assigned are places, and only those nearer than a unit's k-th are of interest to it, so
+    what is not beside them is not looked at again: neither searched nor asked anew.
     """
-    state = units
-    for _ in range(rounds):
-        known = state.where("county is not null").select(F.col("unit_id").alias("place_id"), "lat", "lon", "county")
-        open_points = state.where("county is null").select(F.col("unit_id").alias("point_id"), "lat", "lon")
-        found = unanimous(nearest(open_points, known, k, within_km), known.select("place_id", "county"), k)
-        found = found.select(F.col("point_id").alias("unit_id"), F.col("county").alias("new_county"))
-        found = checkpointed(found)
-        if found.isEmpty():
+    state = checkpointed(units.select("unit_id", "lat", "lon", "county"))
+    spot = lambda df, name: df.select(F.col("unit_id").alias(name), "lat", "lon")
+    known = state.where("county is not null")
+    near = checkpointed(nearest(spot(state.where("county is null"), "point_id"), spot(known, "place_id"), k).drop("rank").join(known.select(F.col("unit_id").alias("place_id"), "county"), "place_id"))
+    asked, found, done = near, None, 0
+    while rounds is None or done < rounds:
+        done += 1
+        added = checkpointed(_agreed(asked, k, nearest_km))
+        if added.isEmpty():
             break
-        state = checkpointed(state.join(found, "unit_id", "left").withColumn("county", F.coalesce("county", "new_county")).drop("new_county"))
-    return state
+        found = added if found is None else checkpointed(found.unionByName(added))
+        near = near.join(added.select("point_id"), "point_id", "left_anti")
+        new = added.withColumnRenamed("point_id", "unit_id").join(state.drop("county"), "unit_id")
+        farthest = near.groupBy("point_id").agg(F.when(F.count(F.lit(1)) == k, F.max("km")).alias("reach"))
+        open_units = spot(state.where("county is null"), "point_id").join(found.select("point_id"), "point_id", "left_anti").join(farthest, "point_id", "left")
+        fresh = nearest(open_units, spot(new, "place_id"), k).drop("rank").join(new.select(F.col("unit_id").alias("place_id"), "county"), "place_id")
+        fresh = checkpointed(fresh)
+        beside = fresh.select("point_id").distinct()
+        order = Window.partitionBy("point_id").orderBy("km", "place_id")
+        asked = near.join(beside, "point_id", "left_semi").unionByName(fresh).withColumn("__i", F.row_number().over(order)).where(F.col("__i") <= k).drop("__i")
+        asked = checkpointed(asked)
+        near = checkpointed(near.join(beside, "point_id", "left_anti").unionByName(asked))
+    if found is None:
+        return state
+    told = found.select(F.col("point_id").alias("unit_id"), F.col("county").alias("__found"))
+    return state.join(told, "unit_id", "left").withColumn("county", F.coalesce("county", "__found")).drop("__found")
 
 
 def cascade(rows: DataFrame) -> DataFrame:

@@ -537,10 +537,37 @@ def event_windows(spark: SparkSession, sf: str) -> DataFrame:
     return got.withColumn("total", parse.round_half_up(F.col("total")).cast("double"))
 
 
-@query()
+def _spread_sql(k: int = 2, rounds: int = 5) -> str:
+    """Rounds one after the other, each over all pairs."""
+    places = """SELECT s_suppkey + 1000000000 AS unit_id, 45 + (s_suppkey * 113 % 1000) / 1000 AS lat, 15 + (s_suppkey * 71 % 1000) / 1000 AS lon FROM supplier"""
+    steps = [f"""u0 AS MATERIALIZED (SELECT *, CASE WHEN lat < 45.5 THEN 'A' ELSE 'B' END AS county FROM ({places})
+        UNION ALL SELECT c_custkey, 45 + (c_custkey * 37 % 1000) / 1000, 15 + (c_custkey * 61 % 1000) / 1000, NULL FROM customer)"""]
+    for i in range(rounds):
+        km = "sqrt(pow(a.lat - b.lat, 2) + pow((a.lon - b.lon) * cos(radians((a.lat + b.lat) / 2)), 2)) * 111.0"
+        near = f"SELECT a.unit_id, b.county, {km} AS km FROM u{i} a JOIN u{i} b ON a.county IS NULL AND b.county IS NOT NULL QUALIFY row_number() OVER (PARTITION BY a.unit_id ORDER BY km, b.unit_id) <= {k}"
+        told = f"SELECT unit_id, min(county) AS told FROM ({near}) GROUP BY 1 HAVING count(*) = {k} AND count(DISTINCT county) = 1 AND min(km) <= 12"
+        steps.append(f"u{i + 1} AS MATERIALIZED (SELECT unit_id, lat, lon, coalesce(county, told) AS county FROM u{i} LEFT JOIN ({told}) USING (unit_id))")
+    return f"WITH {', '.join(steps)} SELECT unit_id, county FROM u{rounds}"
+
+
+@query(_spread_sql())
 def assign_counties(spark: SparkSession, sf: str) -> DataFrame:
-    """Counties of suppliers known for one in three, spread to customers' places over rounds."""
+    """Counties of suppliers' places, spread to customers' places over rounds."""
     c, s = _points(spark, sf)
     known = s.select((F.col("place_id") + 1_000_000_000).alias("unit_id"), "lat", "lon", F.expr("CASE WHEN lat < 45.5 THEN 'A' ELSE 'B' END").alias("county"))
     units = known.unionByName(c.select(F.col("point_id").alias("unit_id"), "lat", "lon", F.lit(None).cast("string").alias("county")))
-    return location.assign_counties(units, k=2, within_km=12.0).select("unit_id", "county")
+    return location.assign_counties(units, k=2).select("unit_id", "county")
+
+
+_TOWN = "CASE WHEN k % 3 = 0 THEN {0}.5 + (k % {1}) / 50000000D ELSE {0} + (k * {2} % 10000) / 10000D END"
+
+
+@query(f"""WITH p AS (SELECT o_orderkey AS place_id, {_TOWN.replace('0D', '0').format(45, 977, 113).replace('k ', 'o_orderkey ')} AS lat, {_TOWN.replace('0D', '0').format(15, 991, 71).replace('k ', 'o_orderkey ')} AS lon FROM orders),
+    q AS (SELECT s_suppkey AS point_id, {_TOWN.replace('0D', '0').format(45, 883, 37).replace('k ', 's_suppkey ')} AS lat, {_TOWN.replace('0D', '0').format(15, 877, 61).replace('k ', 's_suppkey ')} AS lon FROM supplier)
+    SELECT point_id, place_id, {_r2('km', 3)}::DOUBLE AS km, row_number() OVER (PARTITION BY point_id ORDER BY km, place_id)::INTEGER AS rank
+    FROM (SELECT point_id, place_id, sqrt(pow(q.lat - p.lat, 2) + pow((q.lon - p.lon) * cos(radians((q.lat + p.lat) / 2)), 2)) * 111.0 AS km FROM q JOIN p ON true) QUALIFY rank <= 5""")
+def geo_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest of all orders' places to each supplier; a third of both lie in one town some metres wide."""
+    place = lambda at, key, name, a, b: table(spark, sf, at).select(F.col(key).alias("k")).select(F.col("k").alias(name), F.expr(_TOWN.format(45, *a)).alias("lat"), F.expr(_TOWN.format(15, *b)).alias("lon"))
+    near = location.nearest(place("supplier", "s_suppkey", "point_id", (883, 37), (877, 61)), place("orders", "o_orderkey", "place_id", (977, 113), (991, 71)), 5)
+    return near.select("point_id", "place_id", parse.round_half_up(F.col("km"), 3).cast("double").alias("km"), "rank")

@@ -1,8 +1,10 @@
 """Dataflow operators on small frames."""
 
+import random
+
 from pyspark.sql import functions as F
 
-from tallygrove.operators import linking, location, marts
+from tallygrove.operators import linking, location, marts, nearest
 from tallygrove.sources import snapshot
 
 
@@ -37,7 +39,7 @@ def test_merge_keeps_absent_rows(spark):
 def test_nearest_equals_brute_force(spark):
     pts = [(i, 45 + (i * 37 % 100) / 100, 15 + (i * 61 % 100) / 100) for i in range(40)]
     far = [(i, 45 + (i * 13 % 100) / 100, 15 + (i * 7 % 100) / 100) for i in range(30)]
-    got = location.nearest(spark.createDataFrame(pts, "point_id int, lat double, lon double"), spark.createDataFrame(far, "place_id int, lat double, lon double"), 2, 12.0)
+    got = nearest.nearest(spark.createDataFrame(pts, "point_id int, lat double, lon double"), spark.createDataFrame(far, "place_id int, lat double, lon double"), 2, 12.0)
     import math
 
     want = []
@@ -47,6 +49,59 @@ def test_nearest_equals_brute_force(spark):
     assert sorted((r["point_id"], r["place_id"], r["rank"]) for r in got.collect()) == sorted(want)
 
 
+def _brute(pts, far, k, within=None):
+    import math
+
+    out = []
+    for i, a, b in pts:
+        near = sorted((math.hypot(a - c, (b - d) * math.cos(math.radians((a + c) / 2))) * 111.0, j) for j, c, d in far)
+        out += [(i, j, r) for r, (km, j) in enumerate(near[:k], 1) if within is None or km <= within]
+    return sorted(out)
+
+
+def test_nearest_in_a_dense_town(spark):
+    """A third of all places within metres of each other, a tenth at one point, some far away: no cell holds more than its bound."""
+    rng = random.Random(4)
+    far = [(i, 45.5 + rng.random() * 1e-3, 15.5 + rng.random() * 1e-3) for i in range(300)] + [(1000 + i, 45.2, 15.2) for i in range(90)]
+    far += [(2000 + i, 44 + rng.random() * 3, 14 + rng.random() * 4) for i in range(500)] + [(5000, -33.0, 151.0), (5001, None, 1.0), (5002, 1.0, None)]
+    pts = [(i, 45.5 + rng.random() * 2e-3, 15.5 + rng.random() * 2e-3) for i in range(20)] + [(100 + i, 45 + rng.random(), 15 + rng.random()) for i in range(30)] + [(200, 45.2, 15.2), (201, 45.2, 15.2), (202, -80.0, 170.0), (203, None, None)]
+    point, place = spark.createDataFrame(pts, "point_id int, lat double, lon double"), spark.createDataFrame(far, "place_id int, lat double, lon double")
+    known = [x for x in far if None not in x]
+    some = [x for x in pts if None not in x]
+    for k, within in ((4, None), (3, 12.0)):
+        got = nearest.nearest(point, place, k, within, leaf=8)
+        assert sorted((r["point_id"], r["place_id"], r["rank"]) for r in got.collect()) == _brute(some, known, k, within)
+    cells = nearest.Cells(place, 4, leaf=8)
+    assert cells.members.groupBy("level", "x", "y").count().agg(F.max("count")).first()[0] <= 8 and len(cells.levels) >= 3
+    assert nearest.nearest(point, place.limit(0), 3).collect() == []
+
+
+def test_counties_spread_to_a_fixed_point(spark):
+    """A chain of units, each known one round after its neighbour; rounds end when nothing changes. By brute force, with frozen rounds."""
+    import math
+
+    rng = random.Random(8)
+    units = [(i, 45.0, 15.0 + i * 0.05, "A" if i < 3 else None) for i in range(16)] + [(100 + i, 46.0 + rng.random(), 16 + rng.random(), rng.choice([None, None, "A", "B"])) for i in range(60)]
+    km = lambda a, b: math.hypot(a[1] - b[1], (a[2] - b[2]) * math.cos(math.radians((a[1] + b[1]) / 2))) * 111.0
+
+    def want(rounds):
+        now = {u[0]: u[3] for u in units}
+        for _ in range(rounds):
+            known = [u for u in units if now[u[0]]]
+            near = {u[0]: sorted((km(u, v), v[0]) for v in known)[:3] for u in units if not now[u[0]]}
+            new = {i: now[n[0][1]] for i, n in near.items() if len(n) == 3 and n[0][0] <= 12 and len({now[j] for _, j in n}) == 1}
+            if not new:
+                break
+            now |= new
+        return now
+
+    frame = spark.createDataFrame(units, "unit_id int, lat double, lon double, county string")
+    for rounds in (1, 3, None):
+        got = {r["unit_id"]: r["county"] for r in location.assign_counties(frame, k=3, rounds=rounds).collect()}
+        assert got == want(99 if rounds is None else rounds)
+    assert want(99)[15] == "A" and want(3)[15] is None
+
+
 def test_cascade_prefers_position_inside_a_phase(spark):
     df = spark.createDataFrame([(1, 1, 5, 0, "Z1", "a", "visoka"), (1, 1, 2, 1, "Z2", "b", "srednja"), (1, 0, 9, 0, "Z3", "c", "nema")], "item_id int, phase int, position int, step int, county string, city string, confidence string")
     assert rows(location.cascade(df)) == [(1, "Z3", "c", "nema")]
