@@ -144,41 +144,64 @@ def swap_separators(c: Column) -> Column:
     return F.translate(c, ",.", ".,")
 
 
+# The space that holds a number and its unit together, and what stands for a missing value.
+NBSP = "\u00a0"
+MISSING = "—"
+
+
+def _number(c: Column, places: int) -> Column:
+    """1,234.50 with so many places, half up."""
+    return F.format_number(F.round(c.cast("decimal(18,6)"), places), places)
+
+
+def _shown(c: Column, shown: Column) -> Column:
+    return F.when(c.isNull(), MISSING).otherwise(shown)
+
+
 def format_eur(c: Column) -> Column:
-    """Amount with dots for thousands; cents only where there are any; a dash for null."""
-    exact = F.round(c.cast("decimal(18,6)"), 2)
-    whole = exact == F.floor(exact)
-    out = F.when(whole, F.format_number(exact, 0)).otherwise(F.format_number(exact, 2))
-    return F.when(c.isNull(), "—").otherwise(F.concat(swap_separators(out), F.lit(" €")))
+    """1 234,50 €, and cents only where there are any."""
+    return _shown(c, F.concat(F.regexp_replace(F.translate(_number(c, 2), ",.", NBSP + ","), ",00$", ""), F.lit(NBSP + "€")))
 
 
 def format_pct(c: Column) -> Column:
-    return F.when(c.isNull(), "—").otherwise(F.concat(swap_separators(F.format_number(F.round(c.cast("decimal(18,6)"), 1), 1)), F.lit(" %")))
+    """12,5 %, without signs for thousands."""
+    return _shown(c, F.concat(F.translate(_number(c, 1), ".,", ","), F.lit(NBSP + "%")))
+
+
+def format_pct_plain(c: Column) -> Column:
+    """13 %"""
+    return _shown(c, F.concat(F.translate(_number(c, 0), ",", ""), F.lit(" %")))
 
 
 def format_area(c: Column) -> Column:
-    return F.when(c.isNull(), "—").otherwise(F.concat(swap_separators(F.format_number(F.round(c.cast("decimal(18,6)"), 0), 0)), F.lit(" m²")))
+    """1 234 m²"""
+    return _shown(c, F.concat(F.translate(_number(c, 0), ",", NBSP), F.lit(NBSP + "m²")))
 
 
 def format_ppm(c: Column) -> Column:
-    return F.when(c.isNull(), "—").otherwise(F.concat(swap_separators(F.format_number(F.round(c.cast("decimal(18,6)"), 0), 0)), F.lit(" €/m²")))
+    """1 234 €/m², with plain spaces."""
+    return _shown(c, F.concat(F.translate(_number(c, 0), ",", " "), F.lit(" €/m²")))
 
 
 def format_days(n: Column) -> Column:
-    """Days left: today, tomorrow, or their number."""
-    return F.when(n == 0, "danas").when(n == 1, "sutra").otherwise(F.concat_ws(" ", F.lit("za"), n.cast("string"), hr_plural(n, "dan", "dana", "dana")))
+    """The number of days that are left."""
+    return F.concat_ws(" ", F.lit("još"), n.cast("string"), hr_plural(n, "dan", "dana", "dana"))
 
 
 def format_items(n: Column) -> Column:
+    return F.concat_ws(" ", n.cast("string"), hr_plural(n, "nekretnina", "nekretnine", "nekretnina"))
+
+
+def format_subjects(n: Column) -> Column:
     return F.concat_ws(" ", n.cast("string"), hr_plural(n, "predmet", "predmeta", "predmeta"))
 
 
 def format_date(c: Column) -> Column:
-    return F.coalesce(F.date_format(c, "dd.MM.yyyy."), F.lit("—"))
+    return _shown(c, F.date_format(c, "dd.MM.yyyy."))
 
 
 def format_datetime(c: Column) -> Column:
-    return F.coalesce(F.date_format(c, "dd.MM.yyyy. HH:mm"), F.lit("—"))
+    return _shown(c, F.date_format(c, "dd.MM.yyyy. 'u' HH:mm"))
 
 
 def xml_escape(c: Column) -> Column:

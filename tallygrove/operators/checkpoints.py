@@ -3,20 +3,33 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+_own: str | None = None
+
+
+def _base(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; where it is unset, one of our own in local mode and an error on a cluster."""
+    global _own
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not base and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    if not base:
+        base = _own = _own or f"file://{tempfile.mkdtemp(prefix='tallygrove-')}"
+    return base.rstrip("/")
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and cut from its lineage.
 
-    The folder is spark.checkpoint.dir. Where it is unset, local mode takes one of its
-    own; on a cluster that is an error, as other machines could not read it.
-    """
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all machines share."""
+    return f"{_base(spark)}/tallygrove/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed once and cut from its lineage, in a folder that all machines share."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        base = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not base and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        context.setCheckpointDir(base or tempfile.mkdtemp(prefix="tallygrove-"))
+        context.setCheckpointDir(_base(df.sparkSession))
     return df.checkpoint()

@@ -17,7 +17,7 @@ TYPE_LABELS = {
     "zemljiste": "Zemljište", "pokretnina": "Pokretnina", "pravo": "Pravo", "ostalo": "Nekretnina",
 }
 STATUS_LABELS = {"najavljeno": "Najavljeno", "u_tijeku": "U tijeku", "zavrseno": "Završeno", "bez_termina": "Bez termina"}
-PROCEDURE_LABELS = {"ovrha": "Ovrha", "stecaj": "Stečaj", "osiguranje": "Osiguranje", "insolvencija": "Insolvencija", "ostalo": "Ostalo"}
+PROCEDURE_LABELS = {"ovrha": "Ovrha", "stecaj": "Stečaj", "osiguranje": "Osiguranje", "insolvencija": "Insolvencijski postupak", "ostalo": "Ostalo"}
 ACTIVE = ["najavljeno", "u_tijeku", "bez_termina"]
 MOVABLE = ["pokretnina", "pravo"]
 #: Issuers whose seat says nothing about where an estate lies.
@@ -118,24 +118,27 @@ def item_url(kind: Column, county: Column, city: Column, slug: Column) -> Column
 def card_title(kind: Column, area: Column, place: Column) -> Column:
     """Type with its area, and the place."""
     label = text.lookup(kind, TYPE_LABELS, F.lit("Nekretnina"))
-    size = F.when(F.coalesce(area, F.lit(0)) != 0, F.concat(F.translate(F.format_number(F.round(area.cast("decimal(18,6)"), 0), 0), ",", " "), F.lit(" m²")))
+    size = F.when(F.coalesce(area, F.lit(0)) != 0, F.concat(F.translate(F.format_number(F.round(area.cast("decimal(18,6)"), 0), 0), ",", text.NBSP), F.lit(" m²")))
     return F.concat_ws(", ", F.concat_ws(" ", label, size), F.nullif(place, F.lit("")))
 
 
 def meta_description(item: Mapping[str, Column], place: Column) -> Column:
-    """Clauses of the item, the procedure and the source as sentences, 300 characters at most."""
-    filled = lambda c, x: F.when(F.coalesce(c, F.lit(0)) != 0, x)
-    clause = F.concat_ws(
-        ", ",
-        text.lookup(item["property_type"], TYPE_LABELS, F.lit("Nekretnina")),
-        filled(item["area_m2"], text.format_area(item["area_m2"])),
-        F.when(text_or_empty(item["city"]) != "", F.concat(F.lit("u mjestu "), place)).otherwise(place),
-        filled(item["opening_price_eur"], F.concat(F.lit("početna cijena "), text.format_eur(item["opening_price_eur"]))),
-        F.when(item["discount_pct"].isNotNull() & ~item["discount_suspicious"], F.concat(text.format_pct(item["discount_pct"]), F.lit(" ispod procjene"))),
-    )
-    procedure = F.lower(text.lookup(item["procedure_type"], PROCEDURE_LABELS, F.lit("Ostalo")))
-    sale = F.when(procedure == "ostalo", "Sudska dražba").otherwise(F.concat(F.lit("Sudska dražba ("), procedure, F.lit(")")))
-    return F.substring(F.concat(F.concat_ws(". ", clause, sale, F.lit("Službeni podaci")), F.lit(".")), 1, 300)
+    """Three sentences of 300 characters at most: the facts that an item has, its procedure, the source."""
+    has = lambda name: F.coalesce(item[name], F.lit(0)) != 0
+    # Each fact with what stands before and after it, and the condition under which it is told.
+    facts = [
+        (F.lit(True), "", text.lookup(item["property_type"], TYPE_LABELS, F.lit("Nekretnina")), ""),
+        (has("area_m2"), "", text.format_area(item["area_m2"]), ""),
+        (text_or_empty(item["city"]) != "", "u mjestu ", place, ""),
+        (text_or_empty(item["city"]) == "", "", place, ""),
+        (has("opening_price_eur"), "početna cijena ", text.format_eur(item["opening_price_eur"]), ""),
+        (item["discount_pct"].isNotNull() & ~item["discount_suspicious"], "", text.format_pct(item["discount_pct"]), " ispod procjene"),
+    ]
+    procedure = F.nullif(F.lower(text.lookup(item["procedure_type"], PROCEDURE_LABELS, F.lit(""))), F.lit("ostalo"))
+    told = F.concat_ws(", ", *(F.when(when, F.concat(F.lit(before), value, F.lit(after))) for when, before, value, after in facts))
+    sale = F.concat(F.lit("Sudska dražba"), F.coalesce(F.concat(F.lit(" ("), F.nullif(procedure, F.lit("")), F.lit(")")), F.lit("")))
+    sentences = [F.nullif(F.regexp_replace(x, r"^[ .,]+|[ .,]+$", ""), F.lit("")) for x in (told, sale, F.lit("Službeni podaci FINA Očevidnika"))]
+    return F.substring(F.concat(F.concat_ws(". ", *sentences), F.lit(".")), 1, 300)
 
 
 def decorate(items: DataFrame, today: Column) -> DataFrame:

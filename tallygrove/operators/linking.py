@@ -126,3 +126,77 @@ def merge_state(state: DataFrame, batch: DataFrame, key: str, now: Column) -> Da
 def event_detail(events: DataFrame) -> DataFrame:
     """Events with their values as one JSON text, for an append-only log."""
     return events.withColumn("detail", F.to_json(F.struct("field", "old_value", "new_value", "pct")))
+
+
+def repeat_order(round_no: Column, decision: Column, publish: Column) -> tuple[Column, Column]:
+    """What the attempts of a group are ordered by: the round's number (none or zero last), then the decision, or else the publication; a missing time comes first."""
+    return F.coalesce(F.nullif(round_no.cast("int"), F.lit(0)), F.lit(99)), F.coalesce(decision.cast("timestamp_ntz"), publish.cast("timestamp_ntz"))
+
+
+def group_heads(linked: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(repeat_group, members, last): what linking more items to a group needs to know of it; last is its last item's order."""
+    return linked.groupBy("repeat_group").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct(*order)).alias("last"))
+
+
+def link_increment(state: DataFrame, batch: DataFrame, key: str, order: Sequence[str], heads: DataFrame | None = None) -> DataFrame:
+    """(key, repeat_group, *order, repeat_seq, how) of all items after a batch, without numbering untouched groups again.
+
+    state: linked items of earlier snapshots; batch: key, repeat_group and order of today's
+    snapshot, which is a full copy, so most of it is in the state already. A new item that
+    comes after its group's head is appended with the next number. Groups that a new item enters
+    before the head, and those that an item changes or leaves, are numbered anew. Items absent
+    from the batch stay. how is kept, appended or renumbered. heads, if the caller keeps them,
+    saves counting the state's groups. order must tell all items of a group apart; nulls first.
+    """
+    own = list(dict.fromkeys([key, "repeat_group", *order]))
+    before = state.select(*own, "repeat_seq")
+    known = before.select(F.col(key).alias("__key"), F.struct("repeat_group", *order).alias("__was"))
+    met = batch.select(*own).join(known, F.col(key) == F.col("__key"), "left")
+    met = checkpointed(met.where(~F.struct("repeat_group", *order).eqNullSafe(F.col("__was"))).withColumn("__new", F.col("__key").isNull()).drop("__key"))
+    heads = group_heads(before, order) if heads is None else heads
+    first = met.where("__new").groupBy("repeat_group").agg(F.min(F.struct(*order)).alias("__first"))
+    late = first.join(heads, "repeat_group").where("__first < last").select("repeat_group")
+    moved = met.where("not __new")
+    anew = checkpointed(late.unionByName(moved.select("repeat_group")).unionByName(moved.select("__was.repeat_group")).distinct())
+
+    by_order = [F.col(c).asc_nulls_first() for c in order]
+    changed = met.select(*own)
+    added = met.where("__new").select(*own).join(anew, "repeat_group", "left_anti")
+    appended = link_repeats(added, "repeat_group", by_order).join(heads.select("repeat_group", "members"), "repeat_group", "left")
+    appended = appended.withColumn("repeat_seq", (F.col("repeat_seq") + F.coalesce("members", F.lit(0))).cast("int"))
+    left = before.join(changed.select(key), key, "left_anti")
+    again = left.select(*own).unionByName(changed).join(anew, "repeat_group", "left_semi")
+    numbered = link_repeats(again, "repeat_group", by_order)
+    kept = left.join(anew, "repeat_group", "left_anti")
+    told = lambda df, how: df.select(*own, F.col("repeat_seq").cast("int").alias("repeat_seq"), F.lit(how).alias("how"))
+    return told(kept, "kept").unionByName(told(appended, "appended")).unionByName(told(numbered, "renumbered"))
+
+
+#: Members of one row of a group's list.
+CHUNK = 1000
+
+
+def group_lists(items: DataFrame, group: str, key: str, order: Sequence[str], chunk: int = CHUNK) -> DataFrame:
+    """(group, chunk, first, members): each group of two and more once, in order, in rows of `chunk` members at most.
+
+    chunk counts from 0, first is the place of a row's first member, from 1. A page of a large
+    group is one row; nothing holds a whole group, and nothing grows with its square.
+    """
+    placed = _placed_members(items, group, key, order)
+    rows = placed.groupBy(group, F.floor((F.col("repeat_seq") - 1) / chunk).cast("int").alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("repeat_seq", key))).alias("__m"))
+    return rows.select(group, "chunk", (F.col("chunk") * chunk + 1).alias("first"), F.transform("__m", lambda x: x[key]).alias("members"))
+
+
+def membership(items: DataFrame, group: str, key: str, order: Sequence[str], chunk: int = CHUNK) -> DataFrame:
+    """(key, group, place, members, chunk): where each item of a group of two and more stands in it, and the row of group_lists that has it."""
+    placed = checkpointed(_placed_members(items, group, key, order))
+    sizes = placed.groupBy(group).agg(F.max("repeat_seq").alias("members"))
+    told = placed.join(sizes, group)
+    return told.select(key, group, F.col("repeat_seq").alias("place"), "members", F.floor((F.col("repeat_seq") - 1) / chunk).cast("int").alias("chunk"))
+
+
+def _placed_members(items: DataFrame, group: str, key: str, order: Sequence[str]) -> DataFrame:
+    columns = list(dict.fromkeys([group, key, *order]))
+    own = checkpointed(items.where(F.col(group).isNotNull()).select(*columns))
+    many = own.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(group)
+    return link_repeats(own.join(many, group, "left_semi"), group, [F.col(c).asc_nulls_first() for c in dict.fromkeys([*order, key])]).select(*columns, "repeat_seq")

@@ -58,13 +58,13 @@ def unique_titles(df: DataFrame, title: str, second: str, key: str) -> DataFrame
     not collected in one task.
     """
 
-    def longer(df: DataFrame, name: str, now: str, more: Column) -> DataFrame:
+    def longer(df: DataFrame, name: str, now: str, more: Column, sign: str) -> DataFrame:
         repeated = df.groupBy(F.col(now).alias("__k")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__k", F.lit(True).alias("__again"))
         met = df.join(repeated, F.col(now).eqNullSafe(F.col("__k")), "left")
-        return met.withColumn(name, F.when(F.col("__again"), F.concat_ws(" · ", now, more)).otherwise(F.col(now))).drop("__k", "__again")
+        return met.withColumn(name, F.when(F.col("__again"), F.concat_ws(sign, now, more)).otherwise(F.col(now))).drop("__k", "__again")
 
-    out = longer(df, "__t", title, F.col(second))
-    return longer(out, "unique_title", "__t", F.col(key).cast("string")).drop("__t")
+    out = longer(df, "__t", title, F.nullif(F.col(second).cast("string"), F.lit("")), " · ")
+    return longer(out, "unique_title", "__t", F.col(key).cast("string"), " / ").drop("__t")
 
 
 def search(df: DataFrame, columns: Sequence[str], terms: str, order: Sequence[Column], n: int = 60) -> DataFrame:

@@ -279,7 +279,7 @@ def best_value(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH t AS (SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY p_name) > 1 THEN p_name || ' · ' || p_brand ELSE p_name END AS t FROM part)
-    SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY t) > 1 THEN t || ' · ' || p_partkey ELSE t END AS unique_title FROM t""")
+    SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY t) > 1 THEN t || ' / ' || p_partkey ELSE t END AS unique_title FROM t""")
 def unique_titles(spark: SparkSession, sf: str) -> DataFrame:
     return marts.unique_titles(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand"), "p_name", "p_brand", "p_partkey").select("p_partkey", "unique_title")
 

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.functions import classify, parse, pii, text
-from tallygrove.operators import cascade, items, marts
+from tallygrove.operators import cascade, items, linking, marts
+from tallygrove.operators.checkpoints import shared_path
+from tallygrove.sources import search_index as search
 from tallygrove.plans.queries import _OFFERS, _PCT, _STATUS, _fold_sql, _offers, _r2, _status, query, table
 
 
@@ -99,15 +101,15 @@ def _snapshot(spark: SparkSession, sf: str) -> DataFrame:
         "description": _cases("o_orderkey", [r[0] for r in _SOLD]), "kind": _cases("o_orderkey", [r[1] for r in _SOLD]),
         "issuer": "CASE WHEN o_orderkey % 2 = 0 THEN 'Javni bilježnik Ana Anić' ELSE 'Općinski sud u Splitu' END", "scope": "''", "sale_method": "'dražba'", "round": "CASE WHEN o_orderkey % 2 = 0 THEN 'Prva' ELSE 'Druga' END",
         "estimated": "CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS STRING) END",
-        "opening": "translate(format_number(CAST(o_totalprice * 3 AS DECIMAL(18,2)) / 4, 2), ',.', '.,') || ' EUR'", "minimum": "''", "deposit": "''", "step": "''",
-        "decision_date": "''", "publish_start": "''", "auction_start": "date_format(o_orderdate, 'dd.MM.yyyy HH:mm')", "auction_end": "date_format(o_orderdate + INTERVAL 30 DAYS, 'dd.MM.yyyy HH:mm:ss')",
-        "deposit_value_date": "''", "extendable": "'Da'", "snapshot_date": "'15.06.1998'",
+        "opening": "translate(format_number(CAST(floor(o_totalprice * 0.75D) AS BIGINT), 0), ',', '.') || ',' || lpad(CAST(o_orderkey % 100 AS STRING), 2, '0') || ' EUR'", "minimum": "CASE WHEN o_orderkey % 4 <> 1 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING) END", "deposit": "CAST(o_custkey AS STRING) || ',5 EUR (1,00 HRK)'", "step": "' 1.500,00 '",
+        "decision_date": "CASE WHEN o_orderkey % 6 <> 5 THEN date_format(o_orderdate - INTERVAL 40 DAYS, 'dd.MM.yyyy') END", "publish_start": "date_format(o_orderdate - INTERVAL 9 DAYS, 'dd.MM.yyyy HH:mm:ss')", "auction_start": "date_format(o_orderdate, 'dd.MM.yyyy HH:mm')", "auction_end": "date_format(o_orderdate + INTERVAL 30 DAYS, 'dd.MM.yyyy HH:mm:ss')",
+        "deposit_value_date": "'nije datum'", "extendable": "CASE o_orderkey % 3 WHEN 0 THEN 'Da' WHEN 1 THEN ' Da ' ELSE 'Ne' END", "snapshot_date": "'15.06.1998'",
     }
     return table(spark, sf, "orders").select("o_orderkey", *(F.expr(made[f]).alias(f) for f in _FIELDS))
 
 
 _ESTIMATE = "CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_totalprice AS DECIMAL(16,2)) END"
-_OPENING = "CAST(round(CAST(CAST(o_totalprice * 3 AS DECIMAL(18,2)) AS DECIMAL(18,6)) / 4, 2) AS DECIMAL(16,2))"
+_OPENING = "CAST((CAST(floor(o_totalprice * 0.75) AS BIGINT) * 100 + o_orderkey % 100) / 100 AS DECIMAL(16,2))"
 _AREA = _cases("o_orderkey", [None if r[4] is None else str(r[4]) for r in _SOLD])
 
 
@@ -116,29 +118,87 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
     return items.to_items(clean, {f: f for f in _FIELDS}, F.lit("1998-06-15").cast("timestamp_ntz"), key=("o_orderkey",))
 
 
-@query(f"""SELECT o_orderkey, 'Ovr-' || o_orderkey AS case_ref, CASE WHEN o_orderkey % 2 = 0 THEN 'Javni bilježnik' ELSE 'Općinski sud u Splitu' END AS issuer_name,
-    {_cases('o_orderkey', [r[2] for r in _SOLD])} AS property_type, {_STATUS} AS status, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END::INTEGER AS auction_round_no,
-    CAST({_ESTIMATE} AS DOUBLE) AS estimated, CAST({_AREA} AS DOUBLE) AS area, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice > 0 END AS has_discount FROM orders""")
+_HUNDRED = f"CAST((CAST({_ESTIMATE} AS DOUBLE) - CAST({_OPENING} AS DOUBLE)) / CAST({_ESTIMATE} AS DOUBLE) * 100 AS DECIMAL(18,6))"
+_DISCOUNT = f"CASE WHEN {_ESTIMATE} > 0 THEN round({_HUNDRED}, 2) END"
+_DOUBTFUL = f"coalesce({_DISCOUNT} >= 99 OR ({_OPENING} < 1 AND {_ESTIMATE} > 1000), false)"
+#: The mapped item's columns: name, SQL over orders.
+_MAPPED = {
+    "case_ref": "'Ovr-' || o_orderkey", "auction_id": "CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS VARCHAR) END",
+    "issuer_type": "CASE WHEN o_orderkey % 2 = 0 THEN 'javni_biljeznik' ELSE 'opcinski_sud' END", "issuer_name": "CASE WHEN o_orderkey % 2 = 0 THEN 'Javni bilježnik' ELSE 'Općinski sud u Splitu' END",
+    "description": _cases("o_orderkey", [r[0] for r in _SOLD]), "property_type": _cases("o_orderkey", [r[2] for r in _SOLD]), "procedure_type": "'ovrha'", "sale_method": "'dražba'", "scope": "''",
+    "estimated_value_eur": _ESTIMATE, "opening_price_eur": _OPENING, "minimum_price_eur": "CASE WHEN o_orderkey % 4 <> 1 THEN CAST(floor(o_totalprice) AS DECIMAL(16,2)) END",
+    "deposit_eur": "CAST(o_custkey + 0.5 AS DECIMAL(16,2))", "bid_step_eur": "CAST(1500 AS DECIMAL(16,2))", "current_bid_eur": "CAST(NULL AS DECIMAL(16,2))",
+    "discount_pct": _DISCOUNT, "discount_suspicious": _DOUBTFUL, "area_m2": f"CAST({_AREA} AS DECIMAL(16,2))", "area_unit_source": _cases("o_orderkey", ["m²", "ha", "m2", None, "m²"]),
+    "auction_round": "CASE WHEN o_orderkey % 2 = 0 THEN 'Prva' ELSE 'Druga' END", "auction_round_no": "CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END",
+    "decision_date": "CASE WHEN o_orderkey % 6 <> 5 THEN o_orderdate - INTERVAL 40 DAY END", "publish_start": "o_orderdate - INTERVAL 9 DAY", "auction_start": "o_orderdate", "auction_end": "o_orderdate + INTERVAL 30 DAY",
+    "deposit_value_date": "CAST(NULL AS TIMESTAMP)", "extendable": "o_orderkey % 3 <> 2", "viewing_time": "''", "source_snapshot_date": "DATE '1998-06-15'", "status": _STATUS,
+}
+_AMOUNTS = [c for c in _MAPPED if c.endswith(("_eur", "_pct", "_m2"))]
+_TIMES = ["decision_date", "publish_start", "auction_start", "auction_end", "deposit_value_date"]
+
+
+def _told(c: str, sql: str) -> str:
+    kind = "DOUBLE" if c in _AMOUNTS else "TIMESTAMP" if c in _TIMES else "INTEGER" if c == "auction_round_no" else None
+    return f"CAST({sql} AS {kind}) AS {c}" if kind else f"{sql} AS {c}"
+
+
+@query(f"SELECT o_orderkey, {', '.join(_told(c, sql) for c, sql in _MAPPED.items())} FROM orders")
 def items_mapped(spark: SparkSession, sf: str) -> DataFrame:
-    """Snapshot rows through allow-list, redaction and mapper."""
-    got = _items(spark, sf)
-    return got.select("o_orderkey", "case_ref", "issuer_name", "property_type", "status", "auction_round_no", F.col("estimated_value_eur").cast("double").alias("estimated"),
-        F.col("area_m2").cast("double").alias("area"), F.col("discount_pct").isNotNull().alias("has_discount_").cast("boolean")).withColumn("has_discount", F.when(F.col("estimated").isNotNull(), F.col("has_discount_"))).drop("has_discount_")
+    """Snapshot rows through allow-list, redaction and mapper: every column of the item but its key."""
+    kind = lambda c: "double" if c in _AMOUNTS else "timestamp_ntz" if c in _TIMES else None
+    return _items(spark, sf).select("o_orderkey", *(F.col(c).cast(kind(c)).alias(c) if kind(c) else F.col(c) for c in _MAPPED))
 
 
 _PLACE = "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'Vela Luka' END"
 
 
-@query(f"""WITH t AS (SELECT o_orderkey, {_cases('o_orderkey', [r[2] for r in _SOLD])} AS kind, {_cases('o_orderkey', [r[3] for r in _SOLD])} AS label, CAST({_AREA} AS INTEGER) AS area, {_PLACE} AS city, {_STATUS} AS status,
-    date_diff('day', DATE '1998-06-15', CAST(o_orderdate + INTERVAL 30 DAY AS DATE)) AS days FROM orders)
-    SELECT o_orderkey, label || CASE area WHEN 20000 THEN ' 20 000 m²' WHEN 80 THEN ' 80 m²' WHEN 120 THEN ' 120 m²' WHEN 12 THEN ' 12 m²' ELSE '' END || ', ' || coalesce(city, 'Hrvatska') AS card_title,
-    CASE WHEN kind = 'pokretnina' THEN '/pokretnine/' WHEN city IS NULL THEN '/nekretnine/nepoznata-lokacija/ostalo/' ELSE '/nekretnine/dubrovacko-neretvanska-zupanija/vela-luka/' END AS tree,
+def _money_sql(x: str, places: int, thousands: str) -> str:
+    """SQL: a number with signs for thousands and a decimal comma."""
+    return f"replace(replace(replace(format('{{:,.{places}f}}', CAST(round(CAST({x} AS DECIMAL(18,6)), {places}) AS DOUBLE)), ',', '#'), '.', ','), '#', '{thousands}')"
+
+
+_EUR = f"regexp_replace({_money_sql('opening_price_eur', 2, text.NBSP)}, ',00$', '') || '{text.NBSP}€'"
+
+
+@query(f"""WITH m AS (SELECT o_orderkey, {', '.join(f'{sql} AS {c}' for c, sql in _MAPPED.items())}, {_cases('o_orderkey', [r[3] for r in _SOLD])} AS label, {_PLACE} AS city FROM orders),
+    t AS (SELECT *, coalesce(city, 'Hrvatska') AS place, date_diff('day', DATE '1998-06-15', CAST(auction_end AS DATE)) AS days FROM m)
+    SELECT o_orderkey, label AS type_label, CASE status WHEN 'najavljeno' THEN 'Najavljeno' WHEN 'u_tijeku' THEN 'U tijeku' ELSE 'Završeno' END AS status_label, 'Ovrha' AS procedure_label,
+    label || coalesce(' ' || {_money_sql('area_m2', 0, text.NBSP)} || ' m²', '') || ', ' || place AS card_title,
+    label || coalesce(', ' || {_money_sql('area_m2', 0, text.NBSP)} || '{text.NBSP}m²', '') || ', ' || CASE WHEN city IS NULL THEN '' ELSE 'u mjestu ' END || place || ', početna cijena ' || {_EUR}
+        || CASE WHEN discount_pct IS NOT NULL AND NOT discount_suspicious THEN ', ' || {_money_sql('discount_pct', 1, '')} || '{text.NBSP}% ispod procjene' ELSE '' END || '. Sudska dražba (ovrha). Službeni podaci FINA Očevidnika.' AS meta_description,
+    CASE WHEN property_type = 'pokretnina' THEN '/pokretnine/' WHEN city IS NULL THEN '/nekretnine/nepoznata-lokacija/ostalo/' ELSE '/nekretnine/dubrovacko-neretvanska-zupanija/vela-luka/' END AS tree,
+    CASE WHEN area_m2 >= 1 AND NOT discount_suspicious THEN round(CAST(CAST(opening_price_eur AS DOUBLE) / CAST(area_m2 AS DOUBLE) AS DECIMAL(18,6)), 2)::DOUBLE END AS price_per_m2,
     CASE WHEN status IN ('najavljeno', 'u_tijeku') AND days BETWEEN 0 AND 60 THEN days END::INTEGER AS days_left FROM t""")
 def items_decorated(spark: SparkSession, sf: str) -> DataFrame:
-    """Titles, url trees and days left."""
+    """Labels, titles, descriptions, url trees, prices per m² and days left."""
     placed = _items(spark, sf).withColumn("city", F.expr(_PLACE)).withColumn("county", F.expr("CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'Dubrovačko-neretvanska županija' END")).withColumn("cadastral_municipality", F.lit(None).cast("string"))
     shown = items.decorate(placed, F.lit("1998-06-15").cast("date"))
-    return shown.select("o_orderkey", "card_title", F.regexp_replace("url", "[^/]+/$", "").alias("tree"), "days_left")
+    return shown.select("o_orderkey", "type_label", "status_label", "procedure_label", "card_title", "meta_description", F.regexp_replace("url", "[^/]+/$", "").alias("tree"), "price_per_m2", "days_left")
+
+
+def _plural_sql(n: str, one: str, few: str, many: str) -> str:
+    return f"CASE WHEN {n} % 100 BETWEEN 11 AND 14 THEN '{many}' WHEN {n} % 10 = 1 THEN '{one}' WHEN {n} % 10 BETWEEN 2 AND 4 THEN '{few}' ELSE '{many}' END"
+
+
+@query(f"""WITH o AS (SELECT *, CASE WHEN o_orderkey % 9 <> 0 THEN CASE WHEN o_orderkey % 4 = 0 THEN round(o_totalprice) ELSE o_totalprice END END AS v, o_orderkey % 130 AS n FROM orders)
+    SELECT o_orderkey, coalesce(regexp_replace({_money_sql('v', 2, text.NBSP)}, ',00$', '') || '{text.NBSP}€', '—') AS eur, coalesce({_money_sql('v', 1, '')} || '{text.NBSP}%', '—') AS pct, coalesce({_money_sql('v', 0, '')} || ' %', '—') AS pct_plain,
+    coalesce({_money_sql('v', 0, text.NBSP)} || '{text.NBSP}m²', '—') AS area, coalesce({_money_sql('v', 0, ' ')} || ' €/m²', '—') AS ppm, strftime(o_orderdate, '%d.%m.%Y.') AS day, strftime(o_orderdate, '%d.%m.%Y. u %H:%M') AS moment,
+    'još ' || n || ' ' || {_plural_sql('n', 'dan', 'dana', 'dana')} AS days, n || ' ' || {_plural_sql('n', 'nekretnina', 'nekretnine', 'nekretnina')} AS items, n || ' ' || {_plural_sql('n', 'predmet', 'predmeta', 'predmeta')} AS subjects FROM o""")
+def formatted(spark: SparkSession, sf: str) -> DataFrame:
+    """All formatters over the orders' amounts, dates and numbers."""
+    o = table(spark, sf, "orders").withColumn("v", F.expr("CASE WHEN o_orderkey % 9 <> 0 THEN CASE WHEN o_orderkey % 4 = 0 THEN round(o_totalprice) ELSE o_totalprice END END")).withColumn("n", F.expr("o_orderkey % 130"))
+    v, n, d = F.col("v"), F.col("n"), F.col("o_orderdate")
+    made = {"eur": text.format_eur(v), "pct": text.format_pct(v), "pct_plain": text.format_pct_plain(v), "area": text.format_area(v), "ppm": text.format_ppm(v), "day": text.format_date(d), "moment": text.format_datetime(d)}
+    made |= {"days": text.format_days(n), "items": text.format_items(n), "subjects": text.format_subjects(n)}
+    return o.select("o_orderkey", *(c.alias(name) for name, c in made.items()))
+
+
+@query("""SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name || ' | ' || p_brand || ' | ' || p_type), 'ring') AND contains(lower(p_name || ' | ' || p_brand || ' | ' || p_type), 'brand#1') AND contains(lower(p_name || ' | ' || p_brand || ' | ' || p_type), 'e') ORDER BY p_partkey LIMIT 60""")
+def search_index(spark: SparkSession, sf: str) -> DataFrame:
+    """An index of parts is written, and a search answered from it: a word, a part of a word and a single letter."""
+    at = shared_path(spark, "search-index")
+    search.build(table(spark, sf, "part"), at, "p_partkey", ["p_name", "p_brand", "p_type"])
+    return search.search(spark, at, "p_partkey", "Ring brand#1 E", [F.col("p_partkey")]).select("p_partkey", "p_name")
 
 
 @query("""SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'javni_biljeznik' ELSE 'opcinski_sud' END AS issuer_type, count(*)::BIGINT AS n, CASE WHEN o_orderkey % 2 = 0 THEN 'sjedište tijela nije dokaz lokacije' ELSE 'naselje nije prepoznato u opisu' END AS reason
@@ -288,6 +348,56 @@ def group_members(spark: SparkSession, sf: str) -> DataFrame:
     return marts.with_members(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey").select("o_orderkey", F.array_join(F.col("members").cast("array<string>"), " ").alias("members"))
 
 
+@query("""WITH g AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS place, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders WHERE o_custkey IS NOT NULL)
+    SELECT o_custkey, ((place - 1) // 4)::INTEGER AS chunk, (((place - 1) // 4) * 4 + 1)::INTEGER AS first, string_agg(o_orderkey, ' ' ORDER BY place) AS members FROM g WHERE n > 1 GROUP BY ALL""")
+def group_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Each repeat group once, in rows of four members."""
+    got = linking.group_lists(table(spark, sf, "orders"), "o_custkey", "o_orderkey", ["o_orderdate"], 4)
+    return got.select("o_custkey", "chunk", "first", F.array_join(F.col("members").cast("array<string>"), " ").alias("members"))
+
+
+@query("""SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)::INTEGER AS place, (count(*) OVER (PARTITION BY o_custkey))::INTEGER AS members, ((place - 1) // 4)::INTEGER AS chunk
+    FROM orders WHERE o_custkey IS NOT NULL QUALIFY members > 1""")
+def group_membership(spark: SparkSession, sf: str) -> DataFrame:
+    """Each item's place in its repeat group, and the row of group_lists that has it."""
+    return linking.membership(table(spark, sf, "orders"), "o_custkey", "o_orderkey", ["o_orderdate"], 4)
+
+
+#: Two snapshots of orders: the first of those before 1998, the second a later copy without a fifth of them, in which some decisions came later.
+_FIRST, _SECOND = "o_orderdate < TIMESTAMP '1998-01-01'", "NOT (o_orderdate < TIMESTAMP '1998-01-01' AND o_orderkey % 5 = 2)"
+_ROUND = "CASE WHEN o_orderpriority LIKE '5%' THEN 0 WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END"
+_PUBLISHED = "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END"
+
+
+def _decided(days: str) -> str:
+    return f"CASE WHEN o_orderkey % 3 <> 0 THEN o_orderdate + {days} END"
+
+
+@query(f"""WITH v AS (SELECT o_orderkey, o_custkey AS g, coalesce(nullif({_ROUND}, 0), 99) AS r, coalesce({_decided("INTERVAL 5 DAY")}, {_PUBLISHED}) AS t1,
+        coalesce({_decided("(CASE WHEN o_orderkey % 11 = 0 THEN INTERVAL 400 DAY ELSE INTERVAL 5 DAY END)")}, {_PUBLISHED}) AS t2, {_FIRST} AS was, {_SECOND} AS "is" FROM orders),
+    a AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY r, t2 NULLS FIRST, o_orderkey) AS q FROM v WHERE "is"),
+    f AS (SELECT o_orderkey, g, r, CASE WHEN "is" THEN t2 ELSE t1 END AS t, was, "is", was AND "is" AND t1 IS DISTINCT FROM t2 AS moved FROM v WHERE was OR "is"),
+    h AS (SELECT g, max((r, coalesce(t, TIMESTAMP '0001-01-01'), o_orderkey)) FILTER (was) AS last, min((r, coalesce(t, TIMESTAMP '0001-01-01'), o_orderkey)) FILTER (NOT was) AS first, bool_or(moved) AS moved FROM f GROUP BY 1)
+    SELECT f.o_orderkey, a.q::INTEGER AS snapshot_seq, row_number() OVER (PARTITION BY f.g ORDER BY f.r, f.t NULLS FIRST, f.o_orderkey)::INTEGER AS state_seq,
+    CASE WHEN h.moved OR coalesce(h.first < h.last, false) THEN 'renumbered' WHEN f.was THEN 'kept' ELSE 'appended' END AS how
+    FROM f JOIN h ON f.g = h.g LEFT JOIN a ON f.o_orderkey = a.o_orderkey""")
+def repeat_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Attempts numbered within the latest snapshot alone, and over all versions by adding it to the linked state."""
+    orders = table(spark, sf, "orders")
+    order = ["r", "t", "o_orderkey"]
+
+    def version(where: str, days: str) -> DataFrame:
+        r, t = linking.repeat_order(F.expr(_ROUND), F.expr(_decided(days)), F.expr(_PUBLISHED))
+        return orders.where(where).select("o_orderkey", F.col("o_custkey").alias("repeat_group"), r.alias("r"), t.alias("t"))
+
+    by_order = [F.col(c).asc_nulls_first() for c in order]
+    state = linking.link_repeats(version(_FIRST, "INTERVAL 5 DAYS"), "repeat_group", by_order)
+    batch = version(_SECOND, "(CASE WHEN o_orderkey % 11 = 0 THEN INTERVAL 400 DAYS ELSE INTERVAL 5 DAYS END)")
+    alone = linking.link_repeats(batch, "repeat_group", by_order).select("o_orderkey", F.col("repeat_seq").alias("snapshot_seq"))
+    all_of = linking.link_increment(state, batch, "o_orderkey", order)
+    return all_of.select("o_orderkey", F.col("repeat_seq").alias("state_seq"), "how").join(alone, "o_orderkey", "left").select("o_orderkey", "snapshot_seq", "state_seq", "how")
+
+
 @query("""WITH c AS (SELECT n_regionkey AS r, list(DISTINCT n_nationkey % 4 ORDER BY n_nationkey % 4) AS a FROM nation GROUP BY 1), s AS (SELECT s_nationkey % 5 AS r, list(DISTINCT s_nationkey % 3 ORDER BY s_nationkey % 3) AS b FROM supplier GROUP BY 1)
     SELECT r, array_to_string(list_sort(list_filter(a, lambda x: NOT list_contains(b, x))), ' ') AS without, array_to_string(list_sort(list_distinct(list_concat(a, b))), ' ') AS every, array_to_string(list_sort(list_intersect(a, b)), ' ') AS common FROM c JOIN s USING (r)""")
 def county_sets(spark: SparkSession, sf: str) -> DataFrame:

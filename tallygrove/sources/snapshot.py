@@ -53,9 +53,9 @@ def append_log(rows: DataFrame, path: str, run_id: int) -> None:
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
-def write_search_index(items: DataFrame, path: str, names: dict[str, str]) -> None:
-    """The search index as JSON lines with short keys."""
-    items.select(*(F.col(c).alias(k) for c, k in names.items())).write.mode("overwrite").json(path)
+def write_search_index(records: DataFrame, path: str) -> None:
+    """The client's search index as JSON lines."""
+    records.write.mode("overwrite").json(path)
 
 
 def feed_items(items: DataFrame, title: str, url: str, published: str, n: int = 50) -> DataFrame:
