@@ -12,6 +12,10 @@ Each task runs forward and backward over its documents and gives its expected co
 once; they are added by (kind, place) in a shuffle, and at most a table of the model's
 size reaches the driver.
 
+A task holds the states' shares of some millions of symbols and of the borders between such
+segments, however long a text is (about 0.1 KB for each of its words while it is encoded); the
+recursion over one text is one sequence of steps, some 40 microseconds a word and round.
+
 Counts of words: at most DICTIONARY words, the most frequent, are broadcast, by a
 threshold on the count that a histogram of counts gives. All other words of each
 document meet the whole table of counts in a join, so every token has its count.
@@ -45,6 +49,8 @@ _HELD = 1 << 23
 _TASK_TOKENS = 1 << 23
 _FLUSH = 250_000
 _TOGETHER = 1 << 16
+#: Symbols of a segment whose shares are held at once.
+_STEPS = 2_000_000
 
 
 def _tokens(value) -> list[bytes]:
@@ -55,6 +61,14 @@ def suffix(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % SUFFIXES
 
 
+class _Tails(dict):
+    """The shared symbol of each pair of last bytes, made when it is first met."""
+
+    def __missing__(self, tail: bytes) -> int:
+        self[tail] = found = suffix(tail)
+        return found
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, c) over the texts; each task adds up its own before the shuffle."""
 
@@ -166,29 +180,34 @@ def batches_of(sequences: list[np.ndarray], most: int = _CELLS):
         yield Batch(own, sequences)
 
 
-def forward(model: Model, batch: Batch, kind=np.float64, each=None) -> np.ndarray:
-    """Scaled forward recursion: log10 likelihood of each sequence of the batch, in the order of own.
+class Steps:
+    """Single steps of the scaled forward recursion of a batch."""
 
-    each, if given, gets for every place the symbols, the states' shares (K x live) and the
-    scales' reciprocals.
-    """
-    emit, move = np.ascontiguousarray(model.emit.T, kind), np.ascontiguousarray(model.move.T, kind)
+    def __init__(self, model: Model, batch: Batch, kind) -> None:
+        self.batch, self.kind = batch, kind
+        self.emit, self.move, self.start = np.ascontiguousarray(model.emit.T, kind), np.ascontiguousarray(model.move.T, kind), model.start.astype(kind)[:, None]
+
+    def emitted(self, t: int, out: np.ndarray | None = None) -> np.ndarray:
+        """The probability of each sequence's symbol at place t in each state (K x live)."""
+        return self.emit.take(self.batch.symbols(t), axis=1, out=out, mode="clip")
+
+    def forward(self, t: int, before: np.ndarray | None, out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The states' shares (K x live) at place t and the scales' reciprocals, from the shares at the place before."""
+        now = self.emitted(t, out)
+        now *= self.start if t == 0 else self.move @ before[:, : now.shape[1]]
+        inverse = 1 / now.sum(axis=0)
+        now *= inverse
+        return now, inverse
+
+
+def forward(model: Model, batch: Batch, kind=np.float64) -> np.ndarray:
+    """Scaled forward recursion: log10 likelihood of each sequence of the batch, in the order of own."""
+    steps = Steps(model, batch, kind)
     out = np.zeros(len(batch.own))
     now = None
     for t in range(batch.length):
-        symbols = batch.symbols(t)
-        emitted = emit.take(symbols, axis=1)
-        if now is None:
-            now = emitted * model.start.astype(kind)[:, None]
-        else:
-            now = move @ now[:, : len(symbols)]
-            now *= emitted
-        inverse = 1 / now.sum(axis=0)
-        now *= inverse
-        if each:
-            each(symbols, now, inverse)
-        else:
-            out[: len(symbols)] -= np.log10(inverse)
+        now, inverse = steps.forward(t, now)
+        out[: len(inverse)] -= np.log10(inverse)
     return out
 
 
@@ -198,34 +217,69 @@ class Expected:
     def __init__(self, symbols: int) -> None:
         self.start, self.move, self.emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((symbols, STATES))
 
-    def add(self, model: Model, batch: Batch) -> None:
-        steps: list[tuple] = []
-        forward(model, batch, np.float32, lambda *step: steps.append(step))
-        move, emit = model.move.astype(np.float32), np.ascontiguousarray(model.emit.T, np.float32)
+    def add(self, model: Model, batch: Batch, most: int = _STEPS) -> None:
+        """The way forward keeps the shares at the borders of segments of about `most` symbols; on the way back each segment's are made again.
+
+        So a batch takes memory for a segment and the borders, however long its sequences; one of one segment is gone through once each way.
+        """
+        steps = Steps(model, batch, np.float32)
+        borders = [0]
+        for t in range(1, batch.length):
+            if batch.at[t + 1] - batch.at[borders[-1]] > most:
+                borders.append(t)
+        segments = list(zip(borders, [*borders[1:], batch.length]))
+        entries: list[np.ndarray | None] = [None]  # the shares before each segment
+        for first, end in segments[:-1]:
+            now = entries[-1]
+            for t in range(first, end):
+                now, _ = steps.forward(t, now)
+            entries.append(now)
+        self.back_move = model.move.astype(np.float32)
         moved = np.zeros((STATES, STATES))
-        back = np.ones_like(steps[-1][1])
+        back = None
+        for first, end in reversed(segments):
+            back = self._segment(steps, entries.pop(), first, end, moved, back)
+        self.move += moved * model.move
+
+    def _segment(self, steps: Steps, entry: np.ndarray | None, first: int, end: int, moved: np.ndarray, back: np.ndarray | None) -> np.ndarray | None:
+        """Forward and backward over the places first to end: back is what comes in from behind, the result what goes on before."""
+        at = steps.batch.at
+        base = at[first]
+        shares, inverses = np.empty(STATES * (at[end] - base), np.float32), np.empty(at[end] - base, np.float32)
+
+        def view(t: int) -> np.ndarray:
+            return shares[STATES * (at[t] - base) : STATES * (at[t + 1] - base)].reshape(STATES, -1)
+
+        now = entry
+        for t in range(first, end):
+            now, inverses[at[t] - base : at[t + 1] - base] = steps.forward(t, now, view(t))
+        if back is None:
+            back = np.ones_like(now)
         wait: list[tuple] = []
         size = 0
-        while steps:
-            symbols, now, inverse = steps.pop()
-            gamma = now * back
-            wait.append((symbols, gamma))
-            size += len(symbols)
-            if size > _TOGETHER or not steps:
+        for t in range(end - 1, first - 1, -1):
+            gamma = view(t)
+            gamma *= back
+            wait.append((steps.batch.symbols(t), gamma))
+            size += gamma.shape[1]
+            if size > _TOGETHER or t == first:
                 self._emitted(wait)
                 wait, size = [], 0
-            if steps:
-                # looked up again: kept from the way forward, it would nearly double the memory
-                emitted = emit.take(symbols, axis=1)
-                emitted *= back
-                emitted *= inverse
-                before = steps[-1][1]
-                moved += before[:, : len(symbols)] @ emitted.T
-                back = np.empty_like(before)
-                back[:, : len(symbols)] = move @ emitted
-                back[:, len(symbols) :] = 1
-        self.move += moved * model.move
-        self.start += gamma.sum(axis=1, dtype=np.float64)
+            if t == 0:
+                self.start += gamma.sum(axis=1, dtype=np.float64)
+                return None
+            emitted = steps.emitted(t)
+            emitted *= back
+            emitted *= inverses[at[t] - base : at[t + 1] - base]
+            before = view(t - 1) if t > first else entry
+            live = emitted.shape[1]
+            moved += before[:, :live] @ emitted.T
+            if live == before.shape[1]:
+                back = self.back_move @ emitted
+            else:
+                back = np.ones_like(before)
+                back[:, :live] = self.back_move @ emitted
+        return back
 
     def _emitted(self, wait: list[tuple]) -> None:
         symbols, gamma = np.concatenate([s for s, _ in wait]), np.concatenate([g for _, g in wait], axis=1)
@@ -304,13 +358,13 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     symbol_of = np.where(own_symbol, np.arange(len(frequent)), n_words + shared_of).astype("<u2")
     more_of = np.where(own_symbol, 0.0, plain - below_log[shared_of])
     known = spark.sparkContext.broadcast(([w.encode() for _, w in frequent], symbol_of, plain, more_of))
-    log_below = below_log.tolist()
     end_term, end_known = math.log10(n_docs + 1), int(n_docs > 0)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches):
         words, symbol_of, plain, more_of = known.value
         place = {w: k for k, w in enumerate(words)}
+        tails = _Tails()
         end_symbol = end.to_bytes(2, "little")
         for b in batches:
             out: list[list] = [[] for _ in range(7)]
@@ -320,13 +374,11 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 unknown = np.flatnonzero(at < 0)
                 symbols, met = np.zeros(len(words), "<u2"), at[at >= 0] if len(unknown) else at
                 symbols[at >= 0] = symbol_of[met]
-                more = float(more_of[met].sum())
-                missing: Counter = Counter()
-                for i in unknown.tolist():
-                    k = suffix(words[i])
-                    symbols[i] = n_words + k
-                    more -= log_below[k]
-                    missing[words[i]] += 1
+                others = [words[i] for i in unknown.tolist()]
+                shares = np.fromiter(map(tails.__getitem__, (w[-2:] for w in others)), np.int64, len(others))
+                symbols[unknown] = n_words + shares
+                more = float(more_of[met].sum()) - float(below_log[shares].sum())
+                missing = Counter(others)
                 base = end_term + float(plain[met].sum())
                 rare, times = [w.decode() for w in missing], list(missing.values())
                 for column, x in zip(out, (len(words) + 1, end_known + len(met), base, more, symbols.tobytes() + end_symbol, rare, times)):

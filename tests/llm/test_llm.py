@@ -516,6 +516,34 @@ def test_hmm_forward_is_exact():
             assert np.allclose(a, b, atol=1e-5)
 
 
+def test_hmm_counts_by_segments():
+    """However short the segments, the counts are those of one segment; what is held at once does not grow with a text."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    seqs = [rng.integers(0, 9, n).astype("<u2") for n in (1, 40, 40, 3, 17, 1, 200)]
+    model = hmm_lm.Model.first(np.full(9, 1 / 9))
+    want = hmm_lm.Expected(9)
+    for batch in hmm_lm.batches_of(seqs):
+        want.add(model, batch)
+    for most in (1, 7, 50, 150):
+        got = hmm_lm.Expected(9)
+        for batch in hmm_lm.batches_of(seqs, 120):
+            got.add(model, batch, most)
+        for a, b in ((got.start, want.start), (got.move, want.move), (got.emit, want.emit)):
+            assert np.allclose(a, b, rtol=1e-4, atol=1e-5)
+
+    def peak(n):
+        batch = hmm_lm.Batch([0], [np.zeros(n, "<u2")])
+        tracemalloc.start()
+        hmm_lm.Expected(9).add(model, batch, 2000)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert peak(40_000) < peak(10_000) + 40_000 * 3  # borders, and no shares of all places
+
+
 def test_hmm_scores(spark, docs, empty, monkeypatch):
     monkeypatch.setattr(hmm_lm, "DICTIONARY", 3)
     monkeypatch.setattr(hmm_lm, "WORDS", 2)
