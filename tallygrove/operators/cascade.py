@@ -63,18 +63,50 @@ def unit_code(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, rf"{UNIT}(\d{{4,6}})\b", 1), F.lit(""))
 
 
-def prose_names(text: Column) -> Column:
-    """Capitalised names, three words at most, after a word that leads to a place."""
-    word = r"\p{Lu}[\p{L}\d-]+"
-    return F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}\d])(?:{'|'.join(PLACE_WORDS)})\s+({word}(?:\s+{word}){{0,2}})"), F.lit(1))
+def words(text: Column) -> Column:
+    """array<struct<w, opens, ends>>: what stands between white space, without signs around it, and whether signs stood before or after."""
+    chunks = F.filter(F.split(text, r"\s+"), lambda c: c != "")
+    bare_word = lambda c: F.regexp_replace(c, r"^[^\p{L}\d]+|[^\p{L}\d]+$", "")
+    return F.transform(chunks, lambda c: F.struct(bare_word(c).alias("w"), c.rlike(r"^[^\p{L}\d]").alias("opens"), c.rlike(r"[^\p{L}\d]$").alias("ends")))
 
 
-def hint_names(text: Column) -> Column:
-    """Capitalised runs anywhere, with hyphens as spaces too, and their parts of five letters and more."""
-    word = r"\p{Lu}[\p{L}\d]{2,}"
-    runs = F.regexp_extract_all(text, F.lit(rf"({word}(?:[\s-]{word}){{0,2}})"), F.lit(1))
-    parts = F.filter(F.flatten(F.transform(runs, lambda r: F.split(r, r"[\s-]+"))), lambda p: F.char_length(p) >= 5)
-    return F.array_distinct(F.concat(runs, F.transform(runs, lambda r: F.replace(r, F.lit("-"), F.lit(" "))), parts))
+def prose_names(spoken: Column) -> Column:
+    """Of the words of a text: names after a word that leads to a place, up to three capitalised words with no sign between."""
+    leads = F.array(*map(F.lit, PLACE_WORDS))
+
+    def after(i: Column) -> Column:
+        at = [F.get(spoken, i + k) for k in range(4)]
+        goes, name = F.array_contains(leads, at[0]["w"]), []
+        for before, now in zip(at, at[1:]):
+            goes = goes & ~before["ends"] & ~now["opens"] & now["w"].rlike(r"^\p{Lu}[\p{L}\d-]+$")
+            name.append(F.when(goes, now["w"]))
+        return F.concat_ws(" ", *name)
+
+    return F.filter(F.transform(F.sequence(F.lit(0), F.size(spoken)), after), lambda n: n != "")
+
+
+def hint_names(spoken: Column) -> Column:
+    """Of the words of a text: runs of up to three capitalised ones of three letters and more, with hyphens as spaces too, and their parts of five letters and more."""
+    part = lambda p, sign: F.struct(p.alias("p"), F.lit(sign).alias("sign"))
+    stop = F.array(part(F.lit(""), ""))
+    none = F.array().cast("array<struct<p:string,sign:string>>")
+
+    def parts(word: Column) -> Column:
+        own = F.transform(F.split(word["w"], "-"), lambda p, i: F.struct(p.alias("p"), F.when(i == 0, " ").otherwise("-").alias("sign")))
+        return F.concat(F.when(word["opens"], stop).otherwise(none), own, F.when(word["ends"], stop).otherwise(none))
+
+    def step(run: Column, x: Column) -> Column:
+        name = x["p"].rlike(r"^\p{Lu}[\p{L}\d]{2,}$")
+        on = name & run["n"].between(1, 2)
+        done = F.when((run["n"] > 0) & ~on, F.concat(run["done"], F.array(run["now"]))).otherwise(run["done"])
+        now = F.when(on, F.concat(run["now"], x["sign"], x["p"])).when(name, x["p"]).otherwise("")
+        n = F.when(on, run["n"] + 1).when(name, 1).otherwise(0)
+        return F.struct(done.alias("done"), now.alias("now"), n.alias("n"))
+
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"), F.lit(0).alias("n"))
+    runs = F.reduce(F.flatten(F.transform(spoken, parts)), start, step, lambda r: F.when(r["n"] > 0, F.concat(r["done"], F.array(r["now"]))).otherwise(r["done"]))
+    long = F.filter(F.flatten(F.transform(runs, lambda r: F.split(r, r"[\s-]+"))), lambda p: F.char_length(p) >= 5)
+    return F.array_distinct(F.concat(runs, F.transform(runs, lambda r: F.replace(r, F.lit("-"), F.lit(" "))), long))
 
 
 def towns_of(names: DataFrame, towns: DataFrame) -> DataFrame:
@@ -166,10 +198,10 @@ def locate(items: DataFrame, reg: Registers) -> DataFrame:
     sought = sought.join(seats.select(F.col("k").alias("branch"), F.col("c").alias("c1")), "branch", "left").join(seats.select(F.col("k").alias("seat"), F.col("c").alias("c2")), "seat", "left")
     base = base.join(land, "item_id", "left").join(sought.select("item_id", F.coalesce("c1", "c2").alias("court_county")), "item_id", "left")
     base = base.withColumn("anchors", F.array_distinct(F.array_compact(F.array("land_county", "court_county"))))
-    base = checkpointed(base)
+    base = checkpointed(base.withColumn("spoken", words(F.col("text"))))
 
-    prose = base.select("item_id", F.posexplode(prose_names(F.col("text"))).alias("pos", "name")).withColumn("role", F.lit("prose"))
-    hinted = base.select("item_id", F.posexplode(hint_names(F.col("text"))).alias("pos", "name")).withColumn("role", F.lit("hint"))
+    prose = base.select("item_id", F.posexplode(prose_names(F.col("spoken"))).alias("pos", "name")).withColumn("role", F.lit("prose"))
+    hinted = base.select("item_id", F.posexplode(hint_names(F.col("spoken"))).alias("pos", "name")).withColumn("role", F.lit("hint"))
     named = base.where("unit is not null").select("item_id", F.lit(0).alias("pos"), F.col("unit").alias("name"), F.lit("unit").alias("role"))
     found = checkpointed(candidates(prose.unionByName(hinted).unionByName(named), reg))
     hints = found.where((F.col("role") == "hint") & (F.size("found") == 1)).groupBy("item_id").agg(F.collect_set(F.col("found")[0]["county"]).alias("hints"))
@@ -183,7 +215,7 @@ def locate(items: DataFrame, reg: Registers) -> DataFrame:
     by_name = F.coalesce(F.col("only")["county"], F.col("only")["near"], several)
     base = base.withColumn("reg_county", F.when(F.col("code_known"), F.col("code_county")).otherwise(by_name))
     of_county = reg.counties.select("county", F.explode(F.array_distinct(F.array(fold(F.col("county")), fold(F.replace("county", F.lit(" županija"), F.lit("")))))).alias("k")).groupBy("k").agg(F.min("county").alias("named_county"))
-    base = checkpointed(base.withColumn("k", fold(F.col("unit"))).join(of_county, "k", "left").drop("text", "only"))
+    base = checkpointed(base.withColumn("k", fold(F.col("unit"))).join(of_county, "k", "left").drop("text", "spoken", "only"))
 
     none = F.lit(None).cast("string")
 

@@ -155,12 +155,15 @@ def longest_mention(texts: DataFrame, names: DataFrame) -> DataFrame:
 
     Instead of testing each name in each text, the texts' runs of as many words as names
     of the register have meet the names in an equi-join. texts: text_id, text; names: name.
+    If both have a county, only names of the text's county count.
     """
-    known = names.select(F.trim(F.regexp_replace(fold(F.col("name")), "[^a-z0-9]+", " ")).alias("k"), "name").where("k <> ''")
+    both = ["k", "county"] if "county" in texts.columns and "county" in names.columns else ["k"]
+    own = ["text_id", *both[1:]]
+    known = names.select(F.trim(F.regexp_replace(fold(F.col("name")), "[^a-z0-9]+", " ")).alias("k"), "name", *both[1:]).where("k <> ''")
     sizes = [r[0] for r in known.select(F.size(F.split("k", " ")).alias("n")).distinct().collect()]  # a few numbers
     # a column of its own: inside the lambda it would be split anew for each element
     words = F.split(F.trim(F.regexp_replace(fold(F.col("text")), "[^a-z0-9]+", " ")), " ")
-    texts = texts.select("text_id", words.alias("w"))
+    texts = texts.select(*own, words.alias("w"))
 
     def of_length(n: int) -> Column:
         return F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.array_join(F.slice("w", i, F.lit(n)), " "))
@@ -168,8 +171,8 @@ def longest_mention(texts: DataFrame, names: DataFrame) -> DataFrame:
     if not sizes:
         return texts.select("text_id", F.lit(None).cast("string").alias("name")).limit(0)
     runs = F.concat(*(of_length(n) for n in sorted(sizes)))  # array_distinct would compare all pairs of strings
-    each = texts.select("text_id", F.explode(runs).alias("k"))
-    met = each.join(known, "k")
+    each = texts.select(*own, F.explode(runs).alias("k"))
+    met = each.join(known, both)
     return met.groupBy("text_id").agg(F.max_by("name", F.struct(F.length("k"), "name")).alias("name"))
 
 
@@ -199,37 +202,3 @@ def name_counties(units: DataFrame, settlements: DataFrame, centres: DataFrame,
     return met.select(
         "unit_id", "name", "lat", "lon", F.when(inside, core).when(good, F.col("claimed")).alias("county"), F.when(inside, "jezgra").when(good, F.col("how")).alias("source")
     )
-
-
-def valid_proposals(proposals: DataFrame, settlements: DataFrame, units: DataFrame, ambiguous: list[str]) -> DataFrame:
-    """Proposed locations that the registers confirm: (item_id, county, settlement, unit, evidence).
-
-    proposals: item_id, text, county, settlement, unit (any may be null); units: name,
-    county. First the unit: one that the register has once decides, unless the proposed county
-    contradicts and the name is not in the text; several need the proposed county. Then the
-    settlement: of one county, or the proposed one among several or of an ambiguous name, and
-    no unit of that name in another county. Then a county that the text names.
-    """
-    from tallygrove.functions.text import grounded
-
-    clean = lambda c: fold(F.regexp_replace(F.trim(c), r"\s+(?:[IVX]{1,4}|\d{1,2})$", ""))
-    by_unit = units.where("county is not null").groupBy(fold(F.col("name")).alias("ku")).agg(F.count(F.lit(1)).alias("nu"), F.collect_set("county").alias("uc"), F.initcap(F.min("name")).alias("un"))
-    by_place = settlements.groupBy(fold(F.col("name")).alias("ks")).agg(F.collect_set("county").alias("sc"), F.collect_list(F.struct("population", "name", "county")).alias("sp"))
-    same = by_unit.select(F.col("ku").alias("ks"), F.col("uc").alias("other"))
-    met = proposals.withColumn("ku", clean(F.col("unit"))).withColumn("ks", clean(F.col("settlement")))
-    met = met.join(by_unit, "ku", "left").join(by_place, "ks", "left").join(same, "ks", "left")
-    spelled = lambda county: F.array_max(F.filter("sp", lambda x: x["county"] == county))["name"]
-    claimed = F.col("county")
-    one_unit = (F.col("nu") == 1) & (claimed.isNull() | (claimed == F.col("uc")[0]) | grounded(F.col("unit"), F.col("text")))
-    many_units = (F.col("nu") > 1) & F.array_contains("uc", claimed)
-    free = lambda county: F.size(F.array_except(F.coalesce("other", F.array().cast("array<string>")), F.array(county))) == 0
-    doubtful = F.col("ks").isin(*[a.lower() for a in ambiguous]) if ambiguous else F.lit(False)
-    one_place = ~doubtful & (F.size("sc") == 1) & free(F.col("sc")[0]) & (claimed.isNull() | (claimed == F.col("sc")[0]) | grounded(F.col("settlement"), F.col("text")))
-    many_places = (doubtful | (F.size("sc") > 1)) & F.array_contains("sc", claimed) & free(claimed)
-    nothing = F.col("nu").isNull() & F.col("sc").isNull()
-    stem = fold(F.replace(claimed, F.lit(" županija"), F.lit("")))
-    named = nothing & claimed.isNotNull() & F.contains(fold(F.col("text")), F.substring(stem, F.lit(1), F.char_length(stem) - 1))
-    county = F.when(one_unit, F.col("uc")[0]).when(many_units | many_places | named, claimed).when(one_place, F.col("sc")[0])
-    evidence = F.when(one_unit | many_units, F.concat(F.lit("k.o. "), F.col("un"))).when(one_place | many_places, F.concat(F.lit("naselje "), F.col("settlement"))).when(named, F.lit("županija u opisu"))
-    out = met.withColumn("c", county).where("c is not null")
-    return out.select("item_id", F.col("c").alias("county"), F.coalesce(spelled(F.col("c")), F.lit("")).alias("settlement"), F.when(one_unit | many_units, F.col("un")).otherwise("").alias("unit"), evidence.alias("evidence"))

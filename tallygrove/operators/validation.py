@@ -1,21 +1,27 @@
 """The twelve checks of a finished state against its source, its pages and its logs.
 
-Each check is a frame of violating rows that is only counted; nothing but a row a check
-leaves the executors.
+All checks give rows (name, offender) of one frame. It is counted by name in one grouped pass,
+with the first few offenders of each check; nothing else leaves the executors.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrove.functions import parse, pii
 from tallygrove.operators import linking, marts
+from tallygrove.operators.checkpoints import checkpointed
 
+# Fields that are looked through for personal data, compared in the sample, and whose coverage is told.
 TEXT_FIELDS = ["description", "issuer_name", "viewing_time", "location_raw", "cadastral_municipality", "case_ref", "sale_method", "scope"]
 SAMPLED = ["case_ref", "county", "city", "estimated_value_eur", "opening_price_eur", "area_m2", "auction_start", "auction_end", "property_type", "status"]
+COVERED = ["county", "city", "cadastral_municipality", "area_m2", "estimated_value_eur", "opening_price_eur", "discount_pct", "auction_id", "auction_start", "auction_end", "viewing_time", "property_type", "procedure_type", "status"]
+CHECKS = "keys_present fields_same coverage_reported no_personal_data detectors_work discounts known_repeat_linked no_mixed_cases pages diacritics history price_tracking".split()
+#: Offenders that a report names for each check.
+NAMED = 5
 CANARY = "ovršenik Pero Perić, OIB: 12345678901, mob. 091 123 4567, a.b@mail.example.com"
 
 
@@ -43,10 +49,14 @@ def personal_data(items: DataFrame, pages: DataFrame, given_names: Sequence[str]
     return hits.where(F.lower(F.trim("hit")) != own_address.lower()).unionByName(names.select("place", F.lit("name").alias("kind"), "hit"))
 
 
+def _wrong_discount() -> Column:
+    e, o = F.col("estimated_value_eur").cast("double"), F.col("opening_price_eur").cast("double")
+    return F.coalesce(F.abs(parse.discount_pct(e, o) - F.col("discount_pct")) > 0.01, F.lit(False))
+
+
 def wrong_discounts(items: DataFrame) -> DataFrame:
     """Items whose discount differs from its recomputation by more than a hundredth."""
-    e, o = F.col("estimated_value_eur").cast("double"), F.col("opening_price_eur").cast("double")
-    return items.where((F.abs(parse.discount_pct(e, o) - F.col("discount_pct")) > 0.01) & F.col("discount_pct").isNotNull())
+    return items.where(_wrong_discount())
 
 
 def page_faults(pages: DataFrame, sitemap: DataFrame) -> DataFrame:
@@ -90,46 +100,88 @@ def _absent(found: DataFrame, what: str) -> DataFrame:
     return found.limit(1).agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit(what).alias("what"))
 
 
-def validate(
+def _told(name: str, rows: DataFrame, *parts: str) -> DataFrame:
+    """Violating rows as (name, offender)."""
+    return rows.select(F.lit(name).alias("name"), F.concat_ws(" ", *(F.col(c).cast("string") for c in parts)).alias("offender"))
+
+
+def item_violations(state: DataFrame, given_names: Sequence[str], own_address: str = "") -> DataFrame:
+    """(name, offender) of what single items violate, all checks of a row in one look: personal data in text fields, names left in descriptions, wrong discounts."""
+    struct = lambda name, *parts: F.struct(F.lit(name).alias("name"), F.concat_ws(" ", *parts).alias("offender"))
+    foreign = lambda hits: F.filter(hits, lambda h: F.lower(F.trim(h["hit"])) != own_address.lower())
+    told = lambda f: F.transform(foreign(pii.scan(F.col(f))), lambda h: struct("no_personal_data", F.concat_ws(".", "item_key", F.lit(f)), h["kind"]))
+    hits = [told(f) for f in TEXT_FIELDS if f in state.columns]
+    names = F.transform(pii.residual_names(F.col("description"), given_names), lambda n: struct("no_personal_data", F.concat_ws(".", "item_key", F.lit("description")), F.lit("name")))
+    wrong = F.array_compact(F.array(F.when(_wrong_discount(), struct("discounts", F.col("item_key")))))
+    return state.select(F.explode(F.concat(*hits, names, wrong)).alias("v")).select("v.*")
+
+
+def coverage_text(state: DataFrame) -> DataFrame:
+    """One row (name, detail): how many items have a county and how many have not, and the share of each covered field in percent, if there are items."""
+    filled = lambda c: F.count_if(F.col(c).isNotNull() & (F.col(c).cast("string") != ""))
+    fields = [c for c in COVERED if c in state.columns]
+    got = state.agg(F.count(F.lit(1)).alias("n"), *(filled(c).alias(c) for c in fields))
+    share = lambda c: F.concat_ws(" ", F.lit(c), F.format_number(F.round((100 * F.col(c) / F.col("n")).cast("decimal(18,6)"), 1), 1))
+    told = F.concat(F.col("county"), F.lit(" with a county, "), F.col("n") - F.col("county"), F.lit(" without; "), F.concat_ws(", ", *(share(c) for c in fields)))
+    return got.select(F.lit("coverage_reported").alias("name"), F.when(F.col("n") > 0, told).otherwise("no items").alias("detail"))
+
+
+def violations(
     snapshot: DataFrame, state: DataFrame, pages: DataFrame, sitemap: DataFrame, runs: DataFrame, prices: DataFrame, events: DataFrame,
     county: str, case_ref: str, given_names: Sequence[str], own_address: str = "",
 ) -> DataFrame:
-    """(name, violations, status) of the twelve checks.
-
-    Coverage is reported and never fails. History over time fails on a change between runs
-    of one source, and warns while only one source was seen or nothing changed.
-    """
+    """(name, offender) of all checks."""
     spark = state.sparkSession
     canary = spark.range(1).select(F.explode(pii.scan(F.lit(CANARY))).alias("h")).agg(F.count_distinct("h.kind").alias("kinds")).where("kinds < 3")
     priced = state.where("opening_price_eur is not null and opening_price_eur <> 0").orderBy("item_key").limit(1)
     probe = priced.select("item_key", "status", F.col("opening_price_eur").cast("double").alias("opening_price_eur"))
     cut = probe.withColumn("opening_price_eur", F.col("opening_price_eur") * 0.8)
     caught = linking.snapshot_diff(cut, probe, "item_key", ["opening_price_eur"], "status").where("event = 'cijena'")
-    marked = pages.where(F.col("html").rlike("[čćžšđČĆŽŠĐ]"))
-    several = distinct_sources(runs).where("sources > 1")
     one_source = distinct_sources(runs).where("sources < 2")
-    phantom = prices.select(F.lit("change").alias("what")).join(one_source.select(F.lit("change").alias("what")), "what", "left_semi")
-    tracked = prices.select(F.lit("x").alias("what")).unionByName(events.where(F.col("event_type").isin("nova", "status")).select(F.lit("x").alias("what")))
-    checks = [
-        ("keys_present", snapshot.join(state, "item_key", "left_anti")),
-        ("fields_same", field_differences(sample(snapshot, county), state)),
-        ("coverage_reported", state.limit(0)),
-        ("no_personal_data", personal_data(state, pages, given_names, own_address)),
-        ("detectors_work", canary),
-        ("discounts", wrong_discounts(state)),
-        ("known_repeat_linked", _absent(progressing(state, case_ref), case_ref)),
-        ("no_mixed_cases", mixed_cases(state)),
-        ("pages", page_faults(pages, sitemap)),
-        ("diacritics", _absent(marked, "diacritics")),
-        ("history", phantom),
-        ("price_tracking", _absent(caught, "change")),
+    phantom = prices.select("item_key", F.lit("change").alias("what")).join(F.broadcast(one_source.select(F.lit("change").alias("what"))), "what", "left_semi")
+    shown = pages.select("path", F.explode(pii.scan(marts.visible_text(F.col("html")))).alias("h")).where(F.lower(F.trim("h.hit")) != own_address.lower())
+    parts = [
+        _told("keys_present", snapshot.join(state, "item_key", "left_anti"), "item_key"),
+        _told("fields_same", field_differences(sample(snapshot, county), state), "item_key", "field"),
+        item_violations(state, given_names, own_address),
+        _told("no_personal_data", shown, "path", "h.kind"),
+        _told("detectors_work", canary, "kinds"),
+        _told("known_repeat_linked", _absent(progressing(state, case_ref), case_ref), "what"),
+        _told("no_mixed_cases", mixed_cases(state), "repeat_group"),
+        _told("pages", page_faults(pages, sitemap), "path", "fault"),
+        _told("diacritics", _absent(pages.where(F.col("html").rlike("[čćžšđČĆŽŠĐ]")), "diacritics"), "what"),
+        _told("history", phantom, "item_key"),
+        _told("price_tracking", _absent(caught, "change"), "what"),
     ]
-    report = marts.checks_report(checks)
-    some = tracked.limit(1).select(F.lit("history").alias("name"))
-    watched = several.select(F.lit("history").alias("name"), F.lit(True).alias("watched")).join(some, "name", "left_semi")
-    met = report.join(F.broadcast(watched), "name", "left")
-    warn = (F.col("name") == "history") & (F.col("violations") == 0) & F.col("watched").isNull()
-    return met.select("name", "violations", F.when(warn, "WARN").otherwise(F.col("status")).alias("status"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def validate(
+    snapshot: DataFrame, state: DataFrame, pages: DataFrame, sitemap: DataFrame, runs: DataFrame, prices: DataFrame, events: DataFrame,
+    county: str, case_ref: str, given_names: Sequence[str] = tuple(pii.GIVEN_NAMES), own_address: str = "",
+) -> DataFrame:
+    """(name, violations, status, offenders, detail) of the twelve checks.
+
+    offenders are the first NAMED ones. Coverage is reported in detail and never fails. History
+    over time fails on a change between runs of one source, and warns while only one source
+    was seen or nothing changed.
+    """
+    spark = state.sparkSession
+    found = checkpointed(violations(snapshot, state, pages, sitemap, runs, prices, events, county, case_ref, given_names, own_address))
+    counts = found.groupBy("name").agg(F.count(F.lit(1)).alias("violations"))
+    first = marts.top_by_group(found, "name", [F.col("offender")], NAMED).groupBy("name").agg(F.array_sort(F.collect_list("offender")).alias("offenders"))
+    several = distinct_sources(runs).where("sources > 1").select(F.lit("history").alias("name"))
+    tracked = prices.select(F.lit("history").alias("name")).unionByName(events.where(F.col("event_type").isin("nova", "status")).select(F.lit("history").alias("name"))).limit(1)
+    watched = several.join(F.broadcast(tracked), "name", "left_semi").withColumn("watched", F.lit(True))
+    report = spark.createDataFrame([(c,) for c in CHECKS], "name string")
+    for more in (counts, first, watched, coverage_text(state)):  # a row for each check at most
+        report = report.join(F.broadcast(more), "name", "left")
+    n = F.coalesce("violations", F.lit(0))
+    status = F.when(n > 0, "FAIL").when((F.col("name") == "history") & F.col("watched").isNull(), "WARN").otherwise("PASS")
+    return report.select("name", n.alias("violations"), status.alias("status"), F.coalesce("offenders", F.array().cast("array<string>")).alias("offenders"), F.coalesce("detail", F.lit("")).alias("detail"))
 
 
 def exit_code(report: DataFrame) -> int:

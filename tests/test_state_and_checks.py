@@ -1,14 +1,18 @@
 """State versions and logs, the twelve checks with planted faults, register build and proposals."""
 
 import datetime as dt
+import hashlib
+import re
 import threading
+import xml.etree.ElementTree
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallygrove.operators import items, linking, location, marts, validation
+from tallygrove.functions import parse
+from tallygrove.operators import cascade, items, linking, location, marts, proposals, validation
 from tallygrove.sources import snapshot, state
 
 
@@ -174,13 +178,60 @@ def test_register_build(spark):
     assert got == {"1": ("A", "jezgra"), "2": ("B", "ime"), "3": ("B", "ime-obrnuto"), "4": ("B", "ime-slozeno"), "5": (None, None), "6": (None, None)}
 
 
+OFFERED = [
+    # id, text, county, settlement, unit; county, settlement, unit of the answer, or a part of the reason
+    (1, "k.o. Trsat", None, None, "Trsat", ("A", "", "Trsat")),
+    (2, "tekst", "B", None, "Trsat", "proturječje"),
+    (3, "kuća, k.o. TRSAT", "B", None, "Trsat", ("A", "", "Trsat")),
+    (4, "x", None, "Lipa", "Trsat", ("A", "Lipa", "Trsat")),
+    (5, "x", None, "Brod", "Trsat", "se ne slažu"),
+    (6, "u k.o. Trsat", None, "Brod", "Trsat", ("A", "", "Trsat")),
+    (7, "x", "B", "Luka", None, ("B", "Luka", "")),
+    (8, "x", None, "Luka", None, "postoji u 2 županija"),
+    (9, "x", None, "Lipa", None, ("A", "Lipa", "")),
+    (10, "x", "B", "Lipa", None, "je u A"),
+    (11, "mjesto Lipa", "B", "Lipa", None, ("A", "Lipa", "")),
+    (12, "x", None, "Otok", None, "dvoznačno"),
+    (13, "x", "A", "Otok", None, ("A", "Otok", "")),
+    (14, "x", None, "Blato", None, "istoimena k.o."),
+    (15, "x", None, "Nigdje", None, "nije u DZS"),
+    (16, "u županiji Beta", "Beta županija", None, None, ("Beta županija", "", "")),
+    (17, "x", "Beta županija", "Nigdje", None, "ni županija ni njoj"),
+    (18, "kraj Vrela, Vrelo", "Gama", None, None, ("Gama", "Vrelo", "")),
+    (19, "kraj Polja, Polje", "Gama", None, None, "ni županija ni njoj"),
+    (20, "x", "B", None, "Dva", ("B", "", "Dva")),
+    (21, "x", None, None, "Dva", "nije prepoznao"),
+    (22, "x", None, "Lipa", "Bez", ("A", "Lipa", "")),
+    (23, "x", None, None, "Dol Donji II", ("B", "", "Donji Dol")),
+    (24, None, None, None, None, "nije prepoznao"),
+    (25, "x", " ", "", "  ", "nije prepoznao"),
+]
+
+
 def test_proposals(spark):
-    offered = [(1, "k.o. Trsat", None, None, "Trsat"), (2, "tekst", "B", None, "Trsat"), (3, "x", "B", "Luka", None), (4, "x", None, "Luka", None), (5, "x", None, "Lipa", None), (6, "u županiji Beta", "Beta", None, None), (7, "x", "Beta", "Nigdje", None)]
-    frame = spark.createDataFrame(offered, "item_id int, text string, county string, settlement string, unit string")
-    places = spark.createDataFrame([("Luka", "A", 5), ("Luka", "B", 9), ("Lipa", "A", 3)], "name string, county string, population int")
-    units = spark.createDataFrame([("Trsat", "A")], "name string, county string")
-    got = {r["item_id"]: r["county"] for r in location.valid_proposals(frame, places, units, ["Otok"]).collect()}
-    assert got == {1: "A", 3: "B", 5: "A", 6: "Beta"}
+    frame = spark.createDataFrame([r[:5] for r in OFFERED], "item_id int, text string, county string, settlement string, unit string")
+    places = spark.createDataFrame([("Luka", "A", 5), ("Luka", "B", 9), ("Lipa", "A", 3), ("LIPA", "A", 1), ("Brod", "B", 2), ("Otok", "A", 7), ("Blato", "A", 4), ("Vrelo", "Gama", 4), ("Polje", "Gama", 4)], "name string, county string, population int")
+    units = spark.createDataFrame([("1", "TRSAT", "A"), ("2", "BLATO", "B"), ("3", "DVA", "A"), ("4", "DVA", "B"), ("5", "BEZ", None), ("6", "DONJI DOL", "B"), ("7", "POLJE", "B")], "code string, name string, county string")
+    got = {r["item_id"]: r for r in proposals.judge_proposals(frame, places, units, ["Otok"]).collect()}
+    assert len(got) == len(OFFERED)
+    for i, *_, want in OFFERED:
+        r = got[i]
+        if isinstance(want, str):
+            assert r["county"] is None and want in r["reason"] and not r["evidence"], (i, r)
+        else:
+            assert (r["county"], r["settlement"], r["unit"]) == want and r["evidence"] and not r["reason"], (i, r)
+    assert {r["item_id"] for r in proposals.valid_proposals(frame, places, units, ["Otok"]).collect()} == {i for i, *_, want in OFFERED if not isinstance(want, str)}
+
+
+def test_names_in_text(spark):
+    texts = ["kuća u Vela Luka, na Otoku", "iz Donjeg Sela Velikog Polja Maloga", "u (Splitu) i kod Novi-Grad", "u, Splitu", "Uz Split", None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", cascade.words(F.coalesce("t", F.lit(""))).alias("w"))
+    prose = [r[0] for r in frame.orderBy("i").select(cascade.prose_names(F.col("w"))).collect()]
+    assert prose == [["Vela Luka", "Otoku"], ["Donjeg Sela Velikog"], ["Novi-Grad"], [], [], [], []]
+    told = ["Ličko-senjska, Vela Luka Mala Gora", "NOVI-GRAD kraj Sela. Brod", "ab Cd", ""]
+    frame = spark.createDataFrame(list(enumerate(told)), "i int, t string").select("i", cascade.words(F.col("t")).alias("w"))
+    hints = [set(r[0]) for r in frame.orderBy("i").select(cascade.hint_names(F.col("w"))).collect()]
+    assert hints == [{"Ličko", "Vela Luka Mala", "Gora"}, {"NOVI-GRAD", "NOVI GRAD", "Sela", "Brod"}, set(), set()]
 
 
 def test_links_of_a_hot_group(spark):
@@ -201,13 +252,122 @@ def test_exact_median(spark):
 
 def test_titles_and_feeds(spark, tmp_path):
     df = spark.createDataFrame([(1, "t", "x"), (2, "t", "x"), (3, "t", "y"), (4, "u", "z"), (5, None, "z")], "k int, t string, s string")
-    assert rows(marts.unique_titles(df, "t", "s", "k").select("k", "unique_title")) == [(1, "t · x · 1"), (2, "t · x · 2"), (3, "t · y"), (4, "u"), (5, None)]
-    made = spark.createDataFrame([("A & B", "https://x/1", dt.datetime(2024, 1, 5, 9, 0))], "title string, url string, at timestamp_ntz")
-    snapshot.write_feed(made, f"file://{tmp_path}/feed", "title", "url", "at", "C", "https://x/")
-    text = spark.read.text(f"file://{tmp_path}/feed", wholetext=True).first()[0]
-    assert text.startswith("<?xml") and "A &amp; B" in text and "Fri, 05 Jan 2024 09:00:00 +0000" in text and text.strip().endswith("</rss>")
-    snapshot.write_sitemap(made.select(F.col("url").alias("path")), f"file://{tmp_path}/map")
-    assert "<urlset" in spark.read.text(f"file://{tmp_path}/map", wholetext=True).first()[0]
+    assert rows(marts.unique_titles(df, "t", "s", "k").select("k", "unique_title")) == [(1, "t · x / 1"), (2, "t · x / 2"), (3, "t · y"), (4, "u"), (5, None)]
+    kinds = "card_title string, url string, publish_start timestamp_ntz, opening_price_eur double, type_label string, county string, discount_pct double, discount_suspicious boolean, auction_end timestamp_ntz"
+    day = lambda d: dt.datetime(2024, 1, d, 9, 0)
+    made = spark.createDataFrame([("A & B", "/1/", day(5), 1234.5, "Stan", "Z", 10.0, False, day(30)), ("Z", "/2/", day(9), None, "", None, None, None, None), ("none", "/3/", None, 1.0, "", "", 1.0, False, None), ("C", "/4/", day(7), 0.0, "Kuća", "", 99.0, True, None)], kinds)
+    for n, want in ((50, ["/2/", "/4/", "/1/"]), (2, ["/2/", "/4/"])):
+        snapshot.write_feed(made, f"file://{tmp_path}/feed.xml", "T & U", "https://x", "D", n=n)
+        text = (tmp_path / "feed.xml").read_text()
+        assert re.findall(r'<guid isPermaLink="true">https://x(.*?)</guid>', text) == want  # the newest first
+    snapshot.write_feed(made, f"file://{tmp_path}/feed.xml", "T & U", "https://x", "D")
+    text = (tmp_path / "feed.xml").read_text()
+    assert text.startswith('<?xml version="1.0" encoding="UTF-8"?>') and "<title>T &amp; U</title>" in text and "<language>hr</language>" in text and text.endswith("</channel></rss>\n")
+    assert "<title>A &amp; B, 1\u00a0234,50\u00a0€</title><link>https://x/1/</link>" in text and "<pubDate>Fri, 05 Jan 2024 09:00:00 +0100</pubDate>" in text
+    assert "<description>Stan · Z · 10,0\u00a0% ispod procjene · nadmetanje do 30.01.2024.</description>" in text and "<description>Kuća</description>" in text and "<description></description>" in text
+    xml.etree.ElementTree.fromstring(text)
+
+
+@pytest.mark.parametrize("most, files", [(50_000, 1), (100, 4), (390, 1)])
+def test_sitemap_in_files(spark, tmp_path, most, files):
+    """Each path once, by its first page, in order; files of bounded length, under an index where there are several."""
+    made = [(i, f"/p{i % 390}/" if i % 390 else "/a&b/", "daily" if i < 390 else "never", 0.5 + (i % 5) / 10) for i in range(500)]
+    pages = spark.createDataFrame(made, "row_ord int, path string, changefreq string, priority double").repartition(7)
+    for _ in range(2):  # written again over itself
+        assert snapshot.write_sitemap(pages, f"file://{tmp_path}/site", "https://x", "2024-01-01", most=most) == files
+    names = sorted(p.name for p in (tmp_path / "site").glob("*.xml"))
+    parts = ["sitemap.xml"] if files == 1 else [f"sitemap-{k}.xml" for k in range(files)]
+    assert names == sorted({"sitemap.xml", *parts}) and not (tmp_path / "site/_shards").exists()
+    texts = [(tmp_path / "site" / n).read_text() for n in parts]
+    urls = [re.findall("<loc>(.*?)</loc>", t) for t in texts]
+    assert max(map(len, urls)) <= most and [u for own in urls for u in own] == ["https://x/a&amp;b/", *(f"https://x/p{i}/" for i in range(1, 390))]
+    for t in texts:
+        xml.etree.ElementTree.fromstring(t)
+    assert "  <url><loc>https://x/p7/</loc><lastmod>2024-01-01</lastmod><changefreq>daily</changefreq><priority>0.7</priority></url>" in "".join(texts) and "never" not in "".join(texts)
+    assert (tmp_path / "site/robots.txt").read_text() == "User-agent: *\nAllow: /\n\nSitemap: https://x/sitemap.xml\n"
+    if files > 1:
+        assert re.findall("<loc>(.*?)</loc>", (tmp_path / "site/sitemap.xml").read_text()) == [f"https://x/{n}" for n in parts]
+
+
+def test_sitemap_of_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], "row_ord int, path string, changefreq string, priority double")
+    assert snapshot.write_sitemap(empty, f"file://{tmp_path}/s", "https://x", "2024-01-01") == 0
+    assert "<urlset" in (tmp_path / "s/sitemap.xml").read_text()
+
+
+def test_pages_are_written_once(spark, tmp_path):
+    pages = spark.createDataFrame([("/a/", "x"), ("/b/", "y"), ("/a/", "z")], "path string, html string")
+    with pytest.raises(Exception, match="2 pages write to the same path: /a/"):
+        snapshot.written_once(pages).write.parquet(f"file://{tmp_path}/pages")
+    assert not (tmp_path / "pages/_SUCCESS").exists()
+    assert rows(snapshot.written_once(pages.where("html <> 'z'"))) == [("/a/", "x"), ("/b/", "y")]
+
+
+def test_sources(spark, tmp_path):
+    """Metadata, floors, dates, registers, HTML files, the independent reading, photos, lists of posts."""
+    (tmp_path / "s.csv").write_text('\ufeffOpis;Stanje na dan\n"a\nb";\n;\nc;05.08.2026\n', encoding="utf-8")
+    at = f"file://{tmp_path}/s.csv"
+    meta = snapshot.source_meta(spark, at)
+    raw = (tmp_path / "s.csv").read_bytes()
+    assert [(r["bytes"], r["sha256"]) for r in meta.collect()] == [(len(raw), hashlib.sha256(raw).hexdigest())]
+    got, date = snapshot.reread(spark, at, ["Opis", "Stanje na dan"])
+    assert [r["Opis"] for r in got.orderBy("row_ord").collect()] == ["a\nb", "c"] and date == "05.08.2026"
+    assert snapshot.reread(spark, at, ["Opis"])[1] is None
+    assert rows(snapshot.guard_snapshot(meta, got)) == [("bytes", False), ("rows", False)]
+    assert rows(snapshot.guard_snapshot(meta, got, 10, 2)) == [("bytes", True), ("rows", True)]
+    assert rows(snapshot.guard_snapshot(meta.limit(0), got, 1, 2)) == [("bytes", False), ("rows", True)]
+    (tmp_path / "r.csv").write_text("naziv;lat\nTrsat;45.3\n", encoding="utf-8")
+    assert rows(snapshot.read_register(spark, f"file://{tmp_path}/r.csv", {"naziv": "string", "lat": "double"})) == [("Trsat", 45.3)]
+    (tmp_path / "site/deep").mkdir(parents=True)
+    (tmp_path / "site/deep/x.html").write_text("<p>č\nd</p>", encoding="utf-8")
+    (tmp_path / "site/y.txt").write_text("no", encoding="utf-8")
+    assert [(r["path"].rsplit("/", 2)[1:], r["html"]) for r in snapshot.read_html(spark, f"file://{tmp_path}/site").collect()] == [(["deep", "x.html"], "<p>č\nd</p>")]
+    (tmp_path / "p.json").write_text('{"rab": {"autor": "A", "licenca": "CC"}, "vis": {}}', encoding="utf-8")
+    assert rows(snapshot.read_photos(spark, f"file://{tmp_path}/p.json")) == [("rab", {"autor": "A", "licenca": "CC"}), ("vis", {})]
+    a, b = spark.createDataFrame([("x", "2024-01-02")], "url string, day string"), spark.createDataFrame([("y", "2024-03-01"), ("a", "2024-01-02")], "url string, day string")
+    assert [r["url"] for r in snapshot.newest_first(a, b, date="day", key="url").collect()] == ["y", "a", "x"]
+
+
+def test_listings(spark):
+    """Display order, unresolved by issuer, removals, events, numbers, keys in common, baseline."""
+    kinds = "item_key string, status string, discount_pct double, county string, issuer_type string, issuer_name string"
+    made = [("a", "zavrseno", 50.0, None, "fina", "F"), ("b", "u_tijeku", None, None, "", "G"), ("c", "u_tijeku", -5.0, "Z", "fina", "F"), ("d", "u_tijeku", 9.0, None, None, "G"), ("e", "?", 99.0, None, "fina", "H")]
+    df = spark.createDataFrame(made, kinds)
+    assert [r["item_key"] for r in marts.sort_for_display(df, "status", "discount_pct", "item_key", ["u_tijeku", "zavrseno"]).collect()] == ["d", "b", "c", "a", "e"]
+    by_type, names = items.unresolved_by_issuer(df, 2)
+    assert rows(by_type) == [("fina", 2), ("nepoznato", 2)] and [tuple(r) for r in names.collect()] == [("G", 2), ("F", 1)]
+    removed = spark.createDataFrame([({"email": 2, "iban": 1},), ({"email": 1},), ({},)], "removed map<string,int>")
+    assert [tuple(r) for r in items.removal_summary(removed).collect()] == [("email", 3), ("iban", 1)]
+    events = spark.createDataFrame([("nova",), ("nova",), ("status",), ("cijena",)], "event_type string")
+    assert rows(validation.event_counts(events, ["nova", "status"])) == [("nova", 2), ("status", 1)]
+    numbers = spark.createDataFrame([("1.5",), ("x",), (None,), ("",)], "v string")
+    assert [r[0] for r in numbers.select(parse.number_or_null(F.col("v"))).collect()] == [1.5, None, None, None]
+
+
+def test_overrides_points_and_counties(spark):
+    places = spark.createDataFrame([("Luka", "A"), ("Lipa", "B")], "name string, county string")
+    units = spark.createDataFrame([("Trsat", "A"), ("Blato", "B")], "name string, county string")
+    counties = spark.createDataFrame([("A",), ("B",)], "county string")
+    offered = spark.createDataFrame([("1", "A", "Luka", ""), ("2", "A", "Lipa", ""), ("3", "C", "", ""), ("4", "A", "", "Blato"), ("5", "A", None, "Trsat")], "item_id string, county string, settlement string, unit string")
+    good = location.valid_overrides(offered, counties, places, units)
+    assert {r["item_id"] for r in good.collect()} == {"1", "5"}
+    found = spark.createDataFrame([("1", None, None, "nema"), ("5", "B", "Grad", "visoka"), ("9", None, None, "nema")], "item_id string, county string, city string, confidence string")
+    got = location.with_overrides(found, good.select("item_id", F.col("county").alias("o_county"), F.col("settlement").alias("o_city")))
+    assert rows(got) == [("1", "A", "Luka", "srednja"), ("5", "B", "Grad", "visoka"), ("9", None, None, "nema")]
+    named = spark.createDataFrame([("Ličko-senjska",), ("licko-senjska ŽUPANIJA",), ("Grad Zagreb",), ("Narnija",), (None,)], "name string")
+    known = {r["name"]: r["official"] for r in cascade.official_county(named, ["Ličko-senjska županija", "Grad Zagreb"]).collect()}
+    assert known == {"Ličko-senjska": "Ličko-senjska županija", "licko-senjska ŽUPANIJA": "Ličko-senjska županija", "Grad Zagreb": "Grad Zagreb", "Narnija": None, None: None}
+
+
+def test_map_points(spark):
+    """By code, else by the only unit of a name, else by the only one near the county's centre."""
+    empty = lambda s: spark.createDataFrame([], s)
+    units = spark.createDataFrame([("111111", "TRSAT", 45.3, 14.4, "A"), ("2222", "DVA", 45.0, 15.0, "A"), ("3333", "DVA", 48.0, 18.0, "B"), ("4444", "TRI", 45.1, 15.0, "A"), ("5555", "TRI", 45.2, 15.0, "A")], "code string, name string, lat double, lon double, county string")
+    reg = cascade.Registers(empty("name string, county string, population int"), empty("form string, town string, county string"), empty("town string, county string"), spark.createDataFrame([("A", 45.0, 15.0), ("B", 48.0, 18.0)], "county string, lat double, lon double"), units)
+    given = spark.createDataFrame([(1, "k.o. 111111 x"), (2, "x"), (3, "x"), (4, "x"), (5, "x")], "item_id int, text string")
+    located = spark.createDataFrame([(1, "B", "DVA"), (2, None, "Trsat"), (3, "B", "Dva"), (4, "A", "Tri"), (5, "A", None)], "item_id int, county string, cadastral_municipality string")
+    got = cascade.points(located, given, reg)
+    assert rows(got) == [(1, 45.3, 14.4, "matični broj"), (2, 45.3, 14.4, "naziv"), (3, 48.0, 18.0, "naziv i županija")]
 
 
 def test_staleness_and_residue(spark):
