@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tallygrove.plans import registry, reports  # noqa: F401
+from tallygrove.plans import places, registry, reports  # noqa: F401
 from tallygrove.plans.queries import ORACLE_SQL, QUERIES
 
 SF = Path("/root/testdata/sf0.001")
