@@ -4,17 +4,20 @@ A page is cut into a flat list of blocks at block-level tags. Each block is desc
 by its word count and link density, those of the block before and after it, whether it
 stands inside an article or main element (and whether the page has one), inside an
 element whose tag, role, class or id names boilerplate, and whether it is a heading. A
-decision tree over these, grown by Gini impurity, tells content from boilerplate;
-contents are joined in page order. The tree's first TEXT_LEVELS levels split on words and
-link densities of the block and its neighbours wherever that tells anything; the flags
-settle what those leave mixed.
+decision tree over these, grown by Gini impurity and free to take any feature at any level,
+tells content from boilerplate; contents are joined in page order.
+
+A class, id or role names boilerplate only as a whole (no-sidebar is no sidebar), and what
+holds an article is no boilerplate for what it is called.
 
 The labelled table is small and made by rule: SAMPLES pages are put together from
 fragments of known label (FRAGMENTS) in the order pages have them, cut into blocks as any page
-is, and each block gets its fragment's label.
+is, and each block gets its fragment's label. Half of the pages have no article element, and
+much of their boilerplate has no name, so that words, links and neighbours must tell.
 
 Defined results: null or empty html gives an empty text; unclosed tags are closed by
-their container, an unclosed comment or script runs to the end; repeated rows each get
+their container, an unclosed comment or script runs to the end; a tree's tie goes to the
+feature that comes first, a leaf's to content; repeated rows each get
 a row; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -33,8 +36,6 @@ from pyspark.sql.functions import arrow_udf
 from ._common import slim
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_article", "page_has_article", "boilerplate", "heading")
-TEXT = range(6)
-TEXT_LEVELS = 3
 DEPTH = 10
 LEAF = 4
 SAMPLES = 300
@@ -47,7 +48,11 @@ BOTTOM += ["<footer>s <a>s</a> w</footer>", "<footer>w<br>s <a>s</a></footer>",
 MAIN = ["<h2>s</h2>", "<h3>x</h3>", "<p>w</p>", "<p>w</p>", "<p>s</p>", "<p>x</p>", "<p>w <a>s</a> s</p>", "<ul><li>s</li><li>w</li></ul>", "<blockquote>w</blockquote>"]
 IN_ARTICLE = ["<p><a>s</a></p>", "<p><a>x</a><br><a>x</a></p>", "<p>w<br>s</p>"]
 #: Outside articles and named by nothing: only words and links tell.
-LOOSE = ["<ul><li><a>x</a><li><a>s</a><li><a>x</a></ul>", "<div><a>s</a> <a>s</a></div>", "<div><a>x</a></div>"]
+LOOSE = ["<div><p><a>s</a></p><p>s</p><p><a>s</a></p><p>x</p><p><a>s</a></p></div>", "<ul><li><a>x</a><li><a>s</a><li><a>x</a></ul>", "<div><a>s</a> <a>s</a></div>", "<div><a>x</a></div>"]
+#: Content outside articles that its neighbours tell: a link between long texts.
+BETWEEN = ["<p>w</p><p><a>s</a></p><p>w</p>"]
+#: Lists of links around pages of either kind, half of them in elements that say nothing.
+LINKS = ["<ul><li><a>x</a><li><a>x</a><li><a>s</a><li><a>x</a><li><a>x</a></ul>", "<div><p><a>s</a></p><p><a>x</a></p><p><a>s</a></p><p><a>s</a></p></div>", "<nav><ul><li><a>x</a><li><a>x</a><li><a>s</a><li><a>x</a></ul></nav>", "<div class=related><p><a>s</a></p><p><a>s</a></p><p><a>s</a></p></div>"]
 #: Beside an article and named by nothing.
 BESIDE = ["<div>s</div>", "<p>w</p>", "<h2>s</h2>", "<div><a>s</a></div>", "<p>x</p>"]
 # Names of elements and of their classes, ids and roles.
@@ -57,6 +62,7 @@ _BLOCK = frozenset(
 )
 _HOLD = _BLOCK - frozenset("br hr p li option dt dd td th tr h1 h2 h3 h4 h5 h6".split())
 _OFF = frozenset("nav footer aside form menu dialog button fieldset".split())
+_FIRM = frozenset("nav footer aside".split())
 _NAMES = frozenset(
     "nav navbar navigation menu footer header masthead sidebar aside ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login search share sharing social related recommended comment comments respond reply replies disqus breadcrumb breadcrumbs pagination pager toolbar widget widgets copyright disclaimer complementary contentinfo skip hidden".split()
 )
@@ -69,20 +75,27 @@ _HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _named(attributes: str) -> bool:
+def _boilerplate_name(token: str) -> bool:
+    """Whether a class, id or role is a name of boilerplate, or a compound of nothing else: no-sidebar, post-ad-free and related-work are none."""
+    parts = [w.lower() for w in _WORDS.findall(token)]
+    return bool(parts) and all(w in _NAMES for w in parts)
+
+
+def _named(attributes: str) -> tuple[bool, bool]:
+    """Of an element: whether it is hidden, and whether one of its classes, its id or its role names boilerplate."""
+    named = False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
         if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _HIDDEN.search(value):
-            return True
-        if name in ("class", "id", "role") and any(w.lower() in _NAMES for w in _WORDS.findall(value)):
-            return True
-    return False
+            return True, named
+        named = named or name in ("class", "id", "role") and any(map(_boilerplate_name, value.split()))
+    return False, named
 
 
 def blocks(page: str):
     """Flat blocks of a page: (text, words, words in links, in article, in boilerplate, heading), in order."""
     out: list[tuple[str, int, int, bool, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, inside an article, inside boilerplate
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, inside an article, inside boilerplate, and so even for an article in it
     parts: list[str] = []
     linked: list[str] = []
     state = {"link": 0, "heading": False}
@@ -92,7 +105,7 @@ def blocks(page: str):
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 n = len(html.unescape(" ".join(linked)).split())
-                article, off = stack[-1][1:] if stack else (False, False)
+                article, off = stack[-1][1:3] if stack else (False, False)
                 words = len(text.split())
                 out.append((text, words, min(n, words), article, off, state["heading"]))
             parts.clear()
@@ -129,12 +142,16 @@ def blocks(page: str):
                     del stack[k:]
                     break
         else:
-            article, off = stack[-1][1:] if stack else (False, False)
-            named = tag in _OFF or tag == "header" and not article or tag not in ("body", "html", "main", "article") and _named(m[4] or "")
+            article, off, firm = stack[-1][1:] if stack else (False, False, False)
+            hidden, called = _named(m[4] or "")
+            if tag in ("article", "main") and not article:  # what holds an article is no boilerplate for what it is called
+                off = firm
+            firm = firm or hidden or tag in _FIRM
+            named = hidden or tag in _OFF or tag == "header" and not article or called and tag not in ("body", "html", "main", "article")
             if tag in _HOLD:
-                stack.append((tag, article or tag in ("article", "main"), off or named))
+                stack.append((tag, article or tag in ("article", "main"), off or named, firm))
             elif named:  # an element that may stay open: its own block alone
-                stack.append((tag, article, True))
+                stack.append((tag, article, True, firm))
             elif stack and stack[-1][0] == tag:  # the same kind of element opens anew
                 stack.pop()
     add(page[at:])
@@ -170,28 +187,26 @@ def labelled(samples: int = SAMPLES, seed: int = 1) -> list[tuple]:
         return "".join(fill(x, label) for x in rng.sample(fragments, rng.randint(0, min(most, len(fragments)))))
 
     for k in range(samples):
-        article = k % 3 > 0
+        article = k % 2 > 0
         top, bottom = (() if rng.random() < 0.35 else x for x in (TOP, BOTTOM))  # many pages have nothing before or after
-        inside = "".join(fill(x, 1) for x in rng.choices(MAIN + IN_ARTICLE * article, k=rng.choice((1, 1, 3, 5, 9))))
+        inside = "".join(fill(x, 1) for x in rng.choices(MAIN + (IN_ARTICLE if article else BETWEEN), k=rng.choice((1, 1, 3, 5, 9))))
         inside = (fill("<h1>s</h1>", 1) if rng.random() < 0.6 else "") + inside
+        lists = [fill(x, 0) for x in rng.choices(LINKS, k=rng.randint(0, 3))], [fill(x, 0) for x in rng.choices(LINKS, k=rng.randint(0, 3))]
         if article:
             tag = "main" if k % 7 == 0 else "article"
-            inside = (some(TOP[2:], 2, 0) if k % 4 == 1 else "") + inside + (some(BOTTOM, 3, 0) if k % 2 == 0 else "")
+            inside = (some(TOP[2:], 2, 0) if k % 4 == 1 else "") + inside + (some(BOTTOM, 3, 0) if k % 4 == 3 else "")
             body = some(BESIDE if top else (), 1, 0) + f"<{tag}>{inside}</{tag}>" + some(BESIDE if bottom else (), 2, 0)
         else:
             body = some(LOOSE if top else (), 1, 0) + f"<div>{inside}</div>" + some(LOOSE if bottom else (), 2, 0)
-        found = blocks(some(top, 4, 0) + body + some(bottom, 4, 0))
+        found = blocks("".join(lists[0]) + some(top, 4, 0) + body + some(bottom, 4, 0) + "".join(lists[1]))
         out += [(*row, int(b[0][0])) for b, row in zip(found, describe(found))]
     return out
 
 
 def grow(rows: list[tuple], depth: int = DEPTH, features=None):
-    """A decision tree by Gini impurity: (feature, threshold, tree up to it, tree above it), or the label.
-
-    In its first TEXT_LEVELS levels a tree over all features looks at TEXT alone where that helps.
-    """
+    """A decision tree by Gini impurity: (feature, threshold, tree up to it, tree above it), or the label. Every level takes whichever feature is best."""
     table = np.array(rows, float)
-    return _grow(table[:, :-1], table[:, -1], depth, features)
+    return _grow(table[:, :-1], table[:, -1], depth, range(len(FEATURES)) if features is None else features)
 
 
 def _best(x: np.ndarray, y: np.ndarray, features) -> tuple[float, int, float] | None:
@@ -215,9 +230,7 @@ def _grow(x: np.ndarray, y: np.ndarray, depth: int, features):
     most = int(2 * y.sum() >= len(y))
     if depth == 0 or y.min() == y.max():
         return most
-    everything = range(len(FEATURES)) if features is None else features
-    best = _best(x, y, TEXT) if features is None and depth > DEPTH - TEXT_LEVELS else None
-    best = best or _best(x, y, everything)
+    best = _best(x, y, features)
     if not best:
         return most
     low = x[:, best[1]] <= best[2]

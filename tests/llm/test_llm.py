@@ -458,6 +458,51 @@ def test_html():
     assert html_extract.main_text("", tree) == ""
 
 
+def test_html_names_are_whole():
+    """A class or id counts only if it is a name of boilerplate through and through, and never for what holds the article."""
+    tree = html_extract.grow(html_extract.labelled())
+    long = "<p>" + "word " * 60 + "</p><p>some more words of it here</p>"
+    want = " ".join(["word"] * 60) + " some more words of it here"
+    for opened in ('<div class="content no-sidebar">', '<div class="content-with-sidebar">', '<div class="site has-header-image">', '<section id="search-algorithms">', '<div class="post-ad-free">'):
+        closed = "</" + opened[1:].split()[0] + ">"
+        assert html_extract.main_text(f"{opened}<article>{long}</article>{closed}", tree) == want, opened
+        assert html_extract.main_text(f"<article>{opened}{long}{closed}</article>", tree) == want, opened
+        assert html_extract.main_text(f"<nav><a>x</a></nav><div>{opened}{long}{closed}</div><footer>c</footer>", tree) == want, opened
+    for part in ('<p id="related-work">one two three</p>', '<div class="entry-header"><h1>one two three</h1></div>'):
+        assert html_extract.main_text(f"<article>{long}{part}</article>", tree) == want + " one two three"
+    for holds in ('<div class="sidebar">', "<form>", '<div id=search role="banner">'):
+        assert html_extract.main_text(f"{holds}<article>{long}</article>", tree) == want, holds
+    for gone in ('<div class="sidebar">', '<div class="x ad">', '<div class="cookie-notice">', '<section id="comments"><div>', '<div role=complementary>'):
+        assert html_extract.main_text(f"<article>{long}</article>{gone}{long}</div>", tree) == want, gone
+        assert html_extract.main_text(f"<article>{long}{gone}<p>nice one</p></div></article>", tree) == want, gone
+
+
+def test_html_describes_and_decides():
+    """Each block's features from its own words and its neighbours', and a tree walked by hand."""
+    page = '<nav><a>a b</a></nav><article><h2>c</h2><p>d <a>e f</a> g</p></article><div class="ad">h</div>'
+    found = html_extract.blocks(page)
+    assert [b[0] for b in found] == ["a b", "c", "d e f g", "h"]
+    assert html_extract.describe(found) == [
+        [2, 1.0, 0, 0.0, 1, 0.0, 0.0, 1.0, 1.0, 0.0],
+        [1, 0.0, 2, 1.0, 4, 0.5, 1.0, 1.0, 0.0, 1.0],
+        [4, 0.5, 1, 0.0, 1, 0.0, 1.0, 1.0, 0.0, 0.0],
+        [1, 0.0, 4, 0.5, 0, 0.0, 0.0, 1.0, 1.0, 0.0],
+    ]
+    tree = (0, 2.5, (6, 0.5, 0, (3, 0.25, 0, 1)), 1)
+    assert [html_extract.decide(tree, r) for r in html_extract.describe(found)] == [0, 1, 1, 0]
+    rows = [(*[float(i == j) * v for i in range(10)], label) for j, v, label in [(0, 3, 1)] * 5 + [(0, 9, 0)] * 5 + [(4, 1, 0)] * 5]
+    grown = html_extract.grow(rows)
+    assert [html_extract.decide(grown, r[:-1]) for r in rows] == [r[-1] for r in rows]
+
+
+def test_html_tree_needs_more_than_flags():
+    """On pages it has not seen, flags alone and own words alone do worse than all features, so text and neighbours decide."""
+    unseen, table = html_extract.labelled(300, seed=99), html_extract.labelled()
+    score = lambda tree: sum(html_extract.decide(tree, r[:-1]) == r[-1] for r in unseen) / len(unseen)
+    whole, flags, alone = score(html_extract.grow(table)), score(html_extract.grow(table, features=range(6, 10))), score(html_extract.grow(table, features=[0, 1, 6, 7, 8, 9]))
+    assert whole > 0.995 and flags < 0.95 and alone < whole - 0.005
+
+
 def test_html_hidden():
     """Only what is really hidden goes: a value with the word in it hides nothing."""
     tree = html_extract.grow(html_extract.labelled())
