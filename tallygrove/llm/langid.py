@@ -172,3 +172,32 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     rows = slim(docs, doc_id=id_col, text=text_col)
     told = rows.select("doc_id", predict_udf(model)("text").alias("p"))
     return told.select("doc_id", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
+#: Of documents told right, the share that a rejection by score may cost, and how many of a length must be known for it.
+LOST = 0.001
+LEAST_KNOWN = 100
+
+
+def length_class(text):
+    """A column: doublings of the number of characters."""
+    return F.floor(F.log2(F.char_length(F.coalesce(text, F.lit(""))) + 1)).cast("int")
+
+
+def calibrate(held_out: DataFrame, model: Model | None, lost: float = LOST, least_known: int = LEAST_KNOWN) -> dict[int, float]:
+    """The least credible score by length class: LOST of the held-out documents (text, lang) whose language is told right have less.
+
+    Short texts score low, so each class has its own; a class with few documents has none.
+    """
+    told = held_out.where("lang is not null").select("lang", length_class(F.col("text")).alias("k"), predict_udf(model)("text").alias("p"))
+    right = told.where("p.lang = lang").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("p.score", lost, 100_000).alias("least"))
+    return {r["k"]: r["least"] for r in right.where(F.col("n") >= least_known).collect()}  # a row for each doubling
+
+
+def credible(lang, score, text, least: dict[int, float]):
+    """A column: whether a language was told, with a score that is not below its length class's least."""
+    told = lang != UNDETERMINED
+    if not least:
+        return told
+    bounds = F.create_map(*(F.lit(x) for kv in least.items() for x in kv))
+    return told & (score >= F.coalesce(F.try_element_at(bounds, length_class(text)), F.lit(0.0)))

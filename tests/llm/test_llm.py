@@ -631,6 +631,23 @@ def test_hmm_rounds_see_every_document(spark, monkeypatch):
     assert all(a == pytest.approx(33, rel=1e-4) and b == pytest.approx(30 * 4 + 3 * 3101, rel=1e-4) for a, b in seen)
 
 
+def test_langid_calibration(spark):
+    """Gibberish goes by a score that held-out documents of its length set; short texts, and lengths of which little is known, stay."""
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    words = {"en": ["the", "and", "with", "from", "this", "that", "have"], "de": ["und", "die", "nicht", "wird", "auch", "eine", "sich"]}
+    made = [(i, " ".join(rng.choices(words[lang], k=40)), lang) for i in range(1200) for lang in ("en", "de")]
+    made = [(2 * i + (lang == "de"), t, lang) for i, t, lang in made]
+    odd = [(90_001, "xq zkj wvv jjx qxz " * 10, None), (90_002, "the and", None), (90_003, "12 34", "en"), (90_004, None, "en"), (90_005, "xq zkj wvv " * 2000, None)]
+    docs = spark.createDataFrame(made + odd, "doc_id bigint, text string, lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.stage_langid(spark, docs, "").collect()}
+    lost = {i for i, *_ in made} - kept
+    assert len(lost) <= 8 and 90_001 not in kept and {90_002, 90_005} <= kept and not kept & {90_003, 90_004}
+    model = corpus_pipeline.train_langid(docs)
+    assert set(langid.calibrate(docs.limit(0), model)) == set() and len(langid.calibrate(docs.where("lang is not null"), model)) == 1
+
+
 def test_near_dedup_stage_keeps_one_row(spark):
     """Repeated ids and rows without an id count row by row."""
     import corpus_pipeline
