@@ -49,7 +49,11 @@ def by_needles(text: Column, table: Sequence[tuple[str, Sequence[str]]], default
 
 def property_type(description: Column, kind: Column) -> Column:
     """Movables and rights by their kind; goods listed as property, if nothing names an estate, as movables; else by the description."""
-    text, k = fold(description), fold(kind)
+    return folded_property_type(fold(description), fold(kind))
+
+
+def folded_property_type(text: Column, k: Column) -> Column:
+    """property_type of a folded description and kind, which are best columns of a projection of their own, as they are looked at ten times."""
     goods = (k == "imovina") & ~text.rlike("|".join(ESTATE_CUES)) & text.rlike(rf"\b(?:{'|'.join(GOODS)})")
     return (
         F.when((k == "pokretnina") | goods, "pokretnina")
@@ -66,8 +70,9 @@ def procedure_type(case_ref: Column) -> Column:
     return out.otherwise("ostalo")
 
 
-def issuer_type(issuer: Column) -> Column:
-    text, low = F.trim(text_or_empty(issuer)), fold(issuer)
+def issuer_type(issuer: Column, folded: Column | None = None) -> Column:
+    """The kind of an issuing body; folded is its folded name, if that is a column already."""
+    text, low = F.trim(text_or_empty(issuer)), fold(issuer) if folded is None else folded
     return (
         F.when(text == "", "nepoznato")
         .when(text.rlike(r"(?iu)^javn\p{L}*\s+bilježnik"), "javni_biljeznik")
@@ -81,8 +86,8 @@ def issuer_type(issuer: Column) -> Column:
 
 def issuer_name(issuer: Column) -> Column:
     """The institution; a notary's own name never."""
-    kind = issuer_type(issuer)
-    return F.when(kind == "nepoznato", "Nepoznato tijelo").when(kind == "javni_biljeznik", "Javni bilježnik").otherwise(F.trim(issuer))
+    name = F.trim(text_or_empty(issuer))
+    return F.when(name == "", "Nepoznato tijelo").when(name.rlike(r"(?iu)^javn\p{L}*\s+bilježnik"), "Javni bilježnik").otherwise(name)
 
 
 def round_number(name: Column) -> Column:

@@ -68,7 +68,10 @@ def spelled_out(c: Column) -> Column:
 
 def fold(c: Column) -> Column:
     """Lower-cased ASCII of the compatibility decomposition; what has none is dropped."""
-    return F.lower(F.regexp_replace(F.translate(spelled_out(c), MARKED, PLAIN), r"[^\x00-\x7F]", ""))
+    plain = F.translate(text_or_empty(c), MARKED, PLAIN)
+    whole = F.regexp_replace(F.translate(spelled_out(c), MARKED, PLAIN), r"[^\x00-\x7F]", "")
+    # most texts are ASCII once single letters are: as many bytes as characters, and nothing to look for
+    return F.lower(F.when(F.octet_length(plain) == F.char_length(plain), plain).otherwise(whole))
 
 
 def fold_keeping(c: Column) -> Column:

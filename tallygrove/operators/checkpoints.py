@@ -1,7 +1,9 @@
-"""Reliable checkpoints in the folder that all machines share."""
+"""Intermediate results that outlive executors, in the folder that all machines share."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -28,8 +30,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and cut from its lineage, in a folder that all machines share."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(_base(df.sparkSession))
-    return df.checkpoint()
+    """df, computed once and cut from its lineage: a table in the folder that all machines share, removed when the driver ends.
+
+    As a table it has a size, so joins with a small one are broadcast, and readers take the
+    columns that they need.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "kept")
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may have ended before
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

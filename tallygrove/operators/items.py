@@ -33,7 +33,8 @@ def sanitise(rows: DataFrame, published: Sequence[str], free_text: str, issuer:
     name = classify.issuer_name(F.col(issuer))
     renamed = F.when(name != F.trim(text_or_empty(F.col(issuer))), F.create_map(F.lit("notary_name"), F.lit(1))).otherwise(F.create_map().cast("map<string,int>"))
     plain = [F.trim(text_or_empty(F.col(c))).alias(c) for c in published if c not in (free_text, issuer)]
-    out = rows.select(*key, *plain, done.alias("__done"), name.alias(issuer), classify.issuer_type(F.col(issuer)).alias("issuer_type"),
+    rows = rows.withColumn("__low", text.fold(F.col(issuer)))
+    out = rows.select(*key, *plain, done.alias("__done"), name.alias(issuer), classify.issuer_type(F.col(issuer), F.col("__low")).alias("issuer_type"),
                       (pii.viewing_window(F.col(viewing)) if viewing else F.lit("")).alias("viewing_time"), renamed.alias("__renamed"))
     return out.withColumn(free_text, F.col("__done.text")).withColumn("removed", F.map_concat("__done.removed", "__renamed")).drop("__done", "__renamed")
 
@@ -55,6 +56,7 @@ def to_items(clean: DataFrame, columns: Mapping[str, str], as_of: Column, key: S
     c = {name: F.col(f"`{source}`") for name, source in columns.items()}
     money = lambda name: parse.parse_money(c[name]).cast("decimal(16,2)")
     area = parse.parse_area(c["description"])
+    clean = clean.withColumns({"__text": text.fold(c["description"]), "__kind": text.fold(c["kind"])})
     out = clean.select(
         *key,
         F.trim(c["case_ref"]).alias("case_ref"),
@@ -62,7 +64,7 @@ def to_items(clean: DataFrame, columns: Mapping[str, str], as_of: Column, key: S
         "issuer_type",
         c["issuer"].alias("issuer_name"),
         c["description"].alias("description"),
-        classify.property_type(c["description"], c["kind"]).alias("property_type"),
+        classify.folded_property_type(F.col("__text"), F.col("__kind")).alias("property_type"),
         classify.procedure_type(c["case_ref"]).alias("procedure_type"),
         c["sale_method"].alias("sale_method"),
         c["scope"].alias("scope"),

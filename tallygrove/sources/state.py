@@ -228,3 +228,8 @@ def keys_compared(snapshot: DataFrame, state: DataFrame, key: str) -> DataFrame:
     a, b = snapshot.select(key).distinct(), state.select(key).distinct()
     missing = a.join(b, key, "left_anti").withColumn("side", F.lit("missing"))
     return missing.unionByName(b.join(a, key, "left_anti").withColumn("side", F.lit("retained")))
+
+
+def keys_common(snapshot: DataFrame, state: DataFrame, key: str) -> DataFrame:
+    """(key) of items that both have."""
+    return snapshot.select(key).distinct().join(state.select(key), key, "left_semi")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.functions import parse
 from tallygrove.operators import cascade, items, linking, location, marts, proposals, validation
-from tallygrove.sources import snapshot, state
+from tallygrove.sources import registers, snapshot, state
 
 
 def rows(df):
@@ -41,6 +41,7 @@ def test_versions(spark, tmp_path):
     assert [state.log_run(spark, root, {"sha256": x, "rows": 2}, now, now, {"n": 1}) for x in "xy"] == [1, 2]
     assert validation.distinct_sources(state.runs(spark, root)).first()[0] == 2
     today = spark.createDataFrame([("b",), ("c",)], "item_key string")
+    assert rows(state.keys_common(today.unionByName(today), state.read_items(spark, root), "item_key")) == [("b",)]
     assert rows(state.keys_compared(today, state.read_items(spark, root), "item_key")) == [("a", "retained"), ("c", "missing")]
 
 
@@ -359,6 +360,22 @@ def test_overrides_points_and_counties(spark):
     assert known == {"Ličko-senjska": "Ličko-senjska županija", "licko-senjska ŽUPANIJA": "Ličko-senjska županija", "Grad Zagreb": "Grad Zagreb", "Narnija": None, None: None}
 
 
+def test_town_forms(spark):
+    """Towns by their names, declined and other forms; ambiguous ones have no county, whatever the form."""
+    towns = spark.createDataFrame([("Rijeka", "P"), ("Đakovo", "O"), ("Belišće", "O"), ("Novigrad", "I"), ("Pula", "I"), ("Pola", "I"), ("Sveta Nedelja", "Z"), ("Sveta Nedjelja", "Z"), ("Ilok", "V")], "town string, county string")
+    got = {r["form"]: (r["town"], r["county"]) for r in registers.town_forms(towns).collect()}
+    assert got == {
+        "Rijeka": ("Rijeka", "P"), "rijeci": ("Rijeka", "P"), "Đakovo": ("Đakovo", "O"), "djakovu": ("Đakovo", "O"), "dakovu": ("Đakovo", "O"), "Belišće": ("Belišće", "O"), "belišću": ("Belišće", "O"), "Novigrad": ("Novigrad", None),
+        "Pula": ("Pula", "I"), "Pola": ("Pula", "I"), "puli": ("Pula", "I"), "Sveta Nedelja": ("Sveta Nedelja", None), "Sveta Nedjelja": ("Sveta Nedelja", None), "Ilok": ("Ilok", "V"),
+    }
+    assert registers.counties(spark).count() == 21
+    empty = lambda s: spark.createDataFrame([], s)
+    reg = cascade.Registers(empty("name string, county string, population int"), registers.town_forms(towns), empty("town string, county string"), registers.counties(spark), empty("code string, name string, lat double, lon double, county string"))
+    said = spark.createDataFrame([(1, "kuća u Rijeci"), (2, "stan u Belišću, vrt"), (3, "kuća u Novigradu"), (4, "kuća u mjestu Pola"), (5, "k.o. Istarska")], "item_id int, text string").withColumn("issuer", F.lit("")).withColumn("issuer_type", F.lit("fina"))
+    found = {r["item_id"]: (r["county"], r["city"], r["step"]) for r in cascade.locate(said, reg).collect()}
+    assert found == {1: ("P", "Rijeka", 2), 2: ("O", "Belišće", 2), 3: (None, None, 9), 4: ("I", "Pula", 2), 5: ("Istarska županija", None, 1)}
+
+
 def test_map_points(spark):
     """By code, else by the only unit of a name, else by the only one near the county's centre."""
     empty = lambda s: spark.createDataFrame([], s)
