@@ -220,9 +220,9 @@ def sorted_words(c: Column) -> Column:
 
 
 def trim_at_stop_word(c: Column, stop_words: list[str]) -> Column:
-    """A name up to the first word that is a stop word when folded."""
+    """A name up to the first word that is a stop word but for case and marks (no whole folding: it is looked at word by word)."""
     words = F.split(F.trim(text_or_empty(c)), r"\s+")
-    bare = F.transform(words, lambda w: F.array_contains(F.array(*map(F.lit, stop_words)), fold(F.regexp_replace(w, r"^[,.;]+|[,.;]+$", ""))))
+    bare = F.transform(words, lambda w: F.array_contains(F.array(*map(F.lit, stop_words)), F.lower(F.translate(F.regexp_replace(w, r"^[,.;]+|[,.;]+$", ""), MARKED, PLAIN))))
     first = F.array_position(bare, True)
     kept = F.when(first > 0, F.slice(words, F.lit(1), (first - 1).cast("int"))).otherwise(words)
     return F.regexp_replace(F.array_join(kept, " "), r"^[ ,.;-]+|[ ,.;-]+$", "")
