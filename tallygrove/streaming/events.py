@@ -1,4 +1,4 @@
-"""Extension: event-time windows over a stream of events, and the snapshot merge for each micro-batch."""
+"""Extension: event-time windows over a stream or a table of events."""
 
 from __future__ import annotations
 

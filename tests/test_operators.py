@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.operators import linking, location, marts, nearest
 from tallygrove.sources import snapshot
+from tallygrove.streaming import events
 
 
 def rows(df):
@@ -128,3 +129,24 @@ def test_snapshot_reader(spark, tmp_path):
     for _ in range(2):
         snapshot.append_log(got, log, 7)
     assert spark.read.parquet(log).count() == 2
+
+
+def test_windows_over_a_stream(spark, tmp_path):
+    """The same windows from a stream as from a batch; what comes after the watermark is left out."""
+    import datetime as dt
+
+    at = lambda day, hour=0: dt.datetime(2024, 1, day, hour)
+    kinds = "ts timestamp, event_type string, value double"
+    first = spark.createDataFrame([(at(1), "a", 1.0), (at(1, 5), "a", 2.0), (at(2), "b", 4.0), (at(9), "a", 8.0)], kinds)
+    first.coalesce(1).write.parquet(f"{tmp_path}/in/0")
+    stream = spark.readStream.schema(kinds).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+    query = events.windowed_counts(stream).writeStream.format("memory").queryName("windows").outputMode("append").option("checkpointLocation", f"{tmp_path}/ck").start()
+    try:
+        query.processAllAvailable()
+        spark.createDataFrame([(at(1), "late", 1.0), (at(20), "a", 1.0)], kinds).coalesce(1).write.parquet(f"{tmp_path}/in/1")
+        query.processAllAvailable()
+        got = spark.table("windows").select("window_start", "event_type", "n", "total")
+        want = events.windowed_counts(first).select("window_start", "event_type", "n", "total")
+        assert rows(got) == rows(want)
+    finally:
+        query.stop()
