@@ -190,7 +190,7 @@ def calibrate(held_out: DataFrame, model: Model | None, lost: float = LOST, leas
     Short texts score low, so each class has its own; a class with few documents has none.
     """
     told = held_out.where("lang is not null").select("lang", length_class(F.col("text")).alias("k"), predict_udf(model)("text").alias("p"))
-    right = told.where("p.lang = lang").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("p.score", lost, 100_000).alias("least"))
+    right = told.where("p.lang = lang").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("p.score", lost, 10_000).alias("least"))
     return {r["k"]: r["least"] for r in right.where(F.col("n") >= least_known).collect()}  # a row for each doubling
 
 
