@@ -9,7 +9,8 @@ A search starts with the cells of the first level and goes down. Each level give
 point, a distance within which k places must lie (cells that are wholly within it hold k);
 cells beyond it are left, the rest are opened. So a point in the open looks at few large
 cells, one beside a town at the town's nearest small ones, and no key of any join stands
-for more than LEAF places, unless more than that lie within about a metre.
+for more than LEAF places, unless more than that lie within some micrometres. Levels end
+where no cell is split, so only places that lie so close need the deepest ones.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from tallygrove.operators.checkpoints import checkpointed
 
 FAN = 8
 LEAF = 32
-#: Degrees below which a cell is not split.
-LEAST = 1e-5
+#: Degrees below which a cell is not split, some micrometres; and what cells are widened by for rounding, in degrees.
+LEAST = 1e-11
+SLACK = 1e-12
 
 
 class Cells:
@@ -73,8 +75,9 @@ class Cells:
     def reach(self, level: int) -> tuple[Column, Column]:
         """Bounds of the distance from (lat, lon) to what lies in the cell (x, y) of a level."""
         w = self.width(level)
-        low_lat, low_lon = F.col("x") * w + (self.south - w * 1e-6), F.col("y") * w + (self.west - w * 1e-6)
-        high_lat, high_lon = low_lat + w * (1 + 2e-6), low_lon + w * (1 + 2e-6)
+        slack = w * 1e-6 + SLACK
+        low_lat, low_lon = F.col("x") * w + (self.south - slack), F.col("y") * w + (self.west - slack)
+        high_lat, high_lon = low_lat + (w + 2 * slack), low_lon + (w + 2 * slack)
         lat, lon = F.col("lat"), F.col("lon")
         zero = F.lit(0.0)
         dy = F.greatest(low_lat - lat, lat - high_lat, zero), F.greatest(F.abs(low_lat - lat), F.abs(high_lat - lat))

@@ -77,6 +77,17 @@ def test_nearest_in_a_dense_town(spark):
     assert nearest.nearest(point, place.limit(0), 3).collect() == []
 
 
+def test_nearest_in_a_town_of_centimetres(spark):
+    """Thousands of places within some centimetres: cells split until they hold few, however close the places are."""
+    rng = random.Random(6)
+    far = [(i, 45.5 + rng.random() * 4e-7, 15.5 + rng.random() * 4e-7) for i in range(900)] + [(5000 + i, 45 + rng.random(), 15 + rng.random()) for i in range(100)]
+    pts = [(i, 45.5 + rng.random() * 4e-7, 15.5 + rng.random() * 4e-7) for i in range(20)] + [(100 + i, 45 + rng.random(), 15 + rng.random()) for i in range(10)]
+    point, place = spark.createDataFrame(pts, "point_id int, lat double, lon double"), spark.createDataFrame(far, "place_id int, lat double, lon double")
+    assert nearest.Cells(place, 5).members.groupBy("level", "x", "y").count().agg(F.max("count")).first()[0] <= nearest.LEAF
+    got = nearest.nearest(point, place, 5)
+    assert sorted((r["point_id"], r["place_id"], r["rank"]) for r in got.collect()) == _brute(pts, far, 5)
+
+
 def test_counties_spread_to_a_fixed_point(spark):
     """A chain of units, each known one round after its neighbour; rounds end when nothing changes. By brute force, with frozen rounds."""
     import math
