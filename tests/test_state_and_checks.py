@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import random
 import re
 import threading
 import xml.etree.ElementTree
@@ -235,6 +236,24 @@ def test_names_in_text(spark):
     assert hints == [{"Ličko", "Vela Luka Mala", "Gora"}, {"NOVI-GRAD", "NOVI GRAD", "Sela", "Brod"}, set(), set()]
 
 
+@pytest.mark.parametrize("county", [False, True])
+def test_longest_mention(spark, county):
+    """By brute force, over names of one to four words; runs of words are made only where a name begins."""
+    rng = random.Random(2)
+    texts = [(i, " ".join(rng.choices(["Luka", "vela,", "MALA", "Ž", "otok"], k=rng.randint(0, 9))), rng.choice("AB")) for i in range(60)] + [(99, None, "A"), (98, " ., ", None)]
+    names = [("Luka", "A"), ("Vela Luka", "A"), ("vela luka", "B"), ("mala-vela", "B"), ("otok z mala luka", "A"), ("Otok", "B"), ("", "A"), (None, "A")]
+    cut = lambda t: " ".join(re.findall("[a-z0-9]+", (t or "").lower().replace("ž", "z")))
+    want = {}
+    for i, t, c in texts:
+        met = [(len(cut(n)), n) for n, of in names if cut(n) and f" {cut(n)} " in f" {cut(t)} " and (not county or of == c)]
+        want |= {i: max(met)[1]} if met else {}
+    a, b = spark.createDataFrame(texts, "text_id int, text string, county string"), spark.createDataFrame(names, "name string, county string")
+    got = location.longest_mention(a if county else a.drop("county"), b)
+    assert {r["text_id"]: r["name"] for r in got.collect()} == want
+    assert "sequence(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert location.longest_mention(a, b.limit(0)).collect() == []
+
+
 def test_links_of_a_hot_group(spark):
     df = spark.range(3000).select(F.lit("hot").alias("fp"), (F.col("id") * 7919 % 3000).alias("o"), "id").unionByName(spark.createDataFrame([("one", 1, 1)], "fp string, o bigint, id bigint"))
     got = linking.link_repeats(df, "fp", [F.col("o")]).select("fp", "o", "repeat_seq").collect()
