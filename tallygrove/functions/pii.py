@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -122,7 +122,8 @@ def gazetteer(given_names: Iterable[str]) -> str:
     street = "".join(f"(?<!{sign}{short * k})" for k in range(3))
     given = rf"(?=\p{{Lu}}[\p{{L}}-]++\s)(?={_trie(declined(given_names))}(?![\p{{L}}\p{{N}}_]))"
     number, company = r"(?!\s*\d+\s*[a-zA-Z]?(?![\p{L}\p{N}_]))", rf"(?!\s*,?\s*(?i:{COMPANIES}))"
-    return rf"{begin}{given}{street}(?>{word}(?:\s+{word}){{1,2}}+){number}{company}"
+    # what begins no name is told by one character
+    return rf"(?=[A-ZČĆĐŠŽ]){begin}{given}{street}(?>{word}(?:\s+{word}){{1,2}}+){number}{company}"
 
 
 def scan(text: Column, detectors: Mapping[str, str] = REGISTRY) -> Column:
@@ -135,6 +136,11 @@ def scan(text: Column, detectors: Mapping[str, str] = REGISTRY) -> Column:
     return F.concat(*(hits(k, p) for k, p in detectors.items()))
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with the value computed once, however often then names it: a lambda's variable, where a column would be put in place each time."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def redact(text: Column, detectors: Mapping[str, str] = REGISTRY, mask: str | None = None, roles: bool = True, given_names: Sequence[str] = tuple(GIVEN_NAMES)) -> Column:
     """struct<text, removed map<kind, count>>; each count is taken on the text of its own step.
 
@@ -142,19 +148,27 @@ def redact(text: Column, detectors: Mapping[str, str] = REGISTRY, mask: str | No
     given names. mask stands for all kinds; without it each has its own.
     """
     of = lambda kind: mask or MASKS[kind.split("_")[0]]
-    now = text_or_empty(text)
-    counts: dict[str, Column] = {}
     steps = person_steps(of("name")) if roles else []
     steps += [(k, p, of(k)) for k, p in detectors.items()]
     if given_names:
         steps.append(("person_name_gazetteer", gazetteer(given_names), of("name")))
-    for kind, pattern, into in steps:
-        n = F.regexp_count(now, F.lit(pattern))
-        counts[kind] = counts[kind] + n if kind in counts else n
-        now = F.regexp_replace(now, pattern, into)
-    tidy = F.regexp_replace(F.regexp_replace(F.regexp_replace(now, f"{SPACE}{{2,}}", " "), f"^{SPACE}+|{SPACE}+$", ""), f"[,;]{SPACE}*([,;])", "$1")
-    removed = F.create_map(*(x for kind, n in counts.items() for x in (F.lit(kind), n)))
-    return F.struct(tidy.alias("text"), F.map_filter(removed, lambda _, n: n > 0).alias("removed"))
+
+    def after(now: Column, left: list, counts: dict[str, Column]) -> Column:
+        if not left:
+            tidy = F.regexp_replace(F.regexp_replace(F.regexp_replace(now, f"{SPACE}{{2,}}", " "), f"^{SPACE}+|{SPACE}+$", ""), f"[,;]{SPACE}*([,;])", "$1")
+            removed = F.create_map(*(x for kind, n in counts.items() for x in (F.lit(kind), n)))
+            return F.struct(tidy.alias("text"), F.map_filter(removed, lambda _, n: n > 0).alias("removed"))
+        kind, pattern, into = left[0]
+
+        def counted(done: Column) -> Column:
+            # unchanged: no hit, unless hits were masks already
+            none = (done == now) & ~F.contains(now, F.lit(into.replace("$1", "")))
+            n = F.when(none, 0).otherwise(F.regexp_count(now, F.lit(pattern)))
+            return after(done, left[1:], counts | {kind: counts[kind] + n if kind in counts else n})
+
+        return _once(F.regexp_replace(now, pattern, into), counted)
+
+    return _once(text_or_empty(text), lambda now: after(now, steps, {}))
 
 
 def residual_names(text: Column, given_names: Sequence[str] = tuple(GIVEN_NAMES)) -> Column:

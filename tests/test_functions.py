@@ -112,6 +112,14 @@ def test_tidy(spark):
     assert many(spark, lambda c: pii.redact(c)["removed"], ["dužnik Pero Perić iz Splita, Ilica 5, OIB 12345678901"]) == [{"person_name": 1, "person_address": 1, "oib_labelled": 1}]
 
 
+def test_redaction_looks_once(spark):
+    """Each pattern stands twice in the plan, to replace and to count: a step's text is not made anew for every later one. A mask that is a hit itself counts."""
+    done = spark.createDataFrame([("a@b.hr, 1.2.3.4 Ivan Horvat",)], "t string").select(pii.redact(F.col("t"), pii.GENERAL, mask="a@b.hr", roles=False).alias("r")).select("r.text", "r.removed")
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(pii.GENERAL["email"]) == 2
+    assert done.first().asDict() == {"text": "a@b.hr, a@b.hr a@b.hr", "removed": {"email": 1, "ip": 1, "person_name_gazetteer": 1}}
+
+
 def test_fold_by_rule(spark):
     """All characters of the basic plane: the ASCII of the compatibility decomposition, and letters without marks."""
     import unicodedata
