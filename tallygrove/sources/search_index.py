@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tallygrove.functions import text
 
 BUCKETS = 64
+#: Items for one share of a bucket: at some thirty grams an item, half a million postings a share and bucket.
+SHARE = 1_000_000
 
 
 def fold_terms(spark: SparkSession, terms: str) -> list[str]:
@@ -37,14 +39,23 @@ def _bucket(c: Column) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
 
 
+def _shares(stored: DataFrame) -> int:
+    """Into how many a bucket's postings are dealt: one for each SHARE items, so a small index has few files and a large one many tasks."""
+    return max(1, -(-stored.count() // SHARE))
+
+
 def build(items: DataFrame, path: str, key: str, searched: Sequence[str]) -> None:
     """Write the index of items: grams with their numbers of items, postings, and the items with their folded text."""
     rows = items.withColumn("hay", text.fold_keeping(F.concat_ws(" | ", *searched))).withColumn("part", _bucket(F.col(key)))
     # dealt by bucket and sorted by what is looked up, so that files' statistics tell where it is
     rows.repartition(F.col("part")).sortWithinPartitions("part", key).write.mode("overwrite").partitionBy("part").parquet(f"{path}/items")
     stored = items.sparkSession.read.parquet(f"{path}/items")
-    own = stored.select(F.col(key).alias("doc"), F.explode(_grams(F.col("hay"))).alias("gram")).distinct()
-    own = own.withColumn("part", _bucket(F.col("gram"))).repartition(F.col("part"), _bucket(F.col("doc")))
+    # an item's grams are told apart in its row; the deal has a part's postings in few files, as many as they need
+    own = stored.select(F.col(key).alias("doc"), F.explode(F.array_distinct(_grams(F.col("hay")))).alias("gram"))
+    own = own.withColumn("part", _bucket(F.col("gram")))
+    own = own.withColumn("share", F.pmod(F.xxhash64("doc"), F.lit(_shares(stored))).cast("int"))
+    # rows that share a key lie in one partition, so the exchange serves the grouping as well
+    own = own.repartition(F.col("part"), F.col("share")).dropDuplicates(["part", "share", "gram", "doc"]).drop("share")
     own.sortWithinPartitions("part", "gram", "doc").write.mode("overwrite").partitionBy("part").parquet(f"{path}/postings")
     posted = items.sparkSession.read.parquet(f"{path}/postings")
     posted.groupBy("part", "gram").agg(F.count(F.lit(1)).alias("items")).repartition(1, "part").sortWithinPartitions("part", "gram").write.mode("overwrite").partitionBy("part").parquet(f"{path}/grams")

@@ -43,6 +43,18 @@ def test_search_reads_buckets_only(spark, index):
     assert got.select("part").distinct().count() == 1
 
 
+def test_postings_are_few_files(spark, tmp_path):
+    """A small index has one file of postings a bucket; each item's gram stands once, however often the item and the gram do."""
+    made = [(i % 50, "abcabcabc" if i % 2 else "xyzab") for i in range(200)]
+    at = f"file://{tmp_path}/few"
+    search_index.build(spark.createDataFrame(made, "id int, name string"), at, "id", ["name"])
+    postings = spark.read.parquet(f"{at}/postings")
+    assert postings.select("part", F.input_file_name().alias("f")).distinct().groupBy("part").count().where("count > 1").count() == 0
+    want = {(i, f" {t} "[k : k + 3]) for i, t in made for k in range(len(t))}
+    assert sorted((r["doc"], r["gram"]) for r in postings.collect()) == sorted(want)
+    assert {r["gram"]: r["items"] for r in spark.read.parquet(f"{at}/grams").collect()}["abc"] == 25
+
+
 def test_client_record(spark, tmp_path):
     day = dt.datetime(2024, 5, 6, 10, 0)
     kinds = "item_key string, case_ref string, auction_id string, property_type string, procedure_type string, county string, city string, cadastral_municipality string, area_m2 double, opening_price_eur double, discount_pct double, discount_suspicious boolean, status string, auction_end timestamp_ntz, latitude double, longitude double"
