@@ -109,11 +109,26 @@ def hint_names(spoken: Column) -> Column:
     return F.array_distinct(F.concat(runs, F.transform(runs, lambda r: F.replace(r, F.lit("-"), F.lit(" "))), long))
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """df with k, the folded name, if it has none: the folding's tables are long and stand in every plan that folds."""
+    return df if "k" in df.columns else df.withColumn("k", fold(F.col("name")))
+
+
+def forms_of(towns: DataFrame) -> DataFrame:
+    """(form, t): each folded form once, with its town and county."""
+    return towns.select(fold(F.col("form")).alias("form"), "town", F.col("county").alias("town_county")).groupBy("form").agg(F.min_by(F.struct("town", "town_county"), "town").alias("t"))
+
+
+def name_keys(names: DataFrame) -> DataFrame:
+    """names as a table with __a, the folded name, and __b, the one without its ordinal: joins on them do not hold the folding in their plans."""
+    cut = names.withColumns({"__a": F.regexp_replace(F.col("name"), r"^[ ,.;:-]+|[ ,.;:-]+$", ""), "__b": bare(F.col("name"))})
+    return checkpointed(cut.withColumns({"__a": fold(F.col("__a")), "__b": fold(F.col("__b"))}))
+
+
 def towns_of(names: DataFrame, towns: DataFrame) -> DataFrame:
-    """(*names, town, county) by the name as it stands, else without its ordinal; a name's last word is never dropped."""
-    forms = towns.select(fold(F.col("form")).alias("__form"), "town", F.col("county").alias("town_county")).groupBy("__form").agg(F.min_by(F.struct("town", "town_county"), "town").alias("__t"))
-    whole = fold(F.regexp_replace(F.col("name"), r"^[ ,.;:-]+|[ ,.;:-]+$", ""))
-    met = names.withColumn("__a", whole).withColumn("__b", fold(bare(F.col("name"))))
+    """(*names, town, county) by the name as it stands, else without its ordinal; a name's last word is never dropped. towns: as registered, or forms_of them."""
+    forms = (towns if "t" in towns.columns else forms_of(towns)).select(F.col("form").alias("__form"), F.col("t").alias("__t"))
+    met = names if "__a" in names.columns else name_keys(names)
     met = met.join(forms.select(F.col("__form").alias("__a"), F.col("__t").alias("__ta")), "__a", "left").join(forms.select(F.col("__form").alias("__b"), F.col("__t").alias("__tb")), "__b", "left")
     t = F.coalesce("__ta", "__tb")
     return met.withColumn("town", t["town"]).withColumn("town_county", t["town_county"]).drop("__a", "__b", "__ta", "__tb")
@@ -121,8 +136,9 @@ def towns_of(names: DataFrame, towns: DataFrame) -> DataFrame:
 
 def candidates(names: DataFrame, reg: Registers) -> DataFrame:
     """(item_id, role, pos, name, found): found is an array of (population, county), the most populous first, of the counties that know the name."""
-    known = reg.settlements.select(fold(F.col("name")).alias("k"), "county", "population")
-    one = names.withColumn("k", fold(bare(F.col("name")))).join(known, "k").select("item_id", "role", "pos", "name", "county", "population")
+    known = keyed(reg.settlements).select("k", "county", "population")
+    names = name_keys(names)
+    one = names.withColumn("k", F.col("__b")).join(known, "k").select("item_id", "role", "pos", "name", "county", "population")
     two = towns_of(names, reg.towns).where("town_county is not null").select("item_id", "role", "pos", "name", F.col("town_county").alias("county"), F.lit(0).cast("long").alias("population"))
     each = one.withColumn("population", F.col("population").cast("long")).unionByName(two)
     most = each.groupBy("item_id", "role", "pos", "name", "county").agg(F.max("population").alias("population"))
@@ -131,10 +147,10 @@ def candidates(names: DataFrame, reg: Registers) -> DataFrame:
 
 def display_names(names: DataFrame, reg: Registers) -> DataFrame:
     """(name, display): the most populous settlement's spelling, else the only unit's in title case, else the town, else the name."""
-    names = names.select("name").distinct()
-    spelled = reg.settlements.groupBy(fold(F.col("name")).alias("__k")).agg(F.max_by("name", F.struct("population", "name")).alias("__s"))
-    units = reg.units.groupBy(fold(F.col("name")).alias("__k")).agg(F.count(F.lit(1)).alias("__n"), F.min("name").alias("__u")).where("__n = 1")
-    met = towns_of(names, reg.towns).withColumn("__k", fold(bare(F.col("name")))).join(spelled, "__k", "left").join(units.select("__k", "__u"), "__k", "left")
+    names = name_keys(names.select("name").distinct())
+    spelled = keyed(reg.settlements).groupBy(F.col("k").alias("__k")).agg(F.max_by("name", F.struct("population", "name")).alias("__s"))
+    units = keyed(reg.units).groupBy(F.col("k").alias("__k")).agg(F.count(F.lit(1)).alias("__n"), F.min("name").alias("__u")).where("__n = 1")
+    met = towns_of(names.withColumn("__k", F.col("__b")), reg.towns).join(spelled, "__k", "left").join(units.select("__k", "__u"), "__k", "left")
     return met.select("name", F.coalesce("__s", F.initcap("__u"), "town", bare(F.col("name"))).alias("display"))
 
 
@@ -146,9 +162,11 @@ def unit_entries(names: DataFrame, units: DataFrame) -> DataFrame:
     keys = [lambda c: fold(bare(c)), lambda c: F.replace(fold(bare(c)), F.lit("-"), F.lit(" ")), lambda c: sorted_words(bare(c))]
     unit = F.struct("code", "name", "lat", "lon", "county", "near")
     parts = None
-    for place, key in enumerate(keys):
-        left = names.select("item_id", key(F.col("name")).alias("k"))
-        right = units.select(unit.alias("u"), (sorted_words(F.col("name")) if place == 2 else fold(F.col("name"))).alias("k"))
+    names = checkpointed(names.select("item_id", *(key(F.col("name")).alias(f"k{place}") for place, key in enumerate(keys))))
+    units = keyed(units)
+    for place in range(len(keys)):
+        left = names.select("item_id", F.col(f"k{place}").alias("k"))
+        right = units.select(unit.alias("u"), (sorted_words(F.col("name")) if place == 2 else F.col("k")).alias("k"))
         part = left.join(right, "k").select("item_id", "u", F.lit(place).alias("place"))
         parts = part if parts is None else parts.unionByName(part)
     first = parts.groupBy("item_id").agg(F.min("place").alias("place"))
@@ -181,24 +199,32 @@ def locate(items: DataFrame, reg: Registers) -> DataFrame:
     the prose is explicit, srednja for one signal, niska where they contradict, else nema.
     """
     text = F.coalesce("text", F.lit(""))
-    units = checkpointed(_with_near(reg.units))
-    reg = Registers(reg.settlements, reg.towns, reg.courts, reg.counties, units)
+    # names of registers are folded once: every later plan that folds would hold the tables anew
+    units = checkpointed(keyed(_with_near(reg.units)))
+    reg = Registers(checkpointed(keyed(reg.settlements)), checkpointed(forms_of(reg.towns)), reg.courts, reg.counties, units)
     base = items.select("item_id", text.alias("text"), F.coalesce("issuer", F.lit("")).alias("issuer"), "issuer_type", F.get(unit_names(text), 0).alias("strict"), unit_code(text).alias("code"))
+    # all names that are looked up, cut first and then folded, in a plan without joins
+    municipal = F.when(F.col("issuer_type") == "opcinski_sud", F.col("issuer"))
+    land = F.nullif(F.regexp_extract("text", LAND_REGISTRY, 1), F.lit(""))
+    base = base.withColumns({
+        "any": F.when(F.col("strict").isNull(), F.get(unit_names(F.col("text"), ANY), 0)), "land_name": land,
+        "branch": F.trim(F.regexp_extract(municipal, BRANCH, 1)), "seat": F.trim(F.regexp_extract(municipal, SEAT, 1)),
+    })
+    base = base.withColumn("loose_key", bare(F.col("any")))
+    base = checkpointed(base.withColumns({c: F.when(F.col(c).isNotNull(), fold(F.col(c))) for c in ("loose_key", "branch", "seat")}))
     # written in lower case: only if the register has the whole name
-    loose = base.where("strict is null").select("item_id", F.get(unit_names(F.col("text"), ANY), 0).alias("name")).where("name is not null")
-    listed = units.groupBy(fold(F.col("name")).alias("k")).agg(F.initcap(F.min("name")).alias("loose"))
-    loose = loose.withColumn("k", fold(bare(F.col("name")))).join(listed, "k").select("item_id", "loose")
-    base = base.join(loose, "item_id", "left").withColumn("unit", F.coalesce("strict", "loose")).drop("strict", "loose")
+    listed = units.groupBy("k").agg(F.initcap(F.min("name")).alias("loose"))
+    loose = base.where("any is not null").select("item_id", F.col("loose_key").alias("k")).join(listed, "k").select("item_id", "loose")
     # the land registry's town and the court's seat are anchors
-    land = base.select("item_id", F.regexp_extract("text", LAND_REGISTRY, 1).alias("name")).where("name <> ''")
-    land = towns_of(land, reg.towns).where("town_county is not null").select("item_id", F.col("town").alias("land_town"), F.col("town_county").alias("land_county"))
-    municipal = F.col("issuer_type") == "opcinski_sud"
-    seats = reg.courts.groupBy(fold(F.col("town")).alias("k")).agg(F.min("county").alias("c"))
-    sought = base.where(municipal).select("item_id", fold(F.trim(F.regexp_extract("issuer", BRANCH, 1))).alias("branch"), fold(F.trim(F.regexp_extract("issuer", SEAT, 1))).alias("seat"))
+    land = towns_of(base.where("land_name is not null").select("item_id", F.col("land_name").alias("name")), reg.towns)
+    land = land.where("town_county is not null").select("item_id", F.col("town").alias("land_town"), F.col("town_county").alias("land_county"))
+    seats = checkpointed(reg.courts.groupBy(fold(F.col("town")).alias("k")).agg(F.min("county").alias("c")))
+    sought = base.where("branch is not null").select("item_id", "branch", "seat")
     sought = sought.join(seats.select(F.col("k").alias("branch"), F.col("c").alias("c1")), "branch", "left").join(seats.select(F.col("k").alias("seat"), F.col("c").alias("c2")), "seat", "left")
+    base = base.join(loose, "item_id", "left").withColumn("unit", F.coalesce("strict", "loose")).drop("strict", "loose", "any", "land_name", "branch", "seat", "loose_key")
     base = base.join(land, "item_id", "left").join(sought.select("item_id", F.coalesce("c1", "c2").alias("court_county")), "item_id", "left")
     base = base.withColumn("anchors", F.array_distinct(F.array_compact(F.array("land_county", "court_county"))))
-    base = checkpointed(base.withColumn("spoken", words(F.col("text"))))
+    base = checkpointed(base.withColumn("spoken", words(F.col("text"))).withColumn("unit_key", F.when(F.col("unit").isNotNull(), fold(F.col("unit")))))
 
     prose = base.select("item_id", F.posexplode(prose_names(F.col("spoken"))).alias("pos", "name")).withColumn("role", F.lit("prose"))
     hinted = base.select("item_id", F.posexplode(hint_names(F.col("spoken"))).alias("pos", "name")).withColumn("role", F.lit("hint"))
@@ -215,7 +241,7 @@ def locate(items: DataFrame, reg: Registers) -> DataFrame:
     by_name = F.coalesce(F.col("only")["county"], F.col("only")["near"], several)
     base = base.withColumn("reg_county", F.when(F.col("code_known"), F.col("code_county")).otherwise(by_name))
     of_county = reg.counties.select("county", F.explode(F.array_distinct(F.array(fold(F.col("county")), fold(F.replace("county", F.lit(" županija"), F.lit("")))))).alias("k")).groupBy("k").agg(F.min("county").alias("named_county"))
-    base = checkpointed(base.withColumn("k", fold(F.col("unit"))).join(of_county, "k", "left").drop("text", "spoken", "only"))
+    base = checkpointed(base.withColumnRenamed("unit_key", "k").join(of_county, "k", "left").drop("text", "spoken", "only", "k"))
 
     none = F.lit(None).cast("string")
 
@@ -254,10 +280,11 @@ def locate(items: DataFrame, reg: Registers) -> DataFrame:
     shown = display_names(won.where("name is not null and step <> 7").select("name"), reg)
     won = won.join(shown, "name", "left")
     city = F.when(F.col("step") == 7, F.col("land_town")).when((F.col("step") == 5) & (F.col("grade") == "niska"), F.col("land_town")).otherwise(F.col("display"))
-    return won.select(
+    # a table: callers use it several times, and its plan is long
+    return checkpointed(won.select(
         "item_id", "county", city.alias("city"), F.col("unit").alias("cadastral_municipality"), F.coalesce("grade", F.lit("nema")).alias("location_confidence"),
         F.coalesce("raw", "unit", F.lit("")).alias("location_raw"), F.coalesce("step", F.lit(9)).alias("step"),
-    )
+    ))
 
 
 def _with_near(units: DataFrame) -> DataFrame:
@@ -273,7 +300,7 @@ def points(located: DataFrame, items: DataFrame, reg: Registers, within_km: floa
     place = F.struct("lat", "lon")
     coded = items.select("item_id", unit_code(F.coalesce("text", F.lit(""))).alias("code")).join(reg.units.select("code", place.alias("p")), "code").select("item_id", F.lit(0).alias("rank"), "p")
     named = located.where("cadastral_municipality is not null").select("item_id", "county", fold(bare(F.col("cadastral_municipality"))).alias("k"))
-    met = named.join(reg.units.select(fold(F.col("name")).alias("k"), "code", place.alias("p")), "k")
+    met = named.join(keyed(reg.units).select("k", "code", place.alias("p")), "k")
     alone = Window.partitionBy("item_id")
     only = met.withColumn("n", F.count(F.lit(1)).over(alone)).where("n = 1").select("item_id", F.lit(1).alias("rank"), "p")
     centre = reg.counties.select("county", F.col("lat").alias("clat"), F.col("lon").alias("clon"))

@@ -132,6 +132,14 @@ def test_fold_by_rule(spark):
     assert many(spark, text.fold_keeping, ["Ćevapi đak", "м²й", "Łódź", "ﬁ"]) == ["cevapi dak", "м²и", "łodz", "ﬁ"]
 
 
+def test_fold_has_its_tables_once(spark):
+    """The tables are long: in a plan that folds a computed name each stands once; located registers' plans hold them no more."""
+    made = spark.createDataFrame([("Žabac",)], "t string").select(text.fold(F.regexp_replace("t", "a", "b")).alias("f"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(text.MARKED) == plan.count(text.PLAIN) == 1
+    assert made.first()["f"] == "zbbbc"
+
+
 @pytest.mark.parametrize("raw, want", [("Svakog četvrtka od 13,00 do 14,00 sati", True), ("po dogovoru, tel. 091 123 4567", True), ("", False)])
 def test_viewing(spark, raw, want):
     got = many(spark, pii.viewing_window, [raw])[0]
