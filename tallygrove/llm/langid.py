@@ -177,8 +177,6 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 #: Of documents told right, the share that a rejection by score may cost, and how many of a length must be known for it.
 LOST = 0.001
 LEAST_KNOWN = 100
-#: Held-out documents that are scored for it, about.
-CALIBRATION = 10_000
 
 
 def length_class(text):
@@ -186,16 +184,13 @@ def length_class(text):
     return F.floor(F.log2(F.char_length(F.coalesce(text, F.lit(""))) + 1)).cast("int")
 
 
-def calibrate(held_out: DataFrame, model: Model | None, lost: float = LOST, least_known: int = LEAST_KNOWN, most: int = CALIBRATION) -> dict[int, float]:
+def calibrate(held_out: DataFrame, model: Model | None, lost: float = LOST, least_known: int = LEAST_KNOWN) -> dict[int, float]:
     """The least credible score by length class: LOST of the held-out documents (text, lang) whose language is told right have less.
 
     Short texts score low, so each class has its own; a class with few documents has none.
-    About `most` labelled rows are scored, those with the least hashes of their texts.
+    Every labelled row is scored.
     """
-    known = held_out.where("lang is not null and text is not null").select("text", "lang")
-    share = min(1.0, most / max(1, held_out.where("lang is not null").count()))
-    some = known if share == 1 else known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
-    told = some.select("lang", length_class(F.col("text")).alias("k"), predict_udf(model)("text").alias("p"))
+    told = held_out.where("lang is not null and text is not null").select("lang", length_class(F.col("text")).alias("k"), predict_udf(model)("text").alias("p"))
     right = told.where("p.lang = lang").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("p.score", lost, 10_000).alias("least"))
     return {r["k"]: r["least"] for r in right.where(F.col("n") >= least_known).collect()}  # a row for each doubling
 

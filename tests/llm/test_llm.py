@@ -648,6 +648,14 @@ def test_langid_calibration(spark):
     assert set(langid.calibrate(docs.limit(0), model)) == set() and len(langid.calibrate(docs.where("lang is not null"), model)) == 1
 
 
+def test_calibration_scores_all(spark):
+    """More than ten thousand held-out rows of one length: the threshold is of all of them."""
+    told = [(" ".join(w * 2 for w in words), lang) for lang, words in (("a", ("bede", "fogi")), ("b", ("nuso", "titu")))]
+    model = langid.train(spark.createDataFrame(told, "text string, lang string"))
+    rows = spark.range(11_000).select(F.concat(F.lit("bedebede fogi "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("text"), F.lit("a").alias("lang"))
+    assert list(langid.calibrate(rows, model, least_known=11_000)) == [4]
+
+
 def test_near_dedup_stage_keeps_one_row(spark):
     """Repeated ids and rows without an id count row by row."""
     import corpus_pipeline
