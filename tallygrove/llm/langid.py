@@ -188,11 +188,13 @@ def calibrate(held_out: DataFrame, model: Model | None, lost: float = LOST, leas
     """The least credible score by length class: LOST of the held-out documents (text, lang) whose language is told right have less.
 
     Short texts score low, so each class has its own; a class with few documents has none.
-    Every labelled row is scored.
+    Every labelled row is scored, once.
     """
     told = held_out.where("lang is not null and text is not null").select("lang", length_class(F.col("text")).alias("k"), predict_udf(model)("text").alias("p"))
-    right = told.where("p.lang = lang").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("p.score", lost, 10_000).alias("least"))
-    return {r["k"]: r["least"] for r in right.where(F.col("n") >= least_known).collect()}  # a row for each doubling
+    # no filter on the prediction: Spark would predict again below it, in a second Python worker beside each task's first
+    right = told.select("k", F.when(F.col("p.lang") == F.col("lang"), F.col("p.score")).alias("score"))
+    known = right.groupBy("k").agg(F.count("score").alias("n"), F.percentile_approx("score", lost, 10_000).alias("least"))
+    return {r["k"]: r["least"] for r in known.where(F.col("n") >= max(1, least_known)).collect()}  # a row for each doubling
 
 
 def credible(lang, score, text, least: dict[int, float]):

@@ -656,6 +656,31 @@ def test_calibration_scores_all(spark):
     assert list(langid.calibrate(rows, model, least_known=11_000)) == [4]
 
 
+def test_calibrate_scores_each_text_once(spark, monkeypatch):
+    """Those told wrong have no say, and no text is predicted twice (which takes a second Python worker beside a task's first)."""
+    import pyarrow as pa
+    from pyspark.sql.functions import arrow_udf
+
+    scored = spark.sparkContext.accumulator(0)
+
+    def fake(model):
+        @arrow_udf("struct<lang:string,score:double>")
+        def predict(text: pa.Array) -> pa.Array:
+            scored.add(len(text))
+            words = [x.as_py().split() for x in text]
+            return pa.StructArray.from_arrays([pa.array([w[0] for w in words]), pa.array([float(w[1]) for w in words])], ["lang", "score"])
+
+        return predict
+
+    monkeypatch.setattr(langid, "predict_udf", fake)
+    right = [(f"en 0.{i:03d}", "en") for i in range(300, 700)]
+    wrong = [(f"de 0.{i:03d}", "en") for i in range(100, 200)] + [("de 0.25 and more words than the others have", "en")] * 150
+    rows = spark.createDataFrame([*right, *wrong, (None, "en"), ("en 0.001", None)], "text string, lang string")
+    assert langid.calibrate(rows, None, lost=0.01) == {3: 0.303}
+    assert scored.value == len(right) + len(wrong)
+    assert langid.calibrate(rows, None, least_known=0).keys() == {3}
+
+
 def test_near_dedup_stage_keeps_one_row(spark):
     """Repeated ids and rows without an id count row by row."""
     import corpus_pipeline
